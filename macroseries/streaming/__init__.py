@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference only runs weekly and daily batches; it has no watermark,
+event-time window, state or late data.  Every operator here is a batch
+DataFrame transformation, so it can also be applied inside
+``writeStream.foreachBatch`` by a caller that wants incremental runs.
+"""
