@@ -46,7 +46,7 @@ def _anchor_before(df: DataFrame, target: str, start, keys, period) -> DataFrame
 
 def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
                       keys: Sequence[str] = KEYS, period: str = PERIOD,
-                      chunk: int = 256) -> DataFrame:
+                      chunk: int = 256, init: DataFrame | None = None) -> DataFrame:
     """``target = a * target(-1) + b`` over ``[start, end]`` (T9, linear order 1).
 
     ``a`` and ``b`` are numbers or Columns; they may use other series and
@@ -55,6 +55,11 @@ def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
     start the first row has no predecessor, so the whole path is NULL, as in
     the reference.
 
+    ``init`` optionally gives the value before the range as a table with
+    some of the keys and a column ``init`` (e.g. one row per entity for
+    all of its replications); by default it is the target's value on each
+    key's last row before ``start``.
+
     Chunks count quarters from ``start``, so a range of up to ``chunk``
     quarters is one sequential fold, bit-identical to a loop; longer ranges
     are folded chunk by chunk in parallel and agree to rounding.
@@ -80,9 +85,12 @@ def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
     # level 2: per key, the value entering each chunk
     summ = summ.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("__c", "A", "B"))).alias("__cs"))
-    anchor = _anchor_before(df, target, start, keys, period)
-    if anchor is not None:
-        summ = summ.join(anchor, on=keys, how="left")
+    if init is not None:
+        on = [k for k in init.columns if k in keys]
+        summ = summ.join(init.select(*on, F.col("init").cast("double").alias("__init")),
+                         on=on, how="left")
+    elif start is not None:
+        summ = summ.join(_anchor_before(df, target, start, keys, period), on=keys, how="left")
     else:
         summ = summ.withColumn("__init", F.lit(None).cast("double"))
     carry_t = T.ArrayType(T.StructType([T.StructField("__c", T.LongType()),
@@ -132,48 +140,86 @@ def shock_decay(df: DataFrame, target: str, rho: float, start, end=None,
 
 def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequence[str],
                        start=None, end=None, keys: Sequence[str] = KEYS,
-                       period: str = PERIOD, error_col: str | None = None) -> DataFrame:
+                       period: str = PERIOD, error_col: str | None = None,
+                       vector_keys: Sequence[str] = (), blocks: int = 16) -> DataFrame:
     """``target[t] = fn(target[t-1], row_t)`` over ``[start, end]`` (T9 general, X3).
 
-    ``fn(prev, row)`` gets the previous (already rewritten) value as a float
-    (NaN when missing) and the current row as a mapping of ``inputs`` to
-    floats.  Runs per key in ``applyInPandas`` (Arrow batches); keys run in
-    parallel.  With ``error_col`` an exception inside a key is caught and
-    its text returned in that column (values NULL) instead of failing the
-    job (R8).
+    ``fn(prev, row)`` gets the previous (already rewritten) value and the
+    current row as a mapping of ``inputs`` to values; missing is NaN.  Write
+    it with numpy operations: it is called with vectors.
+
+    Runs per group in ``applyInPandas`` (Arrow batches), groups in parallel.
+    Keys listed in ``vector_keys`` (e.g. the replication) are not groups of
+    their own: they are hashed into ``blocks`` buckets per remaining key, and
+    inside a bucket ``fn`` runs once per quarter on a whole vector of them.
+    A group therefore holds one entity's quarters times a bounded share of
+    the replications.
+
+    With ``error_col`` an exception is caught and its text returned in that
+    column (values NULL) for the vector key that raised, instead of failing
+    the job (R8).
     """
     if target not in df.columns:
         raise KeyError(f"series not in panel: {target}")
     keys = list(keys)
+    vkeys = [k for k in keys if k in set(vector_keys)]
+    gkeys = [k for k in keys if k not in set(vector_keys)]
     inputs = [c for c in inputs if c != target]
     sel = df.select(*keys, period, *inputs, target, _in_range(period, start, end).alias("__in"))
+    if vkeys:
+        sel = sel.withColumn("__blk", F.pmod(F.xxhash64(*vkeys), F.lit(blocks)))
+        group = gkeys + ["__blk"]
+    else:
+        group = keys
     schema = T.StructType([sel.schema[c] for c in keys] +
                           [T.StructField(period, T.DateType()),
                            T.StructField(target, T.DoubleType())] +
                           ([T.StructField(error_col, T.StringType())] if error_col else []))
 
+    def solve(y, mask, cols):
+        for i in np.flatnonzero(mask):
+            prev = y[i - 1] if i > 0 else np.full(y.shape[1:], np.nan)
+            y[i] = fn(prev, {c: cols[c][i] for c in inputs})
+        return y
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(period, kind="stable").reset_index(drop=True)
-        y = pdf[target].astype("float64").to_numpy(copy=True)
-        mask = pdf["__in"].to_numpy(dtype=bool)
-        cols = {c: pdf[c].astype("float64").to_numpy() for c in inputs}
-        err = None
+        vk = vkeys or ["__v"]
+        if not vkeys:
+            pdf = pdf.assign(__v=0)
+        wide = pdf.set_index([period] + vk).sort_index()
+        wide = wide[~wide.index.duplicated(keep="last")]
+        grid = {c: wide[c].astype("float64").unstack(vk) for c in inputs + [target]}
+        ycols = grid[target].columns
+        mask = wide["__in"].groupby(level=0).any().reindex(grid[target].index).to_numpy(bool)
+        y = grid[target].to_numpy(copy=True)
+        cols = {c: grid[c].reindex(columns=ycols).to_numpy() for c in inputs}
+        errors = np.full(len(ycols), None, dtype=object)
         try:
-            for i in np.flatnonzero(mask):
-                prev = y[i - 1] if i > 0 else np.nan
-                y[i] = float(fn(prev, {c: cols[c][i] for c in inputs}))
-        except Exception as e:  # noqa: BLE001 - the error becomes data (R8)
+            y = solve(y, mask, cols)
+        except Exception:  # noqa: BLE001 - retry one vector key at a time
             if error_col is None:
                 raise
-            err = f"{type(e).__name__}: {e}"
-            y[mask] = np.nan
-        out = pdf[keys + [period]].copy()
-        out[target] = y
+            y = grid[target].to_numpy(copy=True)
+            for j in range(len(ycols)):
+                try:
+                    yj = solve(y[:, j:j + 1].copy(), mask,
+                               {c: cols[c][:, j:j + 1] for c in inputs})
+                    y[:, j] = yj[:, 0]
+                except Exception as e:  # noqa: BLE001 - the error becomes data
+                    errors[j] = f"{type(e).__name__}: {e}"
+                    y[mask, j] = np.nan
+        res = pd.DataFrame(y, index=grid[target].index, columns=ycols)
+        long = res.stack(list(range(len(vk))), future_stack=True).rename(target)
+        long = long.reset_index()
         if error_col:
-            out[error_col] = err
-        return out
-
-    solved = sel.groupBy(*keys).applyInPandas(run, schema)
+            err = pd.DataFrame({error_col: errors}, index=ycols).reset_index()
+            err.columns = vk + [error_col]
+            long = long.merge(err, on=vk, how="left")
+        keep = pdf[keys + [period]] if vkeys else pdf[keys + [period, "__v"]]
+        out = keep.merge(long, on=[period] + vk, how="left")
+        return out[[f.name for f in schema.fields]]
+
+    solved = sel.groupBy(*group).applyInPandas(run, schema)
     # NaN from the Python side means missing
     solved = solved.withColumn(target, F.when(~F.isnan(F.col(target)), F.col(target)))
     rest = df.drop(target)

@@ -281,3 +281,188 @@ gs AS (
     (qty / nullif(lag(qty, 4) OVER w, 0) - 1) * 100 AS qty_g,
     (rev / nullif(lag(rev, 4) OVER w, 0) - 1) * 100 AS rev_g
   FROM sim WINDOW w AS (PARTITION BY entity ORDER BY period))"""))
+
+# ---------------------------------------------------------------- residuals
+RES = """
+res AS (
+  SELECT entity, period, qty, rev,
+    CASE WHEN period BETWEEN DATE '1996-01-01' AND DATE '2001-10-01'
+         THEN (CASE WHEN rev > 0 THEN ln(rev) END)
+              - (0.8 * (CASE WHEN lag(rev) OVER w > 0 THEN ln(lag(rev) OVER w) END)
+                 + 0.1 * (CASE WHEN qty > 0 THEN ln(qty) END))
+         ELSE 0.0 END AS rev_trac,
+    CASE WHEN period BETWEEN DATE '1996-01-01' AND DATE '2001-10-01'
+         THEN qty - (lag(qty) OVER w / 3 + rev / 7000)
+         ELSE 0.0 END AS qty_trac,
+    CASE WHEN rev > 0 THEN ln(rev) END AS lhs_rev,
+    0.8 * (CASE WHEN lag(rev) OVER w > 0 THEN ln(lag(rev) OVER w) END)
+      + 0.1 * (CASE WHEN qty > 0 THEN ln(qty) END) AS rhs_rev,
+    qty AS lhs_qty,
+    lag(qty) OVER w / 3 + rev / 7000 AS rhs_qty
+  FROM q WINDOW w AS (PARTITION BY entity ORDER BY period))
+"""
+
+oracle("tracking_residuals", with_q("""
+SELECT entity, period, round(rev_trac, 6) AS rev_trac, qty_trac FROM res""", RES))
+
+oracle("residual_closure", with_q("""
+SELECT entity, period,
+  abs(rhs_rev + rev_trac - lhs_rev) <= 1e-9 * greatest(1.0, abs(lhs_rev)) AS rev_closes,
+  abs(rhs_qty + qty_trac - lhs_qty) <= 1e-9 * greatest(1.0, abs(lhs_qty)) AS qty_closes
+FROM res""", RES))
+
+oracle("residual_norm", with_q("""
+SELECT entity, period, round(sqrt(pow(rhs_rev - lhs_rev, 2) + pow(rhs_qty - lhs_qty, 2)), 6) AS resid_norm
+FROM res""", RES))
+
+oracle("domain_violations", with_q("""
+SELECT entity, period, 'log_qty_less_200' AS expr, CAST(NULL AS DOUBLE) AS value
+FROM q WHERE qty IS NOT NULL AND qty - 200 <= 0
+UNION ALL
+SELECT entity, period, 'rev_over_zero' AS expr, CAST(NULL AS DOUBLE) AS value
+FROM q WHERE qty IS NOT NULL AND rev IS NOT NULL"""))
+
+oracle("backtest_fanout", """
+SELECT o_orderkey AS task_index, CAST(2004 + o_orderkey AS INTEGER) AS year,
+       (4.0 * o_orderkey - 2.0 * (2004 + o_orderkey)) / -2.0 AS result_x0,
+       (1.0 * (2004 + o_orderkey) - 3.0 * o_orderkey) / -2.0 AS result_x1
+FROM orders""")
+
+# ---------------------------------------------------------------- bootstrap
+BOOT = [RES, """
+hw AS (
+  SELECT entity, period, qty_trac, rev_trac,
+         row_number() OVER (PARTITION BY entity ORDER BY period) AS k
+  FROM res WHERE period BETWEEN DATE '1996-01-01' AND DATE '1999-10-01')
+""", """
+acc AS (
+  SELECT entity, k, coalesce(qty_trac, 0.0) AS sq, CAST(qty_trac IS NOT NULL AS INTEGER) AS nq,
+         coalesce(rev_trac, 0.0) AS sr, CAST(rev_trac IS NOT NULL AS INTEGER) AS nr
+  FROM hw WHERE k = 1
+  UNION ALL
+  SELECT a.entity, h.k, a.sq + coalesce(h.qty_trac, 0.0), a.nq + CAST(h.qty_trac IS NOT NULL AS INTEGER),
+         a.sr + coalesce(h.rev_trac, 0.0), a.nr + CAST(h.rev_trac IS NOT NULL AS INTEGER)
+  FROM acc a JOIN hw h ON h.entity = a.entity AND h.k = a.k + 1)
+""", """
+mean AS (
+  SELECT entity, CASE WHEN nq > 0 THEN sq / nq END AS mq, CASE WHEN nr > 0 THEN sr / nr END AS mr
+  FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY k DESC) AS last FROM acc)
+  WHERE last = 1)
+""", """
+dm AS (
+  SELECT h.entity, h.period, h.qty_trac - m.mq AS qty_trac, h.rev_trac - m.mr AS rev_trac
+  FROM hw h JOIN mean m ON m.entity = h.entity)
+""", """
+sp AS (SELECT DISTINCT period FROM q WHERE period BETWEEN DATE '2000-01-01' AND DATE '2001-10-01')
+""", """
+mix AS (
+  SELECT r.range AS repl, sp.period,
+    (1234 * 7919 + r.range * 104729
+     + CAST(year(sp.period) * 4 + quarter(sp.period) - 1 AS BIGINT) * 1299709) % 2147483647 AS x0
+  FROM sp, range(202) r)
+""", """
+dr AS (
+  SELECT repl, period,
+    CAST(DATE '1996-01-01' + to_months(CAST(3 * ((((((x0 * x0 + 12345) % 2147483647)
+         * ((x0 * x0 + 12345) % 2147483647)) + 67891) % 2147483647) % 16) AS INTEGER)) AS DATE)
+      AS drawn_period
+  FROM mix)
+""", """
+sh AS (
+  SELECT b.entity, dr.repl, b.period,
+         b.qty_trac + dm.qty_trac AS qty_trac, b.rev_trac + dm.rev_trac AS rev_trac
+  FROM res b JOIN dr ON dr.period = b.period
+  JOIN dm ON dm.entity = b.entity AND dm.period = dr.drawn_period
+  WHERE b.period BETWEEN DATE '2000-01-01' AND DATE '2001-10-01')
+""", """
+init AS (SELECT entity, qty AS y FROM q WHERE period = DATE '1999-10-01')
+"""]
+
+PATHS = """
+p AS (
+  SELECT s.entity, s.repl, s.period, 0.5 * i.y + s.qty_trac AS y
+  FROM sh s LEFT JOIN init i ON i.entity = s.entity
+  WHERE s.period = DATE '2000-01-01'
+  UNION ALL
+  SELECT s.entity, s.repl, s.period, 0.5 * p.y + s.qty_trac
+  FROM p JOIN sh s ON s.entity = p.entity AND s.repl = p.repl
+                  AND s.period = CAST(p.period + INTERVAL 3 MONTH AS DATE))
+"""
+
+ERRS = """
+e AS (
+  SELECT entity, repl, period,
+    CASE WHEN repl % 50 = 7 THEN NULL ELSE y END AS y,
+    CASE WHEN repl % 50 = 7 THEN 'ValueError: replication failed to converge' END AS error
+  FROM p)
+"""
+
+
+def with_boot(body: str, *extra: str, recursive: bool = False) -> str:
+    ctes = ",\n".join([PANEL_Q.strip()] + [b.strip() for b in BOOT] + [e.strip() for e in extra])
+    return "WITH RECURSIVE " + ctes + "\n" + body
+
+
+oracle("demean_residuals", with_boot("""
+SELECT entity, period, round(qty_trac, 6) AS qty_trac, round(rev_trac, 6) AS rev_trac FROM dm"""))
+
+oracle("bootstrap_draws", with_boot("SELECT repl, period, drawn_period FROM dr"))
+
+oracle("bootstrap_shocks", with_boot("""
+SELECT entity, repl, period, round(qty_trac, 6) AS qty_trac, round(rev_trac, 6) AS rev_trac FROM sh"""))
+
+oracle("bootstrap_paths", with_boot("""
+SELECT entity, repl, period, round(y, 6) AS y FROM p""", PATHS, recursive=True))
+
+oracle("bootstrap_errors", with_boot("""
+SELECT entity, repl, period, round(y, 6) AS y, error FROM e""", PATHS, ERRS, recursive=True))
+
+oracle("keep_good_replications", with_boot("""
+SELECT e.entity, e.repl, e.period, round(e.y, 6) AS y, e.error
+FROM e JOIN kept k ON k.repl = e.repl""", PATHS, ERRS, """
+st AS (SELECT repl, max(error) AS error FROM e GROUP BY repl)""", """
+st2 AS (
+  SELECT *, row_number() OVER (PARTITION BY error IS NOT NULL ORDER BY repl) AS rf FROM st)""", """
+rest AS (SELECT repl FROM st2 WHERE NOT (error IS NOT NULL AND rf <= 2))""", """
+kept AS (SELECT repl FROM (SELECT repl, row_number() OVER (ORDER BY repl) AS rk FROM rest) WHERE rk <= 200)""",
+    recursive=True))
+
+oracle("quantile_fan", with_boot("""
+SELECT f.entity, f.period, f.series, round(b.base, 6) AS base,
+       round(f.lo90, 6) AS lo90, round(f.lo70, 6) AS lo70, round(f.hi70, 6) AS hi70,
+       round(f.hi90, 6) AS hi90
+FROM fan f LEFT JOIN bl b ON b.entity = f.entity AND b.period = f.period AND b.series = f.series
+""", PATHS, """
+pg AS (
+  SELECT entity, repl, period, y,
+         (y / nullif(lag(y, 4) OVER (PARTITION BY entity, repl ORDER BY period), 0) - 1) * 100 AS y_g4
+  FROM p)""", """
+lng AS (
+  SELECT entity, period, 'y' AS series, y AS v FROM pg
+  UNION ALL SELECT entity, period, 'y_g4' AS series, y_g4 AS v FROM pg)""", """
+fan AS (
+  SELECT entity, period, series,
+    quantile_cont(v, 0.05) AS lo90, quantile_cont(v, 0.15) AS lo70,
+    quantile_cont(v, 0.85) AS hi70, quantile_cont(v, 0.95) AS hi90
+  FROM lng GROUP BY 1, 2, 3)""", """
+bp AS (
+  SELECT r.entity, r.period, 0.5 * i.y + r.qty_trac AS y
+  FROM res r LEFT JOIN init i ON i.entity = r.entity WHERE r.period = DATE '2000-01-01'
+  UNION ALL
+  SELECT r.entity, r.period, 0.5 * bp.y + r.qty_trac
+  FROM bp JOIN res r ON r.entity = bp.entity AND r.period = CAST(bp.period + INTERVAL 3 MONTH AS DATE))""",
+    """
+bl AS (
+  SELECT entity, period, 'y' AS series, y AS base FROM bp
+  UNION ALL
+  SELECT entity, period, 'y_g4' AS series,
+         (y / nullif(lag(y, 4) OVER (PARTITION BY entity ORDER BY period), 0) - 1) * 100 AS base
+  FROM bp)""", recursive=True))
+
+oracle("bootstrap_trim", with_boot("""
+SELECT entity, repl, period, round(y, 6) AS y FROM (
+  SELECT q.entity, r.range AS repl, q.period, q.qty AS y FROM q, range(202) r
+  WHERE q.period < DATE '2000-01-01'
+  UNION ALL
+  SELECT entity, repl, period, y FROM p)
+WHERE period BETWEEN DATE '1998-07-01' AND DATE '2001-10-01'""", PATHS, recursive=True))

@@ -263,11 +263,8 @@ def shock_decay(spark, d):
 
 
 def _capped_growth(prev, row):
-    # y = min(1.05 * y(-1), qty); a missing argument gives a missing result
-    q = row["qty"]
-    if np.isnan(prev) or np.isnan(q):
-        return np.nan
-    return min(1.05 * prev, q)
+    # y = min(1.05 * y(-1), qty); np.minimum keeps a missing argument missing
+    return np.minimum(1.05 * prev, row["qty"])
 
 
 @query
@@ -305,3 +302,188 @@ def baseline_vs_scenario(spark, d):
     sim = PN.set_range(sim, "disc", F.col("disc") + 0.01, "2000Q1", "2001Q4")
     rep = PN.baseline_vs_scenario(base, sim, ["qty", "rev"], ["disc"], "2000Q1", "2001Q4")
     return rep
+
+
+# --------------------------------------------------------------------------
+# Residuals
+
+from ..operators import bootstrap as B  # noqa: E402
+from ..operators import residuals as RS  # noqa: E402
+
+RESID_START, RESID_END = "1996Q1", "2001Q4"
+HIST_START, HIST_END = "1996Q1", "1999Q4"
+SIM_START, SIM_END = "2000Q1", "2001Q4"
+NREPL, NEXTRA, SEED = 200, 2, 1234
+
+
+def _equations(q):
+    s = PN.Series(q)
+    return {
+        "rev": (S.log(s("rev")), 0.8 * S.log(s("rev", -1)) + 0.1 * S.log(s("qty"))),
+        # coefficients with endless decimal expansions keep rounded outputs
+        # away from decimal ties
+        "qty": (s("qty"), s("qty", -1) / 3 + s("rev") / 7000),
+    }
+
+
+def _residual_panel(spark, d):
+    q = supplier_panel(spark, d)
+    return RS.tracking_residuals(q, _equations(q), RESID_START, RESID_END)
+
+
+@query
+def tracking_residuals(spark, d):
+    r = _residual_panel(spark, d)
+    return r.select("entity", "period", r6(F.col("rev_trac")).alias("rev_trac"), "qty_trac")
+
+
+@query
+def residual_closure(spark, d):
+    r = _residual_panel(spark, d)
+    r = RS.residual_closure(r, _equations(r))
+    return r.select("entity", "period", "rev_closes", "qty_closes")
+
+
+@query
+def residual_norm(spark, d):
+    q = supplier_panel(spark, d)
+    q = RS.residual_norm(q, _equations(q))
+    return q.select("entity", "period", r6(F.col("resid_norm")).alias("resid_norm"))
+
+
+@query
+def domain_violations(spark, d):
+    q = supplier_panel(spark, d)
+    exprs = {"log_qty_less_200": (S.log(F.col("qty") - 200), ["qty"]),
+             "rev_over_zero": (S.div(F.col("rev"), F.col("qty") - F.col("qty")), ["rev", "qty"])}
+    return RS.domain_violations(q, exprs, keys=["entity"])
+
+
+@query
+def backtest_fanout(spark, d):
+    tasks = table(spark, d, "orders").select(F.col("o_orderkey").alias("task_index"))
+    return RS.backtest_fanout(tasks)
+
+
+# --------------------------------------------------------------------------
+# Bootstrap
+
+
+def _demeaned(spark, d):
+    return B.demean(_residual_panel(spark, d), ["qty_trac", "rev_trac"], HIST_START, HIST_END)
+
+
+def _draws(spark, d):
+    sim = P.slice_periods(supplier_panel(spark, d).select("period"), SIM_START, SIM_END)
+    return B.bootstrap_draws(sim, NREPL + NEXTRA, HIST_START, HIST_END, SEED)
+
+
+def _shocks(spark, d):
+    return B.bootstrap_shocks(_residual_panel(spark, d), _demeaned(spark, d), _draws(spark, d),
+                              ["qty_trac", "rev_trac"], NREPL + NEXTRA, 8, SIM_START, SIM_END)
+
+
+def _anchor(spark, d):
+    q = supplier_panel(spark, d)
+    return q.filter(F.col("period") == P.quarter_lit(HIST_END)).select(
+        "entity", F.col("qty").alias("init"))
+
+
+def _paths(spark, d):
+    sh = _shocks(spark, d).withColumn("y", F.lit(None).cast("double"))
+    return R.linear_recurrence(sh, "y", 0.5, F.col("qty_trac"), start=SIM_START,
+                               keys=["entity", "repl"], init=_anchor(spark, d))
+
+
+@query
+def demean_residuals(spark, d):
+    dm = _demeaned(spark, d)
+    return dm.select("entity", "period", r6(F.col("qty_trac")).alias("qty_trac"),
+                     r6(F.col("rev_trac")).alias("rev_trac"))
+
+
+@query
+def bootstrap_draws(spark, d):
+    return _draws(spark, d)
+
+
+@query
+def bootstrap_shocks(spark, d):
+    sh = _shocks(spark, d)
+    return sh.select("entity", "repl", "period", r6(F.col("qty_trac")).alias("qty_trac"),
+                     r6(F.col("rev_trac")).alias("rev_trac"))
+
+
+@query
+def bootstrap_paths(spark, d):
+    return _paths(spark, d).select("entity", "repl", "period", r6(F.col("y")).alias("y"))
+
+
+def _failing_step(prev, row):
+    # Stand-in for a solver that fails in some replications.
+    if np.any(row["repl"] % 50 == 7):
+        raise ValueError("replication failed to converge")
+    return 0.5 * prev + row["qty_trac"]
+
+
+def _errors(spark, d):
+    sh = _shocks(spark, d).withColumn("y", F.lit(None).cast("double"))
+    an = _anchor(spark, d).withColumnRenamed("init", "__init")
+    # the quarter before the simulation carries the start value
+    pre = an.select("entity", F.explode(F.sequence(F.lit(0), F.lit(NREPL + NEXTRA - 1)))
+                    .alias("repl"), P.quarter_lit(HIST_END).alias("period"),
+                    F.lit(None).cast("double").alias("qty_trac"),
+                    F.lit(None).cast("double").alias("rev_trac"), F.col("__init").alias("y"))
+    panel = sh.unionByName(pre)
+    out = R.general_recurrence(panel.withColumn("repl_d", F.col("repl").cast("double")), "y",
+                               lambda p, r: _failing_step(p, {"repl": r["repl_d"],
+                                                              "qty_trac": r["qty_trac"]}),
+                               ["repl_d", "qty_trac"], start=SIM_START,
+                               keys=["entity", "repl"], vector_keys=["repl"], error_col="error")
+    return out.filter(F.col("period") >= P.quarter_lit(SIM_START))
+
+
+@query
+def bootstrap_errors(spark, d):
+    return _errors(spark, d).select("entity", "repl", "period", r6(F.col("y")).alias("y"), "error")
+
+
+@query
+def keep_good_replications(spark, d):
+    paths = _errors(spark, d)
+    status = paths.groupBy("repl").agg(F.max("error").alias("error"))
+    keep = B.keep_good_replications(status, NREPL, NEXTRA)
+    return paths.join(keep.filter("keep"), on="repl", how="left_semi") \
+        .select("entity", "repl", "period", r6(F.col("y")).alias("y"), "error")
+
+
+@query
+def quantile_fan(spark, d):
+    paths = PN.pct_change_n(_paths(spark, d), ["y"], 4, keys=["entity", "repl"], suffix="_g4")
+    long = paths.select("entity", "period", F.explode(F.array(
+        F.struct(F.lit("y").alias("series"), F.col("y").alias("v")),
+        F.struct(F.lit("y_g4").alias("series"), F.col("y_g4").alias("v")))).alias("__s")) \
+        .select("entity", "period", "__s.series", "__s.v")
+    fan = B.quantile_fan(long, "v", ["entity", "period", "series"])
+    base = _residual_panel(spark, d).filter(F.col("period") >= P.quarter_lit(SIM_START)) \
+        .select("entity", "period", "qty_trac").withColumn("y", F.lit(None).cast("double"))
+    base = R.linear_recurrence(base, "y", 0.5, F.col("qty_trac"), start=SIM_START,
+                               init=_anchor(spark, d))
+    base = PN.pct_change_n(base, ["y"], 4, suffix="_g4")
+    base = base.select("entity", "period", F.explode(F.array(
+        F.struct(F.lit("y").alias("series"), F.col("y").alias("base")),
+        F.struct(F.lit("y_g4").alias("series"), F.col("y_g4").alias("base")))).alias("__b")) \
+        .select("entity", "period", "__b.series", "__b.base")
+    out = fan.join(base, on=["entity", "period", "series"], how="left")
+    return out.select("entity", "period", "series",
+                      *[r6(F.col(c)).alias(c) for c in ("base", "lo90", "lo70", "hi70", "hi90")])
+
+
+@query
+def bootstrap_trim(spark, d):
+    hist = B.replicate(supplier_panel(spark, d).filter(F.col("period") < P.quarter_lit(SIM_START))
+                       .select("entity", "period", F.col("qty").alias("y")), NREPL + NEXTRA)
+    paths = _paths(spark, d).select("entity", "repl", "period", "y")
+    full = hist.select("entity", "repl", "period", "y").unionByName(paths)
+    out = P.trim_window(full, SIM_START, SIM_END)
+    return out.select("entity", "repl", "period", r6(F.col("y")).alias("y"))
