@@ -466,3 +466,253 @@ SELECT entity, repl, period, round(y, 6) AS y FROM (
   UNION ALL
   SELECT entity, repl, period, y FROM p)
 WHERE period BETWEEN DATE '1998-07-01' AND DATE '2001-10-01'""", PATHS, recursive=True))
+
+# ---------------------------------------------------------------- sources
+oracle("scan_union_by_name", """
+SELECT o_orderkey, o_custkey,
+  CASE WHEN year(o_orderdate) < 1998 THEN o_totalprice END AS o_totalprice,
+  CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS o_orderpriority,
+  CASE WHEN year(o_orderdate) < 1998 THEN 'early' ELSE 'late' END AS series_id
+FROM orders""")
+
+oracle("series_from_filename", """
+SELECT r_name AS series_id, n_nationkey, n_name
+FROM nation JOIN region ON r_regionkey = n_regionkey""")
+
+oracle("load_quarterly_csv", """
+SELECT l_returnflag AS entity, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS period,
+       sum(l_quantity) AS qty, round(sum(l_extendedprice), 2) AS rev
+FROM lineitem GROUP BY 1, 2""")
+
+oracle("csv_by_year_roundtrip", """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders""")
+
+oracle("materialize_table", ORACLES["indicator_table"])
+
+oracle("view_chain", """
+WITH my_first_model AS (
+  SELECT c_nationkey AS id FROM customer UNION ALL SELECT CAST(NULL AS INTEGER) AS id FROM nation)
+SELECT * FROM my_first_model WHERE id = 1""")
+
+# ---------------------------------------------------------------- checks
+DOCS = """
+dl AS (SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic
+       FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
+"""
+
+oracle("null_audit", f"""
+WITH {DOCS.strip()}
+SELECT 'lang' AS "column", count(*) FILTER (WHERE lang IS NULL) AS n_null FROM dl
+UNION ALL SELECT 'source', count(*) FILTER (WHERE source IS NULL) FROM dl
+UNION ALL SELECT 'quality', count(*) FILTER (WHERE quality IS NULL) FROM dl
+UNION ALL SELECT 'toxic', count(*) FILTER (WHERE toxic IS NULL) FROM dl""")
+
+oracle("check_unique", """
+SELECT text, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1""")
+
+oracle("check_not_null", f"""
+WITH {DOCS.strip()}
+SELECT doc_id FROM dl WHERE quality IS NULL""")
+
+oracle("missing_series", """
+SELECT name FROM (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('refund')) v(name)
+WHERE name NOT IN (SELECT event_type FROM events WHERE event_type IS NOT NULL)""")
+
+# ---------------------------------------------------------------- catalogue
+CAT = [r"""
+cat AS (
+  SELECT 'v' || p_partkey AS name, p_partkey AS k, p_size AS s, p_brand,
+    CASE WHEN p_size % 5 = 0 THEN 'Exogenous' ELSE 'Behavioral' END AS equation_type,
+    CASE WHEN p_size % 3 = 0 THEN 'NO' WHEN p_size % 3 = 1 THEN 'YES' END AS stochastic_type,
+    CASE WHEN p_size % 5 <> 0 THEN
+      'v' || p_partkey || ' - v' || p_partkey || '_aerr = y_v' || p_partkey || '_1 * '
+      || lower(p_type) || '(-' || (p_size % 4) || ') + y_v' || p_partkey || '_2 * log('
+      || lower(split_part(p_name, ' ', 1)) || ') + 0.5 * v' || (p_partkey // 2)
+      || CASE WHEN p_size % 7 = 0 THEN ' + 0.1 * v' || (p_partkey * 4) ELSE '' END
+      || CASE WHEN p_size % 3 > 0 THEN ' + ' || lower(split_part(p_name, ' ', 2)) || '(' || (p_size % 3) || ')' ELSE '' END
+      || CASE WHEN p_size % 4 = 3 THEN ' + y_v' || p_partkey || '_3 * ' || lower(split_part(p_name, ' ', 2)) ELSE '' END
+    END AS std_eq,
+    p_retailprice / 1000 AS cf1, CAST(p_size AS DOUBLE) / 10.0 AS cf2,
+    CASE WHEN p_size % 5 <> 0 THEN
+      CASE WHEN p_size % 6 = 1 THEN 'mcap' WHEN p_size % 6 = 2 THEN 'mcwp' WHEN p_size % 6 = 4 THEN 'other' END
+    END AS mce_group,
+    'v' || p_partkey || ' = v' || p_partkey || '(1) + ' || lower(split_part(p_name, ' ', 1)) AS mce_eq
+  FROM part)
+""", r"""
+eqs AS (SELECT name, k, regexp_replace(std_eq, '\s+', '', 'g') AS equation FROM cat WHERE std_eq IS NOT NULL)
+""", r"""
+tok0 AS (
+  SELECT name, unnest(range(len(l))) AS pos, unnest(l) AS m
+  FROM (SELECT name, regexp_extract_all(equation, '\b([a-z]\w+)(?:\((-?\d+)\))?', 0) AS l FROM eqs))
+""", r"""
+tok AS (
+  SELECT name, CAST(pos AS INTEGER) AS pos, regexp_extract(m, '^([a-z]\w+)', 1) AS variable,
+         coalesce(try_cast(regexp_extract(m, '\((-?\d+)\)$', 1) AS INTEGER), 0) AS "offset",
+         regexp_full_match(regexp_extract(m, '^([a-z]\w+)', 1), 'y_\w+_\d+') AS is_coef
+  FROM tok0
+  WHERE regexp_extract(m, '^([a-z]\w+)', 1) NOT IN ('log', 'exp', 'max', 'min', 'abs', 'ind_ltezero'))
+""", r"""
+coefs AS (
+  SELECT name, 'y_' || name || '_1' AS cf_name, cf1 AS cf_value FROM cat WHERE std_eq IS NOT NULL
+  UNION ALL
+  SELECT name, 'y_' || name || '_2' AS cf_name, cf2 AS cf_value FROM cat WHERE std_eq IS NOT NULL)
+""", r"""
+endo AS (SELECT name FROM cat WHERE std_eq IS NOT NULL)
+""", r"""
+edges AS (
+  SELECT DISTINCT t.variable AS src, t.name AS dst FROM tok t
+  WHERE t."offset" = 0 AND NOT t.is_coef AND t.variable <> t.name
+    AND t.variable IN (SELECT name FROM endo))
+"""]
+
+
+def with_cat(body: str, *extra: str, recursive: bool = False) -> str:
+    ctes = ",\n".join([c.strip() for c in CAT] + [e.strip() for e in extra])
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ctes + "\n" + body
+
+
+oracle("catalog_scan", with_cat("""
+SELECT name, equation_type, stochastic_type, std_eq AS python_equation,
+       CASE WHEN std_eq IS NOT NULL THEN 2 END AS n_coeff, mce_group
+FROM cat"""))
+
+oracle("catalog_predicates", with_cat("""
+SELECT 'endogenous' AS predicate, name FROM cat WHERE std_eq IS NOT NULL
+UNION ALL SELECT 'exogenous', name FROM cat WHERE equation_type = 'Exogenous'
+UNION ALL SELECT 'stochastic', name FROM cat WHERE stochastic_type <> 'NO'"""))
+
+oracle("catalog_override", with_cat(r"""
+SELECT coalesce(n.name, b.name) AS name, coalesce(n.equation, b.equation) AS equation,
+       CASE WHEN n.equation IS NOT NULL THEN 'override' ELSE 'base' END AS source
+FROM eqs b FULL OUTER JOIN (
+  SELECT name, regexp_replace(mce_eq, '\s+', '', 'g') AS equation FROM cat
+  WHERE mce_group IN ('mcap', 'mcwp')) n ON n.name = b.name"""))
+
+oracle("catalog_coefficients", with_cat("SELECT name, cf_name, cf_value FROM coefs"))
+
+oracle("missing_coefficients", with_cat("""
+SELECT DISTINCT t.name, t.variable AS cf_name FROM tok t
+WHERE t.is_coef AND t.variable NOT IN (SELECT cf_name FROM coefs)"""))
+
+oracle("equation_tokens", with_cat("""SELECT name, pos, variable, "offset", is_coef FROM tok"""))
+
+oracle("equation_edges", with_cat("SELECT src, dst FROM edges"))
+
+oracle("equation_lead_profile", with_cat("""
+SELECT name, greatest(max("offset"), 0) AS max_lead, bool_or("offset" > 0) AS has_leads
+FROM tok GROUP BY name"""))
+
+STACKED = """
+st AS (
+  SELECT t.name, CAST(sh.shift AS INTEGER) AS shift, t.pos,
+    CASE WHEN t."offset" + sh.shift > 0 THEN t.variable || '_' || (t."offset" + sh.shift)
+         ELSE t.variable END AS variable,
+    CASE WHEN t."offset" + sh.shift > 0 THEN 0 ELSE t."offset" + sh.shift END AS "offset"
+  FROM tok t, (SELECT unnest(range(1, 3)) AS shift) sh)
+"""
+
+oracle("stack_tokens", with_cat("""SELECT name, shift, pos, variable, "offset" FROM st""", STACKED))
+
+oracle("split_lead_names", with_cat(r"""
+SELECT DISTINCT variable AS name, regexp_matches(variable, '_\d+') AS is_lead FROM st""", STACKED))
+
+oracle("equation_text_functions", with_cat(r"""
+SELECT name, regexp_replace(std_eq, '\s+', '', 'g') AS clean,
+  split_part(regexp_replace(std_eq, '\s+', '', 'g'), '=', 2) || '-('
+    || split_part(regexp_replace(std_eq, '\s+', '', 'g'), '=', 1) || ')' AS flipped,
+  name || '_trac' AS trac,
+  name || '_trac_' || (s % 3) AS trac_lead,
+  true AS size_is_number,
+  try_cast(p_brand AS DOUBLE) IS NOT NULL AS brand_is_number
+FROM cat WHERE std_eq IS NOT NULL"""))
+
+oracle("prune_unused_series", with_cat("""
+SELECT name FROM cat WHERE equation_type = 'Exogenous' AND name IN (SELECT variable FROM tok)"""))
+
+oracle("new_input_series", with_cat(r"""
+SELECT name, "order", pos FROM (
+  SELECT name, "order", pos, row_number() OVER (PARTITION BY name ORDER BY "order", pos) AS rn
+  FROM (
+    SELECT k AS "order", unnest(range(len(w))) AS pos, unnest(w) AS name
+    FROM (SELECT k, string_split(trim(regexp_replace(equation, '[^\w]+', ' ', 'g')), ' ') AS w FROM eqs))
+  WHERE name <> '' AND NOT regexp_matches(name, '^\d')
+    AND name NOT IN ('log', 'exp', 'max', 'min', 'abs', 'ind_ltezero')
+    AND name NOT IN (SELECT name FROM cat WHERE std_eq IS NOT NULL OR equation_type = 'Exogenous'))
+WHERE rn = 1"""))
+
+oracle("exogenize_catalog", with_cat("""
+SELECT name, 'equation' AS kind FROM eqs
+WHERE name NOT IN (SELECT name FROM cat WHERE p_brand = 'Brand#1' AND std_eq IS NOT NULL)
+UNION ALL
+SELECT DISTINCT name, 'input' AS kind FROM (
+  SELECT name FROM cat WHERE equation_type = 'Exogenous'
+  UNION SELECT name FROM cat WHERE p_brand = 'Brand#1' AND std_eq IS NOT NULL)"""))
+
+# ---------------------------------------------------------------- graphs
+REACH = """
+reach AS (
+  SELECT src, dst FROM edges
+  UNION
+  SELECT r.src, e.dst FROM reach r JOIN edges e ON e.src = r.dst)
+""", """
+comp AS (
+  SELECT n.name AS node,
+         least(n.name, coalesce((SELECT min(r.dst) FROM reach r
+                                 WHERE r.src = n.name
+                                   AND EXISTS (SELECT 1 FROM reach b WHERE b.src = r.dst AND b.dst = n.name)),
+                                n.name)) AS comp
+  FROM endo n)
+""", """
+csize AS (SELECT node, comp, count(*) OVER (PARTITION BY comp) AS size FROM comp)
+""", """
+blocked AS (
+  SELECT src AS node FROM reach WHERE src = dst
+  UNION SELECT r.dst FROM reach r WHERE r.src IN (SELECT src FROM reach WHERE src = dst))
+""", """
+dag AS (
+  SELECT src, dst FROM edges
+  WHERE src NOT IN (SELECT node FROM blocked) AND dst NOT IN (SELECT node FROM blocked))
+""", """
+depth AS (
+  SELECT name AS node, 0 AS d FROM endo
+  WHERE name NOT IN (SELECT node FROM blocked) AND name NOT IN (SELECT dst FROM edges)
+  UNION
+  SELECT e.dst, depth.d + 1 FROM depth JOIN dag e ON e.src = depth.node)
+""", """
+lvl AS (
+  SELECT n.name AS node, CAST(max(depth.d) AS INTEGER) AS level
+  FROM endo n LEFT JOIN depth ON depth.node = n.name GROUP BY n.name)
+"""
+
+oracle("in_degree", with_cat("""
+SELECT n.name AS node, CAST(count(e.src) AS BIGINT) AS in_degree
+FROM endo n LEFT JOIN edges e ON e.dst = n.name GROUP BY n.name"""))
+
+oracle("topo_levels", with_cat("SELECT node, level FROM lvl", *REACH, recursive=True))
+
+oracle("scc", with_cat("SELECT node, comp, size FROM csize WHERE size > 1", *REACH, recursive=True))
+
+oracle("smallest_source_component", with_cat("""
+SELECT node, comp, size FROM csize
+WHERE comp = (
+  SELECT arg_min(comp, size * 1000000000 + 0) FROM (
+    SELECT DISTINCT c.comp, c.size FROM csize c
+    WHERE c.size > 1 AND c.node IN (SELECT node FROM lvl WHERE level IS NULL)
+      AND c.comp NOT IN (
+        SELECT cd.comp FROM edges e
+        JOIN csize cs ON cs.node = e.src JOIN csize cd ON cd.node = e.dst
+        WHERE cs.comp <> cd.comp AND e.src IN (SELECT node FROM lvl WHERE level IS NULL))
+    ORDER BY c.size, c.comp))""", *REACH, recursive=True))
+
+oracle("block_order", with_cat("""
+SELECT c.node, c.comp AS block, bl.level AS block_level, c.size > 1 AS simultaneous
+FROM csize c JOIN bl ON bl.comp = c.comp""", *REACH, """
+cedges AS (
+  SELECT DISTINCT cs.comp AS src, cd.comp AS dst FROM edges e
+  JOIN csize cs ON cs.node = e.src JOIN csize cd ON cd.node = e.dst WHERE cs.comp <> cd.comp)""", """
+cdepth AS (
+  SELECT DISTINCT comp, 0 AS d FROM csize WHERE comp NOT IN (SELECT dst FROM cedges)
+  UNION
+  SELECT e.dst, cdepth.d + 1 FROM cdepth JOIN cedges e ON e.src = cdepth.comp)""", """
+bl AS (SELECT comp, CAST(max(d) AS INTEGER) AS level FROM cdepth GROUP BY comp)""",
+    recursive=True))

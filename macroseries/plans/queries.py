@@ -487,3 +487,271 @@ def bootstrap_trim(spark, d):
     full = hist.select("entity", "repl", "period", "y").unionByName(paths)
     out = P.trim_window(full, SIM_START, SIM_END)
     return out.select("entity", "repl", "period", r6(F.col("y")).alias("y"))
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks
+
+from ..operators import catalog as C  # noqa: E402
+from ..operators import checks as CK  # noqa: E402
+from ..operators import graph as G  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import files as SRC  # noqa: E402
+from .standins import catalog_frame  # noqa: E402
+
+
+@query
+def scan_union_by_name(spark, d):
+    base = scratch_path(spark, "raw")
+    o = table(spark, d, "orders").withColumn("y", F.year("o_orderdate"))
+    o.filter(F.col("y") < 1998).select("o_orderkey", "o_custkey", "o_totalprice") \
+        .write.mode("overwrite").parquet(f"{base}/raw/early.parquet")
+    o.filter(F.col("y") >= 1998).select("o_orderkey", "o_custkey", "o_orderpriority") \
+        .write.mode("overwrite").parquet(f"{base}/raw/late.parquet")
+    df = SRC.scan_parquet(spark, f"{base}/raw/*.parquet", with_file="filename")
+    return df.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
+                     SRC.series_from_path("filename").alias("series_id"))
+
+
+@query
+def series_from_filename(spark, d):
+    base = scratch_path(spark, "raw")
+    nat = table(spark, d, "nation").join(
+        table(spark, d, "region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+    # one directory per series, named after it (the names are the 5 regions)
+    for (r,) in table(spark, d, "region").select("r_name").distinct().collect():
+        nat.filter(F.col("r_name") == r).select("n_nationkey", "n_name") \
+            .write.mode("overwrite").parquet(f"{base}/raw/{r}.parquet")
+    df = SRC.scan_parquet(spark, f"{base}/raw/*.parquet", with_file="filename")
+    return df.select(SRC.series_from_path("filename").alias("series_id"), "n_nationkey", "n_name")
+
+
+@query
+def load_quarterly_csv(spark, d):
+    path = scratch_path(spark, "csv")
+    li = table(spark, d, "lineitem")
+    wide = li.groupBy(F.col("l_returnflag").alias("entity"), P.quarter_start("l_shipdate").alias("p")) \
+        .agg(F.sum("l_quantity").alias("QTY"), F.round(F.sum("l_extendedprice"), 2).alias("Rev"))
+    text = P.quarter_text("p", lower=False)
+    wide = wide.select(F.when(F.quarter("p") % 2 == 0, F.lower(text)).otherwise(text).alias("Quarter"),
+                       "QTY", "Rev", "entity")
+    SRC.write_csv_partitioned(wide, path, "entity")
+    return SRC.load_quarterly_csv(spark, path, keep=["entity"])
+
+
+@query
+def csv_by_year_roundtrip(spark, d):
+    path = scratch_path(spark, "csv")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
+                                         F.year("o_orderdate").alias("year"))
+    SRC.write_csv_partitioned(o, path, "year")
+    back = spark.read.option("header", True).schema(
+        "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, year INT").csv(path)
+    return back
+
+
+@query
+def materialize_table(spark, d):
+    t = indicator_table(spark, d)
+    return SRC.materialize_table(t, "stg_indicators", scratch_path(spark, "tables"))
+
+
+@query
+def view_chain(spark, d):
+    first = table(spark, d, "customer").select(F.col("c_nationkey").alias("id")).unionByName(
+        table(spark, d, "nation").select(F.lit(None).cast("int").alias("id")))
+    SRC.create_view(first, "my_first_model")
+    second = spark.table("my_first_model").filter(F.col("id") == 1)
+    return SRC.create_view(second, "my_second_model")
+
+
+# --------------------------------------------------------------------------
+# Checks (A6, A7, U3)
+
+
+def _docs_labels(spark, d):
+    return table(spark, d, "documents").select("doc_id", "lang", "source") \
+        .join(table(spark, d, "labels"), "doc_id", "left")
+
+
+@query
+def null_audit(spark, d):
+    return CK.null_audit(_docs_labels(spark, d), ["lang", "source", "quality", "toxic"])
+
+
+@query
+def check_unique(spark, d):
+    return CK.check_unique(table(spark, d, "documents"), "text")
+
+
+@query
+def check_not_null(spark, d):
+    return CK.check_not_null(_docs_labels(spark, d), "quality").select("doc_id")
+
+
+# Series the stand-in indicator model needs (fixed model configuration).
+REQUIRED_SERIES = EVENT_SERIES + ["refund"]
+
+
+@query
+def missing_series(spark, d):
+    req = spark.createDataFrame([(n,) for n in REQUIRED_SERIES], "name string")
+    present = table(spark, d, "events").select(F.col("event_type").alias("name"))
+    return CK.missing_names(req, present)
+
+
+# --------------------------------------------------------------------------
+# Catalogue and equations
+
+
+@query
+def catalog_scan(spark, d):
+    path = scratch_path(spark, "xml")
+    SRC.write_catalog(catalog_frame(spark, d).drop("p_brand"), path)
+    cat = SRC.read_catalog(spark, path)
+    coeff = F.col("standard_equation.coeff")
+    return cat.select("name", "equation_type", "stochastic_type",
+                      F.col("standard_equation.python_equation").alias("python_equation"),
+                      F.when(coeff.isNotNull(), F.size(coeff)).alias("n_coeff"),
+                      F.col("mce_equation.mce_group").alias("mce_group"))
+
+
+@query
+def catalog_predicates(spark, d):
+    cat = catalog_frame(spark, d)
+    return C.endogenous(cat).select(F.lit("endogenous").alias("predicate"), "name") \
+        .unionByName(C.exogenous(cat).select(F.lit("exogenous").alias("predicate"), "name")) \
+        .unionByName(C.stochastic(cat).select(F.lit("stochastic").alias("predicate"), "name"))
+
+
+@query
+def catalog_override(spark, d):
+    cat = catalog_frame(spark, d)
+    return C.override_equations(C.equations(cat), C.mce_equations(cat, "mcap+wp"))
+
+
+@query
+def catalog_coefficients(spark, d):
+    return C.coefficients(catalog_frame(spark, d))
+
+
+def _tokens(spark, d):
+    return C.tokens(C.equations(catalog_frame(spark, d)))
+
+
+@query
+def missing_coefficients(spark, d):
+    cat = catalog_frame(spark, d)
+    return C.missing_coefficients(C.tokens(C.equations(cat)), C.coefficients(cat))
+
+
+@query
+def equation_tokens(spark, d):
+    return _tokens(spark, d)
+
+
+def _edges(spark, d):
+    cat = catalog_frame(spark, d)
+    return C.edges(C.tokens(C.equations(cat)), C.endogenous(cat))
+
+
+@query
+def equation_edges(spark, d):
+    return _edges(spark, d)
+
+
+@query
+def equation_lead_profile(spark, d):
+    return C.lead_profile(_tokens(spark, d))
+
+
+@query
+def stack_tokens(spark, d):
+    return C.stack_tokens(_tokens(spark, d), 3)
+
+
+@query
+def split_lead_names(spark, d):
+    names = C.stack_tokens(_tokens(spark, d), 3).select(F.col("variable").alias("name")).distinct()
+    return names.select("name", C.is_lead("name").alias("is_lead"))
+
+
+@query
+def equation_text_functions(spark, d):
+    p = table(spark, d, "part")
+    cat = catalog_frame(spark, d).filter(F.col("standard_equation").isNotNull())
+    raw = F.col("standard_equation.python_equation")
+    cat = cat.join(p.select(F.concat(F.lit("v"), F.col("p_partkey").cast("string")).alias("name"),
+                            "p_size", "p_brand"), ["name", "p_brand"])
+    return cat.select(
+        "name", S.clean_eq(raw).alias("clean"), S.flip_equals(S.clean_eq(raw)).alias("flipped"),
+        S.endo_to_trac(F.col("name")).alias("trac"),
+        S.endo_to_trac(F.concat("name", F.lit("_"), (F.col("p_size") % 3).cast("string"), F.lit("x")))
+        .alias("trac_lead"),
+        S.is_number(F.col("p_size").cast("string")).alias("size_is_number"),
+        S.is_number(F.col("p_brand")).alias("brand_is_number"))
+
+
+@query
+def prune_unused_series(spark, d):
+    cat = catalog_frame(spark, d)
+    return C.used_inputs(C.exogenous(cat), C.tokens(C.equations(cat)))
+
+
+@query
+def new_input_series(spark, d):
+    cat = catalog_frame(spark, d)
+    eqs = C.equations(cat).withColumn("order", F.regexp_extract("name", r"(\d+)", 1).cast("long"))
+    known = C.endogenous(cat).unionByName(C.exogenous(cat))
+    return C.new_inputs(eqs, known)
+
+
+@query
+def exogenize_catalog(spark, d):
+    cat = catalog_frame(spark, d)
+    names = cat.filter((F.col("p_brand") == "Brand#1") & F.col("standard_equation").isNotNull()) \
+        .select("name")
+    kept, inputs = C.exogenize(C.equations(cat), C.exogenous(cat), names)
+    return kept.select("name", F.lit("equation").alias("kind")).unionByName(
+        inputs.select("name", F.lit("input").alias("kind")))
+
+
+# --------------------------------------------------------------------------
+# Graphs (A4, E4-E7, O3) on the equation dependency graph
+
+
+def _graph(spark, d):
+    cat = catalog_frame(spark, d)
+    nodes = C.endogenous(cat).select(F.col("name").alias("node"))
+    return nodes, _edges(spark, d)
+
+
+@query
+def in_degree(spark, d):
+    n, e = _graph(spark, d)
+    return G.in_degree(n, e)
+
+
+@query
+def topo_levels(spark, d):
+    n, e = _graph(spark, d)
+    return G.topo_levels(n, e)
+
+
+@query
+def scc(spark, d):
+    n, e = _graph(spark, d)
+    return G.scc(n, e).filter(F.col("size") > 1)
+
+
+@query
+def smallest_source_component(spark, d):
+    n, e = _graph(spark, d)
+    comps = G.scc(n, e)
+    return G.smallest_source_component(n, e, comps, G.topo_levels(n, e))
+
+
+@query
+def block_order(spark, d):
+    n, e = _graph(spark, d)
+    return G.block_order(n, e)

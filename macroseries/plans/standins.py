@@ -47,3 +47,52 @@ def supplier_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         # average discount from whole percentage points: exact in any engine
         (F.sum(F.round(F.col("l_discount") * 100)) / F.count("l_discount") / 100).alias("disc"))
     return densify(agg, keys=["entity"], period="period")
+
+
+def catalog_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model catalogue built from ``part``: one variable ``v<partkey>`` per part.
+
+    Parts with ``p_size % 5 = 0`` are exogenous (no equation).  The others
+    get an equation that mentions the type word at a lag, the first name
+    word inside ``log``, the parent variable ``v<partkey div 2>``, for some
+    a second variable ``v<4 * partkey>`` (which closes cycles), a lead of the
+    second name word, and for some a coefficient the catalogue lacks.
+    """
+    p = table(spark, sf_dir, "part")
+    k, s = F.col("p_partkey"), F.col("p_size")
+    name = F.concat(F.lit("v"), k.cast("string"))
+    words = F.split(F.lower(F.col("p_name")), " ")
+    w1, w2 = F.element_at(words, 1), F.element_at(words, -1)
+    t = F.lower(F.col("p_type"))
+
+    def txt(c):
+        return c.cast("string")
+
+    eq = F.concat(
+        name, F.lit(" - "), name, F.lit("_aerr = y_"), name, F.lit("_1 * "), t, F.lit("(-"),
+        txt(s % 4), F.lit(") + y_"), name, F.lit("_2 * log("), w1, F.lit(") + 0.5 * v"),
+        txt(F.floor(k / 2)),
+        F.when(s % 7 == 0, F.concat(F.lit(" + 0.1 * v"), txt(k * 4))).otherwise(F.lit("")),
+        F.when(s % 3 > 0, F.concat(F.lit(" + "), w2, F.lit("("), txt(s % 3), F.lit(")")))
+        .otherwise(F.lit("")),
+        F.when(s % 4 == 3, F.concat(F.lit(" + y_"), name, F.lit("_3 * "), w2)).otherwise(F.lit("")))
+    has_eq = s % 5 != 0
+    coeff = F.array(
+        F.struct(F.concat(F.lit("y_"), name, F.lit("(1)")).alias("cf_name"),
+                 (F.col("p_retailprice") / 1000).alias("cf_value")),
+        F.struct(F.concat(F.lit("y_"), name, F.lit("(2)")).alias("cf_name"),
+                 (s.cast("double") / 10.0).alias("cf_value")))
+    group = F.when(s % 6 == 1, F.lit("mcap")).when(s % 6 == 2, F.lit("mcwp")) \
+        .when(s % 6 == 4, F.lit("other"))
+    mce = F.struct(group.alias("mce_group"),
+                   F.concat(name, F.lit(" = "), name, F.lit("(1) + "), w1).alias("python_equation"),
+                   F.array(F.struct(F.concat(F.lit("y_"), name, F.lit("(3)")).alias("cf_name"),
+                                    (s.cast("double") / 100.0).alias("cf_value"))).alias("coeff"))
+    return p.select(
+        name.alias("name"),
+        F.when(has_eq, F.lit("Behavioral")).otherwise(F.lit("Exogenous")).alias("equation_type"),
+        F.when(s % 3 == 0, F.lit("NO")).when(s % 3 == 1, F.lit("YES")).alias("stochastic_type"),
+        F.when(has_eq, F.struct(eq.alias("python_equation"), coeff.alias("coeff")))
+        .alias("standard_equation"),
+        F.when(has_eq & group.isNotNull(), mce).alias("mce_equation"),
+        F.col("p_brand"))
