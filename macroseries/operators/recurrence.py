@@ -15,9 +15,10 @@ No group ever holds more than ``chunk`` rows (level 1) or
 ``quarters / chunk`` rows (level 2), so one very long series is spread over
 many tasks.  NULL propagates exactly as in a sequential loop.
 
-The general (non-linear) form runs a Python step function per key with
-``applyInPandas``; a key is one entity's quarters, whose number is bounded by
-the calendar.
+The general (non-linear) form runs a numpy step function in
+``applyInPandas``: keys are hashed into buckets and the step runs once per
+quarter on the vector of all keys of a bucket, so Python is called
+quarters x buckets times, never once per row.
 """
 
 from __future__ import annotations
@@ -141,7 +142,7 @@ def shock_decay(df: DataFrame, target: str, rho: float, start, end=None,
 def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequence[str],
                        start=None, end=None, keys: Sequence[str] = KEYS,
                        period: str = PERIOD, error_col: str | None = None,
-                       vector_keys: Sequence[str] = (), blocks: int = 16) -> DataFrame:
+                       vector_keys: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
     """``target[t] = fn(target[t-1], row_t)`` over ``[start, end]`` (T9 general, X3).
 
     ``fn(prev, row)`` gets the previous (already rewritten) value and the
@@ -149,15 +150,16 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
     it with numpy operations: it is called with vectors.
 
     Runs per group in ``applyInPandas`` (Arrow batches), groups in parallel.
-    Keys listed in ``vector_keys`` (e.g. the replication) are not groups of
-    their own: they are hashed into ``blocks`` buckets per remaining key, and
-    inside a bucket ``fn`` runs once per quarter on a whole vector of them.
-    A group therefore holds one entity's quarters times a bounded share of
-    the replications.
+    Keys listed in ``vector_keys`` (e.g. entity and replication) are not
+    groups of their own: they are hashed into ``blocks`` buckets (default:
+    the session's shuffle partitions, the cluster's sizing knob) per
+    remaining key, and inside a bucket ``fn`` runs once per quarter on a
+    whole vector of them.  A group therefore holds a bounded share of the
+    paths, and the Python call count is quarters x buckets, not rows.
 
     With ``error_col`` an exception is caught and its text returned in that
-    column (values NULL) for the vector key that raised, instead of failing
-    the job (R8).
+    column (values NULL) for the vector keys that raised, instead of failing
+    the job (R8); the failing ones are isolated by bisection.
     """
     if target not in df.columns:
         raise KeyError(f"series not in panel: {target}")
@@ -167,6 +169,8 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
     inputs = [c for c in inputs if c != target]
     sel = df.select(*keys, period, *inputs, target, _in_range(period, start, end).alias("__in"))
     if vkeys:
+        if blocks is None:
+            blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
         sel = sel.withColumn("__blk", F.pmod(F.xxhash64(*vkeys), F.lit(blocks)))
         group = gkeys + ["__blk"]
     else:
@@ -194,20 +198,24 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
         y = grid[target].to_numpy(copy=True)
         cols = {c: grid[c].reindex(columns=ycols).to_numpy() for c in inputs}
         errors = np.full(len(ycols), None, dtype=object)
-        try:
-            y = solve(y, mask, cols)
-        except Exception:  # noqa: BLE001 - retry one vector key at a time
-            if error_col is None:
-                raise
-            y = grid[target].to_numpy(copy=True)
-            for j in range(len(ycols)):
-                try:
-                    yj = solve(y[:, j:j + 1].copy(), mask,
-                               {c: cols[c][:, j:j + 1] for c in inputs})
-                    y[:, j] = yj[:, 0]
-                except Exception as e:  # noqa: BLE001 - the error becomes data
-                    errors[j] = f"{type(e).__name__}: {e}"
-                    y[mask, j] = np.nan
+        y0 = y.copy()
+
+        def attempt(idx):
+            try:
+                y[:, idx] = solve(y0[:, idx].copy(), mask, {c: cols[c][:, idx] for c in inputs})
+            except Exception as e:  # noqa: BLE001 - the error becomes data (R8)
+                if error_col is None:
+                    raise
+                if len(idx) == 1:
+                    errors[idx[0]] = f"{type(e).__name__}: {e}"
+                    y[:, idx[0]] = y0[:, idx[0]]
+                    y[mask, idx[0]] = np.nan
+                    return
+                half = len(idx) // 2
+                attempt(idx[:half])
+                attempt(idx[half:])
+
+        attempt(np.arange(len(ycols)))
         res = pd.DataFrame(y, index=grid[target].index, columns=ycols)
         long = res.stack(list(range(len(vk))), future_stack=True).rename(target)
         long = long.reset_index()

@@ -270,7 +270,8 @@ def _capped_growth(prev, row):
 @query
 def recurrence_general(spark, d):
     q = supplier_panel(spark, d).withColumn("y", F.col("qty"))
-    q = R.general_recurrence(q, "y", _capped_growth, ["qty"], start="1996Q1")
+    q = R.general_recurrence(q, "y", _capped_growth, ["qty"], start="1996Q1",
+                             vector_keys=["entity"])
     return q.select("entity", "period", "y")
 
 
@@ -439,7 +440,8 @@ def _errors(spark, d):
                                lambda p, r: _failing_step(p, {"repl": r["repl_d"],
                                                               "qty_trac": r["qty_trac"]}),
                                ["repl_d", "qty_trac"], start=SIM_START,
-                               keys=["entity", "repl"], vector_keys=["repl"], error_col="error")
+                               keys=["entity", "repl"], vector_keys=["entity", "repl"],
+                               error_col="error")
     return out.filter(F.col("period") >= P.quarter_lit(SIM_START))
 
 
