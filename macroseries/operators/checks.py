@@ -38,13 +38,29 @@ def null_audit(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         .alias("__a")).select("__a.column", "__a.n_null")
 
 
-def check_unique(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def check_unique(df: DataFrame, key: str | Sequence[str], prehash: bool | None = None) -> DataFrame:
     """Keys that occur more than once, NULL keys ignored (A7 ``unique``):
-    ``(key..., n)``."""
+    ``(key..., n)``.
+
+    For wide keys (strings, e.g. whole documents) the first pass counts
+    only a 64-bit hash and the length, so the shuffle carries 16 bytes per
+    row; only rows whose hash repeats are shuffled again with the full key,
+    where exact equality decides.  ``prehash`` defaults to on for string
+    keys.
+    """
     key = [key] if isinstance(key, str) else list(key)
-    nn = df
+    nn = df.select(*key)
     for k in key:
         nn = nn.filter(F.col(k).isNotNull())
+    if prehash is None:
+        prehash = any(df.schema[k].dataType.typeName() in ("string", "binary") for k in key)
+    if prehash:
+        h = F.xxhash64(*key).alias("__h")
+        ln = sum((F.length(F.col(k).cast("string")) for k in key), F.lit(0)).alias("__l")
+        nn = nn.select(*key, h, ln)
+        rep = nn.groupBy("__h", "__l").agg(F.count(F.lit(1)).alias("__n")) \
+            .filter(F.col("__n") > 1).select("__h", "__l")
+        nn = nn.join(rep, on=["__h", "__l"], how="left_semi").select(*key)
     return nn.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
