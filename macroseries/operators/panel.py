@@ -31,23 +31,26 @@ def _window(keys: Sequence[str], period: str):
 
 def densify(df: DataFrame, keys: Sequence[str] = KEYS, period: str = PERIOD,
             start=None, end=None) -> DataFrame:
-    """Complete the quarter grid of every key (P7 + left join).
+    """Complete the quarter grid of every key (P7); new rows have NULL series.
 
     Without ``start``/``end`` each key spans its own first to last quarter.
-    The grid is generated per key with ``explode(sequence(...))`` (no cross
-    join) and joined back on ``(keys, period)``; new rows have NULL series.
+    One aggregation per key gathers its rows into a map keyed by quarter
+    (a key holds at most one row per quarter, so the map is bounded by the
+    calendar); the grid is generated with ``explode(sequence(...))`` and
+    looked up in the map.  The input is read once: no self-join, no cross
+    join.
     """
     keys = list(keys)
-    if start is None or end is None:
-        bounds = df.groupBy(*keys).agg(F.min(period).alias("__lo"), F.max(period).alias("__hi"))
-        lo = F.col("__lo") if start is None else as_col(start, literal=True)
-        hi = F.col("__hi") if end is None else as_col(end, literal=True)
-        grid = bounds.select(*keys, F.explode(period_sequence(lo, hi)).alias(period))
-    else:
-        grid = df.select(*keys).distinct().select(
-            *keys, F.explode(period_sequence(as_col(start, literal=True),
-                                             as_col(end, literal=True))).alias(period))
-    return grid.join(df, on=keys + [period], how="left")
+    vals = [c for c in df.columns if c not in keys and c != period]
+    g = df.groupBy(*keys).agg(
+        F.min(period).alias("__lo"), F.max(period).alias("__hi"),
+        F.map_from_entries(F.collect_list(F.struct(F.col(period), F.struct(*vals))))
+        .alias("__m"))
+    lo = F.col("__lo") if start is None else as_col(start, literal=True)
+    hi = F.col("__hi") if end is None else as_col(end, literal=True)
+    grid = g.select(*keys, "__m", F.explode(period_sequence(lo, hi)).alias(period))
+    hit = F.try_element_at(F.col("__m"), F.col(period))
+    return grid.select(*keys, period, *[hit[c].alias(c) for c in vals])
 
 
 class Series:

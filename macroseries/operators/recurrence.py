@@ -36,15 +36,6 @@ from ..functions.periods import add_quarters, ordinal
 from .panel import KEYS, PERIOD, _in_range
 
 
-def _anchor_before(df: DataFrame, target: str, start, keys, period) -> DataFrame:
-    """Per key: the value of ``target`` on the last row before ``start``."""
-    if start is None:
-        return None
-    s = as_col(start, literal=True)
-    return (df.filter(F.col(period) < s).groupBy(*keys)
-            .agg(F.max_by(F.col(target), F.col(period)).alias("__init")))
-
-
 def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
                       keys: Sequence[str] = KEYS, period: str = PERIOD,
                       chunk: int = 256, init: DataFrame | None = None) -> DataFrame:
@@ -52,46 +43,57 @@ def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
 
     ``a`` and ``b`` are numbers or Columns; they may use other series and
     their lags (see :class:`~macroseries.operators.panel.Series`), not the
-    target itself.  Rows outside the range keep their value.  Without a
-    start the first row has no predecessor, so the whole path is NULL, as in
-    the reference.
+    target itself.  Rows outside the range keep their value and restart the
+    recursion, so the first quarter of the range sees the target's value in
+    the quarter before.  Without a start the first row has no predecessor,
+    so the whole path is NULL, as in the reference.
 
     ``init`` optionally gives the value before the range as a table with
-    some of the keys and a column ``init`` (e.g. one row per entity for
-    all of its replications); by default it is the target's value on each
-    key's last row before ``start``.
+    some of the keys and a column ``init`` (e.g. one row per entity for all
+    of its replications), for panels that hold no row before ``start``.
 
-    Chunks count quarters from ``start``, so a range of up to ``chunk``
-    quarters is one sequential fold, bit-identical to a loop; longer ranges
-    are folded chunk by chunk in parallel and agree to rounding.
+    The input is read once and every row travels through the chunk arrays
+    (no join back).  Chunks count quarters from ``start``, so a range of up
+    to ``chunk`` quarters is one sequential fold, bit-identical to a loop;
+    longer ranges are folded chunk by chunk in parallel.
     """
     if target not in df.columns:
         raise KeyError(f"series not in panel: {target}")
     keys = list(keys)
-    rng = _in_range(period, start, end)
+    cols = df.columns
     origin = ordinal(as_col(start, literal=True)) if start is not None else F.lit(0)
-    rows = (df.select(*keys, period, as_col(a).cast("double").alias("__a"),
-                      as_col(b).cast("double").alias("__b"))
-            .filter(rng)
-            .withColumn("__c", F.floor((ordinal(period) - origin) / chunk)))
-
-    # level 1: one sorted array per chunk and its affine map Y -> A*Y + B
-    elem = F.struct(F.col(period).alias("t"), F.col("__a").alias("a"), F.col("__b").alias("b"))
-    xs = rows.groupBy(*keys, "__c").agg(F.sort_array(F.collect_list(elem)).alias("__xs"))
-    zero = F.struct(F.lit(0.0).alias("y"), F.lit(1.0).alias("p"))
-    affine = F.aggregate("__xs", zero, lambda acc, x: F.struct(
-        (x["a"] * acc["y"] + x["b"]).alias("y"), (acc["p"] * x["a"]).alias("p")))
-    summ = xs.select(*keys, "__c", affine["p"].alias("A"), affine["y"].alias("B"))
+    rows = df.select(
+        F.struct(*[F.col(c) for c in cols]).alias("__row"), *[F.col(k).alias(f"__k_{k}") for k in keys],
+        _in_range(period, start, end).alias("__in"),
+        as_col(a).cast("double").alias("__a"), as_col(b).cast("double").alias("__b"),
+        F.col(target).cast("double").alias("__t"),
+        F.floor((ordinal(period) - origin) / chunk).alias("__c"))
+    kk = [f"__k_{k}" for k in keys]
+
+    # level 1: sorted rows of a chunk and the chunk's map Y -> A*Y + B; a row
+    # outside the range resets the path to its own value
+    elem = F.struct(F.col(f"__row.{period}").alias("t"), "__in", "__a", "__b", "__t", "__row")
+    xs = rows.groupBy(*kk, "__c").agg(F.sort_array(F.collect_list(elem)).alias("__xs"))
+
+    def step1(acc, x):
+        return F.struct(
+            F.when(x["__in"], x["__a"] * acc["y"] + x["__b"]).otherwise(x["__t"]).alias("y"),
+            F.when(x["__in"], acc["p"] * x["__a"]).otherwise(F.lit(0.0)).alias("p"),
+            (acc["r"] | ~x["__in"]).alias("r"))
+
+    zero = F.struct(F.lit(0.0).alias("y"), F.lit(1.0).alias("p"), F.lit(False).alias("r"))
+    affine = F.aggregate("__xs", zero, step1)
+    summ = xs.select(*kk, "__c", affine["p"].alias("A"), affine["y"].alias("B"),
+                     affine["r"].alias("R"))
 
     # level 2: per key, the value entering each chunk
-    summ = summ.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("__c", "A", "B"))).alias("__cs"))
+    summ = summ.groupBy(*kk).agg(
+        F.sort_array(F.collect_list(F.struct("__c", "A", "B", "R"))).alias("__cs"))
     if init is not None:
         on = [k for k in init.columns if k in keys]
-        summ = summ.join(init.select(*on, F.col("init").cast("double").alias("__init")),
-                         on=on, how="left")
-    elif start is not None:
-        summ = summ.join(_anchor_before(df, target, start, keys, period), on=keys, how="left")
+        summ = summ.join(init.select(*[F.col(k).alias(f"__k_{k}") for k in on],
+                                     F.col("init").cast("double").alias("__init")),
+                         on=[f"__k_{k}" for k in on], how="left")
     else:
         summ = summ.withColumn("__init", F.lit(None).cast("double"))
     carry_t = T.ArrayType(T.StructType([T.StructField("__c", T.LongType()),
@@ -99,30 +101,29 @@ def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
     zero2 = F.struct(F.col("__init").alias("y"), F.array().cast(carry_t).alias("out"))
 
     def step2(acc, x):
-        return F.struct((x["A"] * acc["y"] + x["B"]).alias("y"),
-                        F.concat(acc["out"], F.array(F.struct(x["__c"].alias("__c"),
-                                                              acc["y"].alias("Y")))).alias("out"))
+        nxt = F.when(x["R"], x["B"]).otherwise(x["A"] * acc["y"] + x["B"])
+        return F.struct(nxt.alias("y"), F.concat(acc["out"], F.array(
+            F.struct(x["__c"].alias("__c"), acc["y"].alias("Y")))).alias("out"))
 
-    carry = summ.select(*keys, F.explode(F.aggregate("__cs", zero2, step2,
-                                                     lambda acc: acc["out"])).alias("__k"))
-    carry = carry.select(*keys, F.col("__k.__c").alias("__c"), F.col("__k.Y").alias("__Y"))
+    carry = summ.select(*kk, F.explode(F.aggregate("__cs", zero2, step2,
+                                                   lambda acc: acc["out"])).alias("__k"))
+    carry = carry.select(*kk, F.col("__k.__c").alias("__c"), F.col("__k.Y").alias("__Y"))
 
-    # level 3: sequential fold of every chunk from its entering value
-    out_t = T.ArrayType(T.StructType([T.StructField("t", T.DateType()),
+    # level 3: each chunk folded again from its entering value, rows emitted
+    row_t = rows.schema["__row"].dataType
+    out_t = T.ArrayType(T.StructType([T.StructField("row", row_t),
                                       T.StructField("y", T.DoubleType())]))
     zero3 = F.struct(F.col("__Y").alias("y"), F.array().cast(out_t).alias("out"))
 
     def step3(acc, x):
-        y = x["a"] * acc["y"] + x["b"]
+        y = F.when(x["__in"], x["__a"] * acc["y"] + x["__b"]).otherwise(x["__t"])
         return F.struct(y.alias("y"), F.concat(acc["out"], F.array(
-            F.struct(x["t"].alias("t"), y.alias("y")))).alias("out"))
+            F.struct(x["__row"].alias("row"), y.alias("y")))).alias("out"))
 
-    solved = (xs.join(carry, on=keys + ["__c"], how="inner")
-              .select(*keys, F.explode(F.aggregate("__xs", zero3, step3,
-                                                   lambda acc: acc["out"])).alias("__e"))
-              .select(*keys, F.col("__e.t").alias(period), F.col("__e.y").alias("__y")))
-    out = df.join(solved, on=keys + [period], how="left")
-    return out.withColumn(target, F.when(rng, F.col("__y")).otherwise(F.col(target))).drop("__y")
+    solved = xs.join(carry, on=kk + ["__c"], how="inner") \
+        .select(F.explode(F.aggregate("__xs", zero3, step3, lambda acc: acc["out"])).alias("__e"))
+    return solved.select(*[F.col(f"__e.y").alias(c) if c == target else F.col(f"__e.row.{c}").alias(c)
+                           for c in cols])
 
 
 def shock_decay(df: DataFrame, target: str, rho: float, start, end=None,
@@ -167,7 +168,8 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
     vkeys = [k for k in keys if k in set(vector_keys)]
     gkeys = [k for k in keys if k not in set(vector_keys)]
     inputs = [c for c in inputs if c != target]
-    sel = df.select(*keys, period, *inputs, target, _in_range(period, start, end).alias("__in"))
+    all_cols = df.columns
+    sel = df.select(*all_cols, _in_range(period, start, end).alias("__in"))
     if vkeys:
         if blocks is None:
             blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -175,9 +177,8 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
         group = gkeys + ["__blk"]
     else:
         group = keys
-    schema = T.StructType([sel.schema[c] for c in keys] +
-                          [T.StructField(period, T.DateType()),
-                           T.StructField(target, T.DoubleType())] +
+    schema = T.StructType([T.StructField(target, T.DoubleType()) if f.name == target else f
+                           for f in df.schema.fields] +
                           ([T.StructField(error_col, T.StringType())] if error_col else []))
 
     def solve(y, mask, cols):
@@ -223,12 +224,11 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
             err = pd.DataFrame({error_col: errors}, index=ycols).reset_index()
             err.columns = vk + [error_col]
             long = long.merge(err, on=vk, how="left")
-        keep = pdf[keys + [period]] if vkeys else pdf[keys + [period, "__v"]]
+        keep = pdf[[c for c in all_cols if c != target] + (["__v"] if not vkeys else [])]
         out = keep.merge(long, on=[period] + vk, how="left")
         return out[[f.name for f in schema.fields]]
 
     solved = sel.groupBy(*group).applyInPandas(run, schema)
-    # NaN from the Python side means missing
-    solved = solved.withColumn(target, F.when(~F.isnan(F.col(target)), F.col(target)))
-    rest = df.drop(target)
-    return rest.join(solved, on=keys + [period], how="inner")
+    # NaN from the Python side means missing; every input row comes back,
+    # so no join with the input is needed
+    return solved.withColumn(target, F.when(~F.isnan(F.col(target)), F.col(target)))

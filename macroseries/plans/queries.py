@@ -310,6 +310,7 @@ def baseline_vs_scenario(spark, d):
 
 from ..operators import bootstrap as B  # noqa: E402
 from ..operators import residuals as RS  # noqa: E402
+from ..session import materialize  # noqa: E402
 
 RESID_START, RESID_END = "1996Q1", "2001Q4"
 HIST_START, HIST_END = "1996Q1", "1999Q4"
@@ -370,54 +371,59 @@ def backtest_fanout(spark, d):
 # Bootstrap
 
 
-def _demeaned(spark, d):
-    return B.demean(_residual_panel(spark, d), ["qty_trac", "rev_trac"], HIST_START, HIST_END)
+def _resid(spark, d):
+    """The residual panel, written once: every bootstrap step reads it, so
+    the base tables are scanned once per query, not once per branch."""
+    return materialize(_residual_panel(spark, d))
 
 
-def _draws(spark, d):
-    sim = P.slice_periods(supplier_panel(spark, d).select("period"), SIM_START, SIM_END)
+def _demeaned(resid):
+    return B.demean(resid, ["qty_trac", "rev_trac"], HIST_START, HIST_END)
+
+
+def _draws(resid):
+    sim = P.slice_periods(resid.select("period"), SIM_START, SIM_END)
     return B.bootstrap_draws(sim, NREPL + NEXTRA, HIST_START, HIST_END, SEED)
 
 
-def _shocks(spark, d):
-    return B.bootstrap_shocks(_residual_panel(spark, d), _demeaned(spark, d), _draws(spark, d),
+def _shocks(resid):
+    return B.bootstrap_shocks(resid, _demeaned(resid), _draws(resid),
                               ["qty_trac", "rev_trac"], NREPL + NEXTRA, 8, SIM_START, SIM_END)
 
 
-def _anchor(spark, d):
-    q = supplier_panel(spark, d)
-    return q.filter(F.col("period") == P.quarter_lit(HIST_END)).select(
+def _anchor(resid):
+    return resid.filter(F.col("period") == P.quarter_lit(HIST_END)).select(
         "entity", F.col("qty").alias("init"))
 
 
-def _paths(spark, d):
-    sh = _shocks(spark, d).withColumn("y", F.lit(None).cast("double"))
+def _paths(resid):
+    sh = _shocks(resid).withColumn("y", F.lit(None).cast("double"))
     return R.linear_recurrence(sh, "y", 0.5, F.col("qty_trac"), start=SIM_START,
-                               keys=["entity", "repl"], init=_anchor(spark, d))
+                               keys=["entity", "repl"], init=_anchor(resid))
 
 
 @query
 def demean_residuals(spark, d):
-    dm = _demeaned(spark, d)
+    dm = _demeaned(_residual_panel(spark, d))
     return dm.select("entity", "period", r6(F.col("qty_trac")).alias("qty_trac"),
                      r6(F.col("rev_trac")).alias("rev_trac"))
 
 
 @query
 def bootstrap_draws(spark, d):
-    return _draws(spark, d)
+    return _draws(supplier_panel(spark, d))
 
 
 @query
 def bootstrap_shocks(spark, d):
-    sh = _shocks(spark, d)
+    sh = _shocks(_resid(spark, d))
     return sh.select("entity", "repl", "period", r6(F.col("qty_trac")).alias("qty_trac"),
                      r6(F.col("rev_trac")).alias("rev_trac"))
 
 
 @query
 def bootstrap_paths(spark, d):
-    return _paths(spark, d).select("entity", "repl", "period", r6(F.col("y")).alias("y"))
+    return _paths(_resid(spark, d)).select("entity", "repl", "period", r6(F.col("y")).alias("y"))
 
 
 def _failing_step(prev, row):
@@ -428,8 +434,9 @@ def _failing_step(prev, row):
 
 
 def _errors(spark, d):
-    sh = _shocks(spark, d).withColumn("y", F.lit(None).cast("double"))
-    an = _anchor(spark, d).withColumnRenamed("init", "__init")
+    resid = _resid(spark, d)
+    sh = _shocks(resid).withColumn("y", F.lit(None).cast("double"))
+    an = _anchor(resid).withColumnRenamed("init", "__init")
     # the quarter before the simulation carries the start value
     pre = an.select("entity", F.explode(F.sequence(F.lit(0), F.lit(NREPL + NEXTRA - 1)))
                     .alias("repl"), P.quarter_lit(HIST_END).alias("period"),
@@ -452,7 +459,7 @@ def bootstrap_errors(spark, d):
 
 @query
 def keep_good_replications(spark, d):
-    paths = _errors(spark, d)
+    paths = materialize(_errors(spark, d))  # read by two branches below
     status = paths.groupBy("repl").agg(F.max("error").alias("error"))
     keep = B.keep_good_replications(status, NREPL, NEXTRA)
     return paths.join(keep.filter("keep"), on="repl", how="left_semi") \
@@ -461,16 +468,17 @@ def keep_good_replications(spark, d):
 
 @query
 def quantile_fan(spark, d):
-    paths = PN.pct_change_n(_paths(spark, d), ["y"], 4, keys=["entity", "repl"], suffix="_g4")
+    resid = _resid(spark, d)
+    paths = PN.pct_change_n(_paths(resid), ["y"], 4, keys=["entity", "repl"], suffix="_g4")
     long = paths.select("entity", "period", F.explode(F.array(
         F.struct(F.lit("y").alias("series"), F.col("y").alias("v")),
         F.struct(F.lit("y_g4").alias("series"), F.col("y_g4").alias("v")))).alias("__s")) \
         .select("entity", "period", "__s.series", "__s.v")
     fan = B.quantile_fan(long, "v", ["entity", "period", "series"])
-    base = _residual_panel(spark, d).filter(F.col("period") >= P.quarter_lit(SIM_START)) \
+    base = resid.filter(F.col("period") >= P.quarter_lit(SIM_START)) \
         .select("entity", "period", "qty_trac").withColumn("y", F.lit(None).cast("double"))
     base = R.linear_recurrence(base, "y", 0.5, F.col("qty_trac"), start=SIM_START,
-                               init=_anchor(spark, d))
+                               init=_anchor(resid))
     base = PN.pct_change_n(base, ["y"], 4, suffix="_g4")
     base = base.select("entity", "period", F.explode(F.array(
         F.struct(F.lit("y").alias("series"), F.col("y").alias("base")),
@@ -483,9 +491,10 @@ def quantile_fan(spark, d):
 
 @query
 def bootstrap_trim(spark, d):
-    hist = B.replicate(supplier_panel(spark, d).filter(F.col("period") < P.quarter_lit(SIM_START))
+    resid = _resid(spark, d)
+    hist = B.replicate(resid.filter(F.col("period") < P.quarter_lit(SIM_START))
                        .select("entity", "period", F.col("qty").alias("y")), NREPL + NEXTRA)
-    paths = _paths(spark, d).select("entity", "repl", "period", "y")
+    paths = _paths(resid).select("entity", "repl", "period", "y")
     full = hist.select("entity", "repl", "period", "y").unionByName(paths)
     out = P.trim_window(full, SIM_START, SIM_END)
     return out.select("entity", "repl", "period", r6(F.col("y")).alias("y"))

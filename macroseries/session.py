@@ -67,3 +67,12 @@ def local_path(uri: str) -> str:
 
 
 __all__ = ["DEFAULTS", "get_spark", "checkpoint_dir", "scratch_path", "local_path"]
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back
+    (reliable ``checkpoint``): a result used by several branches of a plan
+    is computed once, and its lineage is cut, so a lost executor costs a
+    re-read, not a recomputation."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
