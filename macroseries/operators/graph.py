@@ -29,24 +29,34 @@ def in_degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         .select("node", F.coalesce("in_degree", F.lit(0)).cast("long").alias("in_degree"))
 
 
-def topo_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> DataFrame:
+def topo_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000,
+                compact_every: int = 8) -> DataFrame:
     """Peel nodes of in-degree 0 round after round (E4): ``(node, level)``.
 
     ``level`` is the round a node was peeled in (= longest path from a
     source); nodes in a cycle, or downstream of one, are never peeled and
-    get NULL.
+    get NULL.  Each round writes only its layer; the remaining graph is the
+    original minus the layers, compacted to a checkpoint every
+    ``compact_every`` rounds so plans stay small.
     """
     rn = _cp(nodes.select("node").distinct())
     re = _cp(edges.select("src", "dst").distinct())
-    layers = []
+    layers, pending = [], []
     for k in range(max_rounds):
-        zero = _cp(rn.join(re.select(F.col("dst").alias("node")), on="node", how="left_anti")
+        cur_n, cur_e = rn, re
+        for z in pending:
+            cur_n = cur_n.join(z.select("node"), "node", "left_anti")
+            cur_e = cur_e.join(z.select(F.col("node").alias("src")), "src", "left_anti")
+        zero = _cp(cur_n.join(cur_e.select(F.col("dst").alias("node")), on="node", how="left_anti")
                    .withColumn("level", F.lit(k)))
         if zero.isEmpty():
             break
         layers.append(zero)
-        rn = _cp(rn.join(zero.select("node"), on="node", how="left_anti"))
-        re = _cp(re.join(zero.select(F.col("node").alias("src")), on="src", how="left_anti"))
+        pending.append(zero)
+        if len(pending) >= compact_every:
+            rn, re = _cp(cur_n.join(zero.select("node"), "node", "left_anti")), _cp(
+                cur_e.join(zero.select(F.col("node").alias("src")), "src", "left_anti"))
+            pending = []
     out = nodes.select("node").distinct()
     if not layers:
         return out.withColumn("level", F.lit(None).cast("int"))
@@ -56,34 +66,41 @@ def topo_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -
     return out.join(lv, on="node", how="left")
 
 
+def _restrict(e: DataFrame, v: DataFrame) -> DataFrame:
+    return e.join(v.select(F.col("node").alias("src")), "src", "left_semi") \
+        .join(v.select(F.col("node").alias("dst")), "dst", "left_semi")
+
+
 def _trim(v: DataFrame, e: DataFrame, max_rounds: int) -> tuple[DataFrame, DataFrame]:
     """Drop nodes with no in- or no out-edge inside the remaining graph,
     until none is left: they are singleton components."""
+    n = v.count()
     for _ in range(max_rounds):
-        has_in = e.select(F.col("dst").alias("node")).distinct()
-        has_out = e.select(F.col("src").alias("node")).distinct()
-        keep = v.join(has_in, "node", "left_semi").join(has_out, "node", "left_semi")
-        keep = _cp(keep)
-        if keep.count() == v.count():
-            return v, e
-        v = keep
-        e = _cp(e.join(v.select(F.col("node").alias("src")), "src", "left_semi")
-                .join(v.select(F.col("node").alias("dst")), "dst", "left_semi"))
-    return v, e
-
-
-def _propagate_min(v: DataFrame, e: DataFrame, label: DataFrame, max_rounds: int) -> DataFrame:
+        has_in = e.select(F.col("dst").alias("node"))
+        has_out = e.select(F.col("src").alias("node"))
+        keep = _cp(v.join(has_in, "node", "left_semi").join(has_out, "node", "left_semi"))
+        m = keep.count()
+        if m == n:
+            break
+        v, n = keep, m
+        e = _restrict(e, v)
+    return v, _cp(e)
+
+
+def _propagate_min(e: DataFrame, label: DataFrame, max_rounds: int) -> DataFrame:
     """Smallest label that can reach each node along ``e`` (min-label
-    propagation; ``e`` may be restricted by the caller)."""
+    propagation).  Each round is one job; the stop test reads a flag from
+    its checkpoint."""
     for _ in range(max_rounds):
         sent = e.join(label.withColumnRenamed("node", "src"), on="src") \
-            .select(F.col("dst").alias("node"), "label")
-        new = _cp(label.unionByName(sent).groupBy("node").agg(F.min("label").alias("label")))
-        changed = new.join(label.withColumnRenamed("label", "__old"), on="node") \
-            .filter(F.col("label") < F.col("__old"))
-        if changed.isEmpty():
-            return new
-        label = new
+            .select(F.col("dst").alias("node"), F.col("label").alias("__in"))
+        new = label.join(sent.groupBy("node").agg(F.min("__in").alias("__in")), "node", "left") \
+            .select("node", F.least("label", F.coalesce("__in", "label")).alias("label"),
+                    (F.col("__in") < F.col("label")).alias("__changed"))
+        new = _cp(new)
+        label = new.select("node", "label")
+        if new.filter(F.col("__changed")).isEmpty():
+            break
     return label
 
 
@@ -105,27 +122,28 @@ def scc(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> DataFr
         v, e = _trim(v, e, max_rounds)
         if v.isEmpty():
             break
-        color = _propagate_min(v, e, v.select("node", F.col("node").alias("label")), max_rounds)
+        color = _propagate_min(e, v.select("node", F.col("node").alias("label")), max_rounds)
         # backward inside each colour, starting from the colour's root
         ce = e.join(color.select(F.col("node").alias("src"), F.col("label").alias("ls")), "src") \
             .join(color.select(F.col("node").alias("dst"), F.col("label").alias("ld")), "dst") \
-            .filter(F.col("ls") == F.col("ld")).select("src", "dst")
-        ce = _cp(ce)
-        rev = ce.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-        roots = color.filter(F.col("node") == F.col("label"))
-        reach = roots.select("node", F.col("label").alias("comp"))
+            .filter(F.col("ls") == F.col("ld")).select(F.col("dst").alias("src"),
+                                                       F.col("src").alias("dst"))
+        rev = _cp(ce)
+        reach = _cp(color.filter(F.col("node") == F.col("label"))
+                    .select("node", F.col("label").alias("comp")))
+        n = reach.count()
         for _ in range(max_rounds):
             step = rev.join(reach.withColumnRenamed("node", "src"), on="src") \
                 .select(F.col("dst").alias("node"), "comp")
             new = _cp(reach.unionByName(step).distinct())
-            if new.count() == reach.count():
-                break
+            m = new.count()
             reach = new
-        reach = _cp(reach)
+            if m == n:
+                break
+            n = m
         found.append(reach)
         v = _cp(v.join(reach.select("node"), "node", "left_anti"))
-        e = _cp(e.join(v.select(F.col("node").alias("src")), "src", "left_semi")
-                .join(v.select(F.col("node").alias("dst")), "dst", "left_semi"))
+        e = _restrict(e, v)
     comps = None
     for f in found:
         comps = f if comps is None else comps.unionByName(f)
