@@ -143,7 +143,8 @@ def shock_decay(df: DataFrame, target: str, rho: float, start, end=None,
 def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequence[str],
                        start=None, end=None, keys: Sequence[str] = KEYS,
                        period: str = PERIOD, error_col: str | None = None,
-                       vector_keys: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
+                       vector_keys: Sequence[str] = (), blocks: int | None = None,
+                       keys_per_block: int = 4096) -> DataFrame:
     """``target[t] = fn(target[t-1], row_t)`` over ``[start, end]`` (T9 general, X3).
 
     ``fn(prev, row)`` gets the previous (already rewritten) value and the
@@ -152,11 +153,14 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
 
     Runs per group in ``applyInPandas`` (Arrow batches), groups in parallel.
     Keys listed in ``vector_keys`` (e.g. entity and replication) are not
-    groups of their own: they are hashed into ``blocks`` buckets (default:
-    the session's shuffle partitions, the cluster's sizing knob) per
+    groups of their own: they are hashed into ``blocks`` buckets per
     remaining key, and inside a bucket ``fn`` runs once per quarter on a
-    whole vector of them.  A group therefore holds a bounded share of the
-    paths, and the Python call count is quarters x buckets, not rows.
+    whole vector of them.  By default the bucket count is sized from an
+    approximate count of distinct vector keys (one small aggregate job) so
+    that a bucket holds about ``keys_per_block`` paths, and at least one
+    bucket per core: a group's memory is
+    bounded whatever the data size, and Python is called quarters x buckets
+    times, not once per row.
 
     With ``error_col`` an exception is caught and its text returned in that
     column (values NULL) for the vector keys that raised, instead of failing
@@ -172,7 +176,9 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
     sel = df.select(*all_cols, _in_range(period, start, end).alias("__in"))
     if vkeys:
         if blocks is None:
-            blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+            n = df.select(F.approx_count_distinct(F.struct(*vkeys))).first()[0] or 1
+            blocks = max(df.sparkSession.sparkContext.defaultParallelism,
+                         -(-int(n) // keys_per_block))
         sel = sel.withColumn("__blk", F.pmod(F.xxhash64(*vkeys), F.lit(blocks)))
         group = gkeys + ["__blk"]
     else:

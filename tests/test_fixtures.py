@@ -283,3 +283,40 @@ def test_block_order_respects_every_edge(spark, sf_dir):
     for r in e.collect():
         (bs, ls), (bd, ld) = lv[r.src], lv[r.dst]
         assert bs == bd or ls < ld
+
+
+def test_growth_over_observed_values(spark):
+    wide = spark.createDataFrame([(TS(2024, 1, 1), 100.0), (TS(2024, 1, 15), None),
+                                  (TS(2024, 2, 1), 101.0)], "date timestamp, cpi double")
+    prev_row = {r.date: r.g for r in I.inflation_mom(wide, "cpi", name="g").collect()}
+    prev_obs = {r.date: r.g for r in I.inflation_mom(wide, "cpi", name="g",
+                                                     over_observed=True).collect()}
+    assert prev_row[TS(2024, 2, 1)] is None
+    assert math.isclose(prev_obs[TS(2024, 2, 1)], 1.0)
+
+
+def test_overrides_set_and_add(spark):
+    panel = spark.createDataFrame([("a", q(2040, 1), 1.0, 10.0), ("a", q(2040, 2), None, 20.0)],
+                                  "entity string, period date, x double, y double")
+    ov = spark.createDataFrame([("a", q(2040, 1), "x", 5.0), ("a", q(2040, 2), "y", 1.0)],
+                               "entity string, period date, series string, value double")
+    s = {r.period: (r.x, r.y) for r in PN.apply_overrides(panel, ov, ["x", "y"]).collect()}
+    assert s == {q(2040, 1): (5.0, 10.0), q(2040, 2): (None, 1.0)}
+    a = {r.period: (r.x, r.y) for r in PN.apply_overrides(panel, ov, ["x", "y"], mode="add").collect()}
+    assert a == {q(2040, 1): (6.0, 10.0), q(2040, 2): (None, 21.0)}
+
+
+def test_missing_series_raises(spark):
+    req = spark.createDataFrame([("xgdp",), ("lur",)], "name string")
+    present = spark.createDataFrame([("xgdp",)], "name string")
+    with pytest.raises(CK.MissingDataError):
+        CK.raise_if_any(CK.missing_names(req, present), CK.MissingDataError, "missing series")
+
+
+def test_csv_panel_load(spark):
+    path = scratch_path(spark, "csvtest")
+    spark.createDataFrame([("2040Q1", "1.5", "x"), ("2040q2", "NaN", "2")],
+                          "Period string, XGDP string, LUR string") \
+        .coalesce(1).write.option("header", True).csv(path)
+    got = sorted(tuple(r) for r in SRC.load_quarterly_csv(spark, path).collect())
+    assert got == [(D(2040, 1, 1), 1.5, None), (D(2040, 4, 1), None, 2.0)]
