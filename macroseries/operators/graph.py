@@ -83,8 +83,8 @@ def _trim(v: DataFrame, e: DataFrame, max_rounds: int) -> tuple[DataFrame, DataF
         if m == n:
             break
         v, n = keep, m
-        e = _restrict(e, v)
-    return v, _cp(e)
+        e = _cp(_restrict(e, v))
+    return v, e
 
 
 def _propagate_min(e: DataFrame, label: DataFrame, max_rounds: int) -> DataFrame:
@@ -143,7 +143,7 @@ def scc(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> DataFr
             n = m
         found.append(reach)
         v = _cp(v.join(reach.select("node"), "node", "left_anti"))
-        e = _restrict(e, v)
+        e = _cp(_restrict(e, v))
     comps = None
     for f in found:
         comps = f if comps is None else comps.unionByName(f)
