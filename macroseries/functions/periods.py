@@ -14,8 +14,34 @@ from .columns import as_col
 
 
 def quarter_start(c) -> Column:
-    """Truncate a date or timestamp to the first day of its quarter (DATE)."""
-    return F.date_trunc("quarter", as_col(c)).cast("date")
+    """Truncate a date or timestamp to the first day of its quarter (DATE).
+
+    Built from the wall-clock fields, so it does not depend on the session
+    time zone (``date_trunc`` would pass a ``TIMESTAMP_NTZ`` through the
+    session zone).
+    """
+    c = as_col(c)
+    return F.make_date(F.year(c), (F.quarter(c) - 1) * 3 + 1, F.lit(1))
+
+
+def truncate(unit: str, c) -> Column:
+    """Truncate a timestamp to ``hour``, ``day``, ``month``, ``quarter`` or
+    ``year`` as a ``TIMESTAMP_NTZ`` wall-clock value, independent of the
+    session time zone."""
+    c = as_col(c)
+    zero = F.lit(0)
+    y, mo, d = F.year(c), F.month(c), F.dayofmonth(c)
+    if unit == "hour":
+        return F.make_timestamp_ntz(y, mo, d, F.hour(c), zero, zero)
+    if unit == "day":
+        return F.make_timestamp_ntz(y, mo, d, zero, zero, zero)
+    if unit == "month":
+        return F.make_timestamp_ntz(y, mo, F.lit(1), zero, zero, zero)
+    if unit == "quarter":
+        return F.make_timestamp_ntz(y, (F.quarter(c) - 1) * 3 + 1, F.lit(1), zero, zero, zero)
+    if unit == "year":
+        return F.make_timestamp_ntz(y, F.lit(1), F.lit(1), zero, zero, zero)
+    raise ValueError(f"unknown unit {unit!r}")
 
 
 def ordinal(c) -> Column:

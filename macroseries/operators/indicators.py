@@ -9,6 +9,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.periods import truncate
 from ..functions.scalar import div
 from .ordered import scan_columns
 
@@ -51,7 +52,7 @@ def indicator_table(obs: DataFrame, series_list: Sequence[str],
     """
     keys = list(keys)
     wide = pivot_long(obs, keys + [date], series, value, series_list, names)
-    b = F.date_trunc(bucket, F.col(date)) if bucket else None
+    b = truncate(bucket, F.col(date)) if bucket else None
     lag_cols = list(dict.fromkeys(growth.values()))
     scanned = scan_columns(wide, order=date, keys=keys, lag=lag_cols, ffill=ffill, bucket=b)
     cols = [F.col(k) for k in keys] + [F.col(date)]
@@ -74,7 +75,7 @@ def inflation_mom(wide: DataFrame, col: str, date: str = "date", keys: Sequence[
     the previous row (quirk Q3 of the reference is the default).
     """
     name = name or f"{col}_mom"
-    b = F.date_trunc(bucket, F.col(date)) if bucket else None
+    b = truncate(bucket, F.col(date)) if bucket else None
     if over_observed:
         tmp = wide.withColumn("__obs", F.col(col))
         s = scan_columns(tmp, order=date, keys=keys, lag=["__obs"], bucket=b)
@@ -88,5 +89,5 @@ def inflation_mom(wide: DataFrame, col: str, date: str = "date", keys: Sequence[
 def forward_fill(wide: DataFrame, cols: Sequence[str], date: str = "date",
                  keys: Sequence[str] = (), bucket: str | None = "month") -> DataFrame:
     """``last_value(x IGNORE NULLS) OVER (... ROWS UNBOUNDED PRECEDING)``."""
-    b = F.date_trunc(bucket, F.col(date)) if bucket else None
+    b = truncate(bucket, F.col(date)) if bucket else None
     return scan_columns(wide, order=date, keys=keys, ffill=cols, bucket=b)

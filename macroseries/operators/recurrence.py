@@ -109,20 +109,19 @@ def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
                                                    lambda acc: acc["out"])).alias("__k"))
     carry = carry.select(*kk, F.col("__k.__c").alias("__c"), F.col("__k.Y").alias("__Y"))
 
-    # level 3: each chunk folded again from its entering value, rows emitted
-    row_t = rows.schema["__row"].dataType
-    out_t = T.ArrayType(T.StructType([T.StructField("row", row_t),
-                                      T.StructField("y", T.DoubleType())]))
-    zero3 = F.struct(F.col("__Y").alias("y"), F.array().cast(out_t).alias("out"))
+    # level 3: each chunk folded again from its entering value; the fold
+    # emits only the doubles, which are then zipped back onto the rows
+    zero3 = F.struct(F.col("__Y").alias("y"), F.array().cast("array<double>").alias("out"))
 
     def step3(acc, x):
         y = F.when(x["__in"], x["__a"] * acc["y"] + x["__b"]).otherwise(x["__t"])
-        return F.struct(y.alias("y"), F.concat(acc["out"], F.array(
-            F.struct(x["__row"].alias("row"), y.alias("y")))).alias("out"))
+        return F.struct(y.alias("y"), F.concat(acc["out"], F.array(y)).alias("out"))
 
+    ys = F.aggregate("__xs", zero3, step3, lambda acc: acc["out"])
     solved = xs.join(carry, on=kk + ["__c"], how="inner") \
-        .select(F.explode(F.aggregate("__xs", zero3, step3, lambda acc: acc["out"])).alias("__e"))
-    return solved.select(*[F.col(f"__e.y").alias(c) if c == target else F.col(f"__e.row.{c}").alias(c)
+        .select(F.explode(F.arrays_zip(F.col("__xs.__row").alias("row"), ys.alias("y")))
+                .alias("__e"))
+    return solved.select(*[F.col("__e.y").alias(c) if c == target else F.col(f"__e.row.{c}").alias(c)
                            for c in cols])
 
 

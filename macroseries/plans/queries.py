@@ -766,3 +766,28 @@ def smallest_source_component(spark, d):
 def block_order(spark, d):
     n, e = _graph(spark, d)
     return G.block_order(n, e)
+
+
+def bootstrap_scale_case(spark, d, nrepl: int = 1000, nextra: int = 5,
+                         start: str = "1996Q1", end: str = "2001Q4"):
+    """Benchmark-only: the reference demo's replication count (1000 + 5 spare)
+    over a 24-quarter simulation, for every supplier, ending in the fan.
+    Residuals are drawn from the same 24 quarters."""
+    resid = materialize(RS.tracking_residuals(supplier_panel(spark, d),
+                                              _equations(supplier_panel(spark, d)), start, end))
+    n = nrepl + nextra
+    dm = B.demean(resid, ["qty_trac", "rev_trac"], start, end)
+    sim = P.slice_periods(resid.select("period"), start, end)
+    draws = B.bootstrap_draws(sim, n, start, end, SEED)
+    sh = B.bootstrap_shocks(resid, dm, draws, ["qty_trac", "rev_trac"], n, 24, start, end)
+    anchor = resid.filter(F.col("period") == P.add_quarters(P.quarter_lit(start), -1)) \
+        .select("entity", F.col("qty").alias("init"))
+    paths = R.linear_recurrence(sh.withColumn("y", F.lit(None).cast("double")), "y", 0.5,
+                                F.col("qty_trac"), start=start, keys=["entity", "repl"],
+                                init=anchor)
+    paths = PN.pct_change_n(paths, ["y"], 4, keys=["entity", "repl"], suffix="_g4")
+    long = paths.select("entity", "period", F.explode(F.array(
+        F.struct(F.lit("y").alias("series"), F.col("y").alias("v")),
+        F.struct(F.lit("y_g4").alias("series"), F.col("y_g4").alias("v")))).alias("__s")) \
+        .select("entity", "period", "__s.series", "__s.v")
+    return B.quantile_fan(long, "v", ["entity", "period", "series"])

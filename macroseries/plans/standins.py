@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.periods import quarter_start
+from ..functions.periods import quarter_start, truncate
 from ..operators.panel import densify
 
 # Fixed values of the stand-in indicator model: the five event types play the
@@ -29,7 +29,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long observation table from ``events``: hour, type, value."""
     ev = table(spark, sf_dir, "events")
     return ev.select(F.col("event_type").alias("series_id"),
-                     F.date_trunc("hour", F.col("ts")).alias("date"),
+                     truncate("hour", F.col("ts")).alias("date"),
                      F.col("value").alias("observation_value"))
 
 
