@@ -133,8 +133,31 @@ def quantile_fan(paths: DataFrame, value: str, by: Sequence[str],
                  qs: Sequence[float] = (0.05, 0.15, 0.85, 0.95),
                  names: Sequence[str] = ("lo90", "lo70", "hi70", "hi90")) -> DataFrame:
     """Exact quantiles with linear interpolation across replications, per
-    ``by`` (A3, R9).  One exact ``percentile`` buffer per group: the group is
-    one quarter of one entity and series, i.e. ``nrepl`` values."""
-    pct = F.percentile(F.col(value), F.array(*[F.lit(float(q)) for q in qs]))
-    out = paths.groupBy(*by).agg(pct.alias("__q"))
-    return out.select(*by, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
+    ``by`` (A3, R9): ``v[lo] + (v[hi] - v[lo]) * (p - lo)`` with
+    ``p = q * (n - 1)`` over the n non-missing values.
+
+    Computed from ranks, not with per-group hash buffers: one shuffle on
+    ``by``, a sort within each group (which spills to disk), then only the
+    two order statistics around each quantile are kept and combined in the
+    same partitions.  A group of only missing values gives NULLs.
+    """
+    by = list(by)
+    v = F.col(value)
+    w_sorted = Window.partitionBy(*by).orderBy(v.asc_nulls_last())
+    w_all = Window.partitionBy(*by)
+    ranked = paths.select(*by, v.alias("__v"),
+                          (F.row_number().over(w_sorted) - 1).alias("__r"),
+                          F.count(v).over(w_all).alias("__n"))
+    pos = {q: F.lit(float(q)) * (F.col("__n") - 1) for q in qs}
+    need = F.col("__r") == 0
+    for q in qs:
+        need = need | (F.col("__r") == F.floor(pos[q])) | (F.col("__r") == F.ceil(pos[q]))
+    picked = ranked.filter(need)
+    aggs = []
+    for q, name in zip(qs, names):
+        lo, hi = F.floor(pos[q]), F.ceil(pos[q])
+        v_lo = F.max(F.when(F.col("__r") == lo, F.col("__v")))
+        v_hi = F.max(F.when(F.col("__r") == hi, F.col("__v")))
+        frac = F.max(pos[q] - lo)
+        aggs.append(F.when(F.max("__n") > 0, v_lo + (v_hi - v_lo) * frac).alias(name))
+    return picked.groupBy(*by).agg(*aggs)
