@@ -95,13 +95,6 @@ def tokens(eqs: DataFrame, keep_functions: bool = False) -> DataFrame:
     return t.withColumn("is_coef", F.col("variable").rlike(COEF_RE))
 
 
-def renumber(t: DataFrame) -> DataFrame:
-    """Dense positions per equation after filtering (keeps first-seen order)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("name").orderBy("pos")
-    return t.withColumn("pos", F.row_number().over(w) - 1)
-
-
 def edges(tok: DataFrame, endo: DataFrame) -> DataFrame:
     """Contemporaneous dependencies ``src -> dst`` (E2): a variable mentioned at
     offset 0 on the right of ``dst``'s equation, if it is endogenous; the

@@ -529,12 +529,14 @@ def series_from_filename(spark, d):
     base = scratch_path(spark, "raw")
     nat = table(spark, d, "nation").join(
         table(spark, d, "region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
-    # one directory per series, named after it (the names are the 5 regions)
-    for (r,) in table(spark, d, "region").select("r_name").distinct().collect():
-        nat.filter(F.col("r_name") == r).select("n_nationkey", "n_name") \
-            .write.mode("overwrite").parquet(f"{base}/raw/{r}.parquet")
-    df = SRC.scan_parquet(spark, f"{base}/raw/*.parquet", with_file="filename")
-    return df.select(SRC.series_from_path("filename").alias("series_id"), "n_nationkey", "n_name")
+    # one directory per series, written by Spark in one job: raw/series=<name>/part-*
+    nat.select("n_nationkey", "n_name", F.col("r_name").alias("series")) \
+        .write.mode("overwrite").partitionBy("series").parquet(f"{base}/raw")
+    # read the files without partition discovery: the series comes from the path
+    df = spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/raw") \
+        .withColumn("filename", F.col("_metadata.file_path"))
+    return df.select(SRC.series_from_path("filename", r"raw/series=([^/]+)/").alias("series_id"),
+                     "n_nationkey", "n_name")
 
 
 @query
