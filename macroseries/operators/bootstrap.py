@@ -83,21 +83,29 @@ def bootstrap_draws(sim_periods: DataFrame, nrepl: int, resid_start, resid_end,
 
 def bootstrap_shocks(baseline: DataFrame, resid: DataFrame, draws: DataFrame,
                      cols: Sequence[str], nrepl: int, horizon: int, sim_start, sim_end,
-                     keys: Sequence[str] = KEYS, period: str = PERIOD) -> DataFrame:
+                     keys: Sequence[str] = KEYS, period: str = PERIOD,
+                     broadcast_rows: int | None = None, salt: int = 64) -> DataFrame:
     """Baseline residuals over the simulation window plus the demeaned
     residuals of the drawn quarters (R6, J2): ``(keys..., repl, period, cols...)``.
 
     ``draws`` has ``nrepl * horizon`` rows; it is broadcast when that bound is
-    below :data:`BROADCAST_ROWS`, so the residual side is never shuffled for
-    this join.
+    below ``broadcast_rows`` (:data:`BROADCAST_ROWS`), so the residual side is
+    never shuffled for this join.  Beyond it the join key (a historical
+    quarter) has too few values to spread a shuffle, so it is salted: the
+    residual rows, one per entity and quarter, are copied into ``salt``
+    buckets and the draws go to bucket ``repl mod salt``.
     """
     keys = list(keys)
+    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     dr = draws.select("repl", F.col(period).alias("__sim"), F.col("drawn_period").alias(period))
-    if nrepl * horizon <= BROADCAST_ROWS:
-        dr = F.broadcast(dr)
-    drawn = resid.select(*keys, period, *[F.col(c).alias(f"__d_{c}") for c in cols]) \
-        .join(dr, on=period, how="inner") \
-        .select(*keys, "repl", F.col("__sim").alias(period), *[f"__d_{c}" for c in cols])
+    rs = resid.select(*keys, period, *[F.col(c).alias(f"__d_{c}") for c in cols])
+    if nrepl * horizon <= limit:
+        drawn = rs.join(F.broadcast(dr), on=period, how="inner")
+    else:
+        dr = dr.withColumn("__salt", F.pmod(F.col("repl"), F.lit(salt)))
+        rs = rs.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        drawn = rs.join(dr, on=[period, "__salt"], how="inner")
+    drawn = drawn.select(*keys, "repl", F.col("__sim").alias(period), *[f"__d_{c}" for c in cols])
     base = baseline.filter(_in_range(period, sim_start, sim_end)).select(*keys, period, *cols)
     out = base.join(drawn, on=keys + [period], how="inner")
     return out.select(*keys, "repl", period,

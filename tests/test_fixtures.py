@@ -320,3 +320,14 @@ def test_csv_panel_load(spark):
         .coalesce(1).write.option("header", True).csv(path)
     got = sorted(tuple(r) for r in SRC.load_quarterly_csv(spark, path).collect())
     assert got == [(D(2040, 1, 1), 1.5, None), (D(2040, 4, 1), None, 2.0)]
+
+
+def test_salted_shock_join_equals_broadcast(spark, sf_dir):
+    from macroseries.plans import queries as Q
+    resid = Q._residual_panel(spark, sf_dir)
+    dm = B.demean(resid, ["qty_trac"], Q.HIST_START, Q.HIST_END)
+    draws = Q._draws(resid)
+    args = (resid, dm, draws, ["qty_trac"], 40, 8, Q.SIM_START, Q.SIM_END)
+    a = B.bootstrap_shocks(*args).filter(F.col("repl") < 40)
+    b = B.bootstrap_shocks(*args, broadcast_rows=0, salt=7).filter(F.col("repl") < 40)
+    assert sorted(a.collect()) == sorted(b.collect())
