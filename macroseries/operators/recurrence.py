@@ -72,7 +72,7 @@ def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
 
     # level 1: sorted rows of a chunk and the chunk's map Y -> A*Y + B; a row
     # outside the range resets the path to its own value
-    elem = F.struct(F.col(f"__row.{period}").alias("t"), "__in", "__a", "__b", "__t", "__row")
+    elem = F.struct(F.col("__row").getField(period).alias("t"), "__in", "__a", "__b", "__t", "__row")
     xs = rows.groupBy(*kk, "__c").agg(F.sort_array(F.collect_list(elem)).alias("__xs"))
 
     def step1(acc, x):
@@ -121,8 +121,9 @@ def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
     solved = xs.join(carry, on=kk + ["__c"], how="inner") \
         .select(F.explode(F.arrays_zip(F.col("__xs.__row").alias("row"), ys.alias("y")))
                 .alias("__e"))
-    return solved.select(*[F.col("__e.y").alias(c) if c == target else F.col(f"__e.row.{c}").alias(c)
-                           for c in cols])
+    row = F.col("__e").getField("row")
+    return solved.select(*[F.col("__e").getField("y").alias(c) if c == target
+                           else row.getField(c).alias(c) for c in cols])
 
 
 def shock_decay(df: DataFrame, target: str, rho: float, start, end=None,
