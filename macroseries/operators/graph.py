@@ -66,21 +66,25 @@ def topo_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000,
     return out.join(lv, on="node", how="left")
 
 
-def _trim(e: DataFrame, n_e: int, max_rounds: int) -> tuple[DataFrame, int]:
-    """Drop, round after round, edges whose source has no incoming edge or
-    whose target has no outgoing edge: their end nodes cannot lie on a
-    cycle.  What is left is the core: every node on it has an in- and an
-    out-edge.  One checkpointed job per round, on the edge table only."""
+def _restrict(e: DataFrame, v: DataFrame) -> DataFrame:
+    return e.join(v.select(F.col("node").alias("src")), "src", "left_semi") \
+        .join(v.select(F.col("node").alias("dst")), "dst", "left_semi")
+
+
+def _trim(v: DataFrame, e: DataFrame, max_rounds: int) -> tuple[DataFrame, DataFrame]:
+    """Drop nodes with no in- or no out-edge inside the remaining graph,
+    until none is left: they are singleton components."""
+    n = v.count()
     for _ in range(max_rounds):
-        has_in = e.select(F.col("dst").alias("src")).distinct()
-        has_out = e.select(F.col("src").alias("dst")).distinct()
-        kept = _cp(e.join(has_in, "src", "left_semi").join(has_out, "dst", "left_semi"))
-        m = kept.count()
-        e = kept
-        if m == n_e:
+        has_in = e.select(F.col("dst").alias("node"))
+        has_out = e.select(F.col("src").alias("node"))
+        keep = _cp(v.join(has_in, "node", "left_semi").join(has_out, "node", "left_semi"))
+        m = keep.count()
+        if m == n:
             break
-        n_e = m
-    return e, n_e
+        v, n = keep, m
+        e = _cp(_restrict(e, v))
+    return v, e
 
 
 def _propagate_min(e: DataFrame, label: DataFrame, max_rounds: int) -> DataFrame:
@@ -104,21 +108,20 @@ def scc(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> DataFr
     """Strongly connected components (E5): ``(node, comp, size)`` for every
     node; ``comp`` is the smallest node of the component.
 
-    Acyclic parts are trimmed first; on the core left, forward min-label
+    Acyclic parts are trimmed first; on the rest, forward min-label
     propagation colours every node with the smallest node that reaches it;
     a colour's root then collects, backwards inside its colour, the nodes
     that reach it: that set is the root's component.  Found components are
-    removed and the loop repeats.  Nodes never on the core are singletons.
+    removed and the loop repeats.
     """
     allv = nodes.select("node").distinct()
+    v = _cp(allv)
     e = _cp(edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct())
-    n_e = e.count()
     found = []
     for _ in range(max_rounds):
-        e, n_e = _trim(e, n_e, max_rounds)
-        if n_e == 0:
+        v, e = _trim(v, e, max_rounds)
+        if v.isEmpty():
             break
-        v = e.select(F.col("src").alias("node")).distinct()
         color = _propagate_min(e, v.select("node", F.col("node").alias("label")), max_rounds)
         # backward inside each colour, starting from the colour's root
         ce = e.join(color.select(F.col("node").alias("src"), F.col("label").alias("ls")), "src") \
@@ -139,10 +142,8 @@ def scc(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> DataFr
                 break
             n = m
         found.append(reach)
-        gone = reach.select("node")
-        e = _cp(e.join(gone.withColumnRenamed("node", "src"), "src", "left_anti")
-                .join(gone.withColumnRenamed("node", "dst"), "dst", "left_anti"))
-        n_e = e.count()
+        v = _cp(v.join(reach.select("node"), "node", "left_anti"))
+        e = _cp(_restrict(e, v))
     comps = None
     for f in found:
         comps = f if comps is None else comps.unionByName(f)
