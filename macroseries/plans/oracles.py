@@ -109,7 +109,7 @@ SELECT o_custkey, n_qtrs, pad, CAST(first_q - to_months(3 * pad) AS DATE) AS win
 oracle("set_range", with_q("""
 SELECT entity, period,
   CASE WHEN period BETWEEN DATE '1998-01-01' AND DATE '1998-10-01' THEN 0.0 ELSE qty END AS qty,
-  CASE WHEN period >= DATE '2000-01-01' THEN 1.0 ELSE 0.0 END AS regime
+  CAST(CASE WHEN period >= DATE '2000-01-01' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS regime
 FROM q"""))
 
 oracle("set_values", with_q("""
@@ -143,8 +143,9 @@ SELECT entity, period, qty2 AS qty, rev, qty2 * 2 AS y FROM (
   FROM q)"""))
 
 oracle("add_missing_addfactors", with_q("""
-SELECT entity, period, qty, rev, disc, 1.0 AS qty_aerr, 0.0 AS rev_aerr,
-       0.0 AS qty_trac, 0.0 AS rev_trac
+SELECT entity, period, qty, rev, disc, CAST(1.0 AS DOUBLE) AS qty_aerr,
+       CAST(0.0 AS DOUBLE) AS rev_aerr, CAST(0.0 AS DOUBLE) AS qty_trac,
+       CAST(0.0 AS DOUBLE) AS rev_trac
 FROM q"""))
 
 oracle("drop_lead_columns", with_q("SELECT entity, period, qty, rev, disc, rev * 2 AS rev2 FROM q"))
@@ -362,7 +363,7 @@ mix AS (
   FROM sp, range(202) r)
 """, """
 dr AS (
-  SELECT repl, period,
+  SELECT CAST(repl AS INTEGER) AS repl, period,
     CAST(DATE '1996-01-01' + to_months(CAST(3 * ((((((x0 * x0 + 12345) % 2147483647)
          * ((x0 * x0 + 12345) % 2147483647)) + 67891) % 2147483647) % 16) AS INTEGER)) AS DATE)
       AS drawn_period
@@ -461,7 +462,7 @@ bl AS (
 
 oracle("bootstrap_trim", with_boot("""
 SELECT entity, repl, period, round(y, 6) AS y FROM (
-  SELECT q.entity, r.range AS repl, q.period, q.qty AS y FROM q, range(202) r
+  SELECT q.entity, CAST(r.range AS INTEGER) AS repl, q.period, q.qty AS y FROM q, range(202) r
   WHERE q.period < DATE '2000-01-01'
   UNION ALL
   SELECT entity, repl, period, y FROM p)
@@ -607,7 +608,7 @@ st AS (
   SELECT t.name, CAST(sh.shift AS INTEGER) AS shift, t.pos,
     CASE WHEN t."offset" + sh.shift > 0 THEN t.variable || '_' || (t."offset" + sh.shift)
          ELSE t.variable END AS variable,
-    CASE WHEN t."offset" + sh.shift > 0 THEN 0 ELSE t."offset" + sh.shift END AS "offset"
+    CAST(CASE WHEN t."offset" + sh.shift > 0 THEN 0 ELSE t."offset" + sh.shift END AS INTEGER) AS "offset"
   FROM tok t, (SELECT unnest(range(1, 3)) AS shift) sh)
 """
 
@@ -633,7 +634,7 @@ oracle("new_input_series", with_cat(r"""
 SELECT name, "order", pos FROM (
   SELECT name, "order", pos, row_number() OVER (PARTITION BY name ORDER BY "order", pos) AS rn
   FROM (
-    SELECT k AS "order", unnest(range(len(w))) AS pos, unnest(w) AS name
+    SELECT k AS "order", CAST(unnest(range(len(w))) AS INTEGER) AS pos, unnest(w) AS name
     FROM (SELECT k, string_split(trim(regexp_replace(equation, '[^\w]+', ' ', 'g')), ' ') AS w FROM eqs))
   WHERE name <> '' AND NOT regexp_matches(name, '^\d')
     AND name NOT IN ('log', 'exp', 'max', 'min', 'abs', 'ind_ltezero')

@@ -50,13 +50,26 @@ def _sorted_rows(cols, rows) -> list:
                                            for x in r))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP",
+                 "boolean": "BOOLEAN"}
+
+
+def type_problems(spark_df, con, sql: str) -> list:
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+          for f in spark_df.schema.fields}
+    dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    bad = {k: (st.get(k), dt.get(k)) for k in set(st) | set(dt) if st.get(k) != dt.get(k)}
+    return [f"types differ: {bad}"] if bad else []
+
+
 def compare(spark_df, con, sql: str):
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
     cur = con.execute(sql)
     o_cols = [d[0] for d in cur.description]
     o_rows = cur.fetchall()
-    problems = []
+    problems = type_problems(spark_df, con, sql)
     if sorted(s_cols) != sorted(o_cols):
         problems.append(f"columns differ: spark={sorted(s_cols)} oracle={sorted(o_cols)}")
         return problems
