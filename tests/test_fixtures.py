@@ -331,3 +331,29 @@ def test_salted_shock_join_equals_broadcast(spark, sf_dir):
     a = B.bootstrap_shocks(*args).filter(F.col("repl") < 40)
     b = B.bootstrap_shocks(*args, broadcast_rows=0, salt=7).filter(F.col("repl") < 40)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_keyed_bucketed_scan_equals_plain_window(spark, sf_dir):
+    from pyspark.sql import Window
+    from macroseries.plans.standins import supplier_panel
+    q0 = supplier_panel(spark, sf_dir).select("entity", "period", "qty")
+    got = scan_columns(q0, "period", keys=["entity"], lag=["qty"], ffill=["qty"],
+                       bucket=F.year("period"), ffill_suffix="_ff")
+    w = Window.partitionBy("entity").orderBy("period")
+    want = q0.select("entity", "period", F.lag("qty").over(w).alias("qty__lag"),
+                     F.last("qty", ignorenulls=True).over(
+                         w.rowsBetween(Window.unboundedPreceding, 0)).alias("qty_ff"))
+    cols = ["entity", "period", "qty__lag", "qty_ff"]
+    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+
+
+def test_pct_change_fill_option(spark):
+    df = spark.createDataFrame([("a", q(2040, k), v) for k, v in
+                                [(1, 100.0), (2, None), (3, 110.0)]],
+                               "entity string, period date, x double")
+    plain = {r.period: r.g for r in PN.pct_change_n(df, ["x"], 1, suffix="_g")
+             .select("period", F.col("x_g").alias("g")).collect()}
+    filled = {r.period: r.g for r in PN.pct_change_n(df, ["x"], 1, suffix="_g", fill=True)
+              .select("period", F.col("x_g").alias("g")).collect()}
+    assert plain[q(2040, 3)] is None
+    assert math.isclose(filled[q(2040, 3)], 10.0) and math.isclose(filled[q(2040, 2)], 0.0)
