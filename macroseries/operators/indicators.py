@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.periods import truncate
 from ..functions.scalar import div
+from ..session import materialize
 from .ordered import scan_columns
 
 
@@ -21,15 +22,18 @@ def pivot_long(obs: DataFrame, index: Sequence[str] | str, series: str, value: s
 
     The series list is always given: no extra job to find the distinct
     values, and a series absent from the data still becomes a (NULL)
-    column.  Spark plans it as one partial + final hash aggregation, so the
-    data is combined map-side before the shuffle on ``index``.
+    column.  Written as conditional aggregates, exactly like the SQL: one
+    partial aggregation map-side, one shuffle on ``index``, one final
+    aggregation (``DataFrame.pivot`` would add a second shuffle on
+    ``(index, series)``).
     """
     index = [index] if isinstance(index, str) else list(index)
     fn = {"max": F.max, "min": F.min, "sum": F.sum, "avg": F.avg,
           "first": lambda c: F.first(c, ignorenulls=True)}[agg]
     names = dict(names or {})
-    out = obs.groupBy(*index).pivot(series, list(series_list)).agg(fn(F.col(value)))
-    return out.select(*index, *[F.col(f"`{s}`").alias(names.get(s, s)) for s in series_list])
+    return obs.groupBy(*index).agg(*[
+        fn(F.when(F.col(series) == F.lit(s), F.col(value))).alias(names.get(s, s))
+        for s in series_list])
 
 
 def pct_change(col: str, prev: str, times: float = 100.0) -> Column:
@@ -42,16 +46,22 @@ def indicator_table(obs: DataFrame, series_list: Sequence[str],
                     ffill: Sequence[str], raw: Sequence[str], date: str = "date",
                     series: str = "series_id", value: str = "observation_value",
                     keys: Sequence[str] = (), bucket: str | None = "month",
-                    sort: bool = True) -> DataFrame:
+                    sort: bool = True, materialize_wide: bool = True) -> DataFrame:
     """The indicator model.
 
     ``obs`` is long ``(keys..., date, series, value)``.  ``growth`` maps an
     output name to the (renamed) series whose previous-row growth it holds;
     ``ffill`` lists the series forward-filled; ``raw`` the ones passed
     through.  Output is ordered newest first unless ``sort`` is false.
+
+    The wide table (one row per date) is written once to the shared
+    checkpoint folder before the ordered scans, which read it twice (rows
+    and bucket summary): the observations are scanned once.
     """
     keys = list(keys)
     wide = pivot_long(obs, keys + [date], series, value, series_list, names)
+    if materialize_wide:
+        wide = materialize(wide)
     b = truncate(bucket, F.col(date)) if bucket else None
     lag_cols = list(dict.fromkeys(growth.values()))
     scanned = scan_columns(wide, order=date, keys=keys, lag=lag_cols, ffill=ffill, bucket=b)

@@ -18,6 +18,7 @@ from ..functions import scalar as S
 from ..operators import indicators as I
 from ..operators import panel as PN
 from ..operators import recurrence as R
+from ..session import materialize
 from .standins import (EVENT_SERIES, FFILL_SERIES, GROWTH_SERIES, RAW_SERIES,
                        observations, supplier_panel, table)
 
@@ -51,13 +52,14 @@ def pivot_indicators(spark, d):
 
 @query
 def inflation_mom(spark, d):
-    w = _wide(spark, d).select("date", "purchase")
+    # the ordered scan reads its input twice: write the small wide table once
+    w = materialize(_wide(spark, d).select("date", "purchase"))
     return I.inflation_mom(w, "purchase", name="purchase_mom")
 
 
 @query
 def forward_fill(spark, d):
-    w = _wide(spark, d).select("date", "click", "signup", "view")
+    w = materialize(_wide(spark, d).select("date", "click", "signup", "view"))
     return I.forward_fill(w, ["click", "signup", "view"])
 
 
