@@ -33,12 +33,14 @@ from pyspark.sql import types as T
 
 from ..functions.columns import as_col
 from ..functions.periods import add_quarters, ordinal
+from ..session import materialize
 from .panel import KEYS, PERIOD, _in_range
 
 
 def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
                       keys: Sequence[str] = KEYS, period: str = PERIOD,
-                      chunk: int = 256, init: DataFrame | None = None) -> DataFrame:
+                      chunk: int = 256, init: DataFrame | None = None,
+                      materialize_chunks: bool = True) -> DataFrame:
     """``target = a * target(-1) + b`` over ``[start, end]`` (T9, linear order 1).
 
     ``a`` and ``b`` are numbers or Columns; they may use other series and
@@ -74,6 +76,10 @@ def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
     # outside the range resets the path to its own value
     elem = F.struct(F.col("__row").getField(period).alias("t"), "__in", "__a", "__b", "__t", "__row")
     xs = rows.groupBy(*kk, "__c").agg(F.sort_array(F.collect_list(elem)).alias("__xs"))
+    if materialize_chunks:
+        # read by two branches (carry and final fold): written once, so the
+        # input (and whatever scan feeds it) is computed once
+        xs = materialize(xs)
 
     def step1(acc, x):
         return F.struct(

@@ -300,7 +300,7 @@ def trajectory_override(spark, d):
 
 @query
 def baseline_vs_scenario(spark, d):
-    base = supplier_panel(spark, d)
+    base = materialize(supplier_panel(spark, d))  # read by both sides of the report
     sim = PN.set_range(base, "qty", F.col("qty") * 1.1, "2000Q1", "2001Q4")
     sim = PN.set_range(sim, "disc", F.col("disc") + 0.01, "2000Q1", "2001Q4")
     rep = PN.baseline_vs_scenario(base, sim, ["qty", "rev"], ["disc"], "2000Q1", "2001Q4")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.periods import quarter_start, truncate
 from ..operators.panel import densify
+from ..session import materialize
 
 # Fixed values of the stand-in indicator model: the five event types play the
 # series, and their roles mirror the reference model's columns (two passed
@@ -88,11 +89,13 @@ def catalog_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.concat(name, F.lit(" = "), name, F.lit("(1) + "), w1).alias("python_equation"),
                    F.array(F.struct(F.concat(F.lit("y_"), name, F.lit("(3)")).alias("cf_name"),
                                     (s.cast("double") / 100.0).alias("cf_value"))).alias("coeff"))
-    return p.select(
+    # the catalogue is small (one row per variable) and every catalogue query
+    # reads it in several branches: written once to the shared folder
+    return materialize(p.select(
         name.alias("name"),
         F.when(has_eq, F.lit("Behavioral")).otherwise(F.lit("Exogenous")).alias("equation_type"),
         F.when(s % 3 == 0, F.lit("NO")).when(s % 3 == 1, F.lit("YES")).alias("stochastic_type"),
         F.when(has_eq, F.struct(eq.alias("python_equation"), coeff.alias("coeff")))
         .alias("standard_equation"),
         F.when(has_eq & group.isNotNull(), mce).alias("mce_equation"),
-        F.col("p_brand"))
+        F.col("p_brand")))
