@@ -40,7 +40,7 @@ from .panel import KEYS, PERIOD, _in_range
 def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
                       keys: Sequence[str] = KEYS, period: str = PERIOD,
                       chunk: int = 256, init: DataFrame | None = None,
-                      materialize_chunks: bool = True) -> DataFrame:
+                      materialize_chunks: bool = False) -> DataFrame:
     """``target = a * target(-1) + b`` over ``[start, end]`` (T9, linear order 1).
 
     ``a`` and ``b`` are numbers or Columns; they may use other series and
@@ -55,7 +55,10 @@ def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
     of its replications), for panels that hold no row before ``start``.
 
     The input is read once and every row travels through the chunk arrays
-    (no join back).  Chunks count quarters from ``start``, so a range of up
+    (no join back).  The chunk table feeds two branches (carry and final
+    fold); pass ``materialize_chunks=True`` when the input is expensive to
+    recompute (e.g. straight from a large scan), so it is written once to
+    the shared folder instead of being computed twice.  Chunks count quarters from ``start``, so a range of up
     to ``chunk`` quarters is one sequential fold, bit-identical to a loop;
     longer ranges are folded chunk by chunk in parallel.
     """

@@ -253,7 +253,9 @@ def scalar_functions(spark, d):
 @query
 def recurrence_ar1(spark, d):
     q = supplier_panel(spark, d).withColumn("y", F.col("qty"))
-    q = R.linear_recurrence(q, "y", 0.5, 0.1 * F.col("qty"), start="1996Q1")
+    # fed straight from the lineitem aggregation: write the chunk table once
+    q = R.linear_recurrence(q, "y", 0.5, 0.1 * F.col("qty"), start="1996Q1",
+                            materialize_chunks=True)
     return q.select("entity", "period", "y")
 
 
