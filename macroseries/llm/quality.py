@@ -5,9 +5,9 @@ Tokens are runs of letters, digits or punctuation; features are hashed one- and
 (a token that repeats its predecessor is one feature of its own, whatever the token), counted over
 the whole text and scaled to unit length, and a constant.
 
-Training: at most ``sample_rows`` labelled rows (the smallest hashes of the id), dealt to
-``shards``; each shard runs FTRL in a Spark task and the weights are averaged. The model is bounded by
-2**DIM_BITS weights, so it is collected and broadcast.
+Training: at most ``sample_rows`` labelled rows (the smallest hashes of the id), dealt to shards of
+about ``rows_per_shard``; each shard runs FTRL in a Spark task and the weights are averaged by rows.
+The model is bounded by 2**DIM_BITS weights, so it is collected and broadcast.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from macroseries.llm.common import RUN_CLASSES, U64, mix, token_hashes
 
 DIM_BITS = 18
 SAMPLE_ROWS = 20_000
-SHARDS = 8
+ROWS_PER_SHARD = 2_500
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.5
 _SAME = 1
@@ -58,12 +58,13 @@ def ftrl(rows: list, labels: list, epochs: int = EPOCHS) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
-        shards: int = SHARDS) -> np.ndarray:
+        rows_per_shard: int = ROWS_PER_SHARD) -> np.ndarray:
     """Train on ``labels`` (doc_id, quality 0/1) joined to ``docs`` (doc_id, text). Rows with a
     NULL id or label and ids labelled both ways are left out; no rows give zero weights."""
     lab = (labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id")
            .agg(F.min("quality").alias("y"), F.max("quality").alias("y1")).filter("y = y1"))
     lab = lab.select("doc_id", "y").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    shards = max(1, -(-lab.count() // rows_per_shard))
     rows = docs.select("doc_id", "text").join(F.broadcast(lab), "doc_id")
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
 
@@ -73,15 +74,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
         x = [features(h) for h in token_hashes(pdf["text"].tolist(), RUN_CLASSES, fold=False)]
         w = ftrl(x, pdf["y"].tolist())
         i = np.flatnonzero(w)
-        return pd.DataFrame({"i": i, "w": w[i], "rows": len(pdf)})
-
-    parts = rows.groupBy("shard").applyInPandas(train, "i bigint, w double, rows bigint")
-    got = parts.groupBy("i").agg(F.sum(F.col("w") * F.col("rows")).alias("w"),
-                                 F.max("rows")).select("i", "w").toPandas()
-    weights = np.zeros(1 << DIM_BITS, dtype=np.float64)
-    total = rows.count() if len(got) else 1
-    weights[got["i"].to_numpy(dtype=np.int64)] = got["w"].to_numpy(dtype=float) / max(1, total)
-    return weights
+        # the row after the last feature counts the shard's rows
+        return pd.DataFrame({"i": np.append(i, len(w)), "w": np.append(w[i], 1.0) * len(pdf)})
+
+    parts = rows.groupBy("shard").applyInPandas(train, "i bigint, w double")
+    got = parts.groupBy("i").agg(F.sum("w").alias("w")).toPandas()
+    weights = np.zeros((1 << DIM_BITS) + 1)
+    weights[got["i"].to_numpy(dtype=np.int64)] = got["w"].to_numpy(dtype=float)
+    return weights[:-1] / max(1.0, weights[-1])
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text") -> Column:
