@@ -8,10 +8,10 @@ for chance agreement of the kept bits; candidates near the threshold are confirm
 
 No bucket is expanded into all of its pairs. Each bucket first compares its members with three
 leaders (the member with most bucket mates, and two drawn by hash). The links found give components,
-and only buckets that still hold several components are looked at again: members that have too many
-shingles of their own to reach the threshold with anything leave first, then members of different
-components are compared. That second pass is exact: every pair that shares a bucket is in one
-component, or excluded by a bound, or was estimated. What the method can miss is a pair that shares
+and only buckets that still hold several components are looked at again: members with too many rare
+shingles to reach the threshold leave first, then members of different components are compared, and
+members that share rare shingles are found by these. That second pass is exact: every pair that
+shares a bucket is in one component, or excluded by a bound, or was estimated. What the method can miss is a pair that shares
 no band (5e-6 at similarity 0.8 with 40 bands of 6) or whose estimate is far too low (margin 5
 standard errors).
 """
@@ -27,6 +27,7 @@ from macroseries.llm.common import U64, mix, shingles, token_hashes, write_once
 
 BANDS, ROWS, BITS = 40, 6, 2
 MARGIN = 0.15
+RARE = 128
 _MINIMA = BANDS * ROWS
 _PER_LONG = 64 // BITS
 _LONGS = -(-_MINIMA // _PER_LONG)
@@ -244,8 +245,12 @@ def _confirm(pairs: DataFrame, body: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_pairs(member: DataFrame, body: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a bucket and that the shingles no other candidate
-    has (``own``) do not exclude: the intersection is at most ``n - own`` on either side."""
+    """Pairs of different components that share a bucket and may reach the threshold.
+
+    A shingle is rare when at most ``RARE`` open classes hold it. Two classes without a common rare
+    shingle have at most ``min(n - rare)`` shingles in common, which excludes most members of a
+    bucket before it is joined with itself; classes with ``s`` common rare shingles are found
+    by joining on those, at most ``RARE`` classes each, and have at most that plus ``s``."""
     m = member.select("key", "rep", "n").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     m = m.select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
 
@@ -256,18 +261,36 @@ def _open_pairs(member: DataFrame, body: DataFrame, comp: DataFrame, percent: in
         return x.join(k, "key")
 
     m = write_once(several(m), "open")
-    ids = m.select("rep").distinct()
-    one = (body.join(ids, "rep", "left_semi").select("rep", F.explode("shingle_set").alias("s"))
-           .groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("rep"))
-           .filter("c = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own")))
-    m = m.join(one, "rep", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    m = m.withColumn("r", F.col("n") - F.col("own"))
-    m = m.filter(100 * F.col("r") >= percent * (F.greatest("n_min", "r") + F.col("own")))
+    ids = m.select("rep", "n", "comp").distinct()
+    tok = body.select("rep", F.explode("shingle_set").alias("s")).join(
+        ids.select("rep"), "rep", "left_semi")
+    few = tok.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") <= RARE)
+    rare = write_once(tok.join(few, "s"), "rare")
+    ids = ids.join(rare.groupBy("rep").agg(F.count(F.lit(1)).alias("rare")), "rep", "left")
+    ids = ids.withColumn("rare", F.coalesce("rare", F.lit(0)))
+    ids = write_once(ids.withColumn("r", F.col("n") - F.col("rare")), "open-ids")
+
+    def side(x: DataFrame, c: str, keys: list[str]) -> DataFrame:
+        return x.select(*keys, *[F.col(v).alias(f"{v}_{c}") for v in ("rep", "n", "comp", "r")])
+
+    def possible(shared):
+        i = F.least("r_a", "r_b") + shared
+        return (F.col("comp_a") != F.col("comp_b")) & (
+            100 * i >= percent * (F.col("n_a") + F.col("n_b") - i))
+
+    m = m.join(ids.select("rep", "rare", "r"), "rep")
+    m = m.filter(100 * F.col("r") >= percent * (F.greatest("n_min", "r") + F.col("rare")))
     m = write_once(several(m.select("key", "rep", "n", "comp", "r")).drop("n_min"), "open")
-    a = m.select("key", *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "comp", "r")])
-    b = m.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "comp", "r")])
-    i = F.least("r_a", "r_b")
-    on = (a["key"] == b["key"]) & (F.col("rep_a") < F.col("rep_b")) & (
-        F.col("comp_a") != F.col("comp_b")) & (
-        100 * i >= percent * (F.col("n_a") + F.col("n_b") - i))
-    return a.join(b, on).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+    a, b = side(m, "a", ["key"]), side(m, "b", ["key"])
+    plain = a.join(b, (a["key"] == b["key"]) & (F.col("rep_a") < F.col("rep_b"))
+                   & possible(F.lit(0)))
+
+    few = rare.filter("df > 1").select("s", "rep").join(ids, "rep")
+    x, y = side(few, "a", ["s", "rare"]), side(few, "b", ["s", F.col("rare").alias("rare_b")])
+    both = x.join(y, (x["s"] == y["s"]) & (F.col("rep_a") < F.col("rep_b"))
+                  & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+                  & possible(F.least("rare", "rare_b")))
+    both = both.groupBy("rep_a", "rep_b", "n_a", "n_b", "comp_a", "comp_b", "r_a", "r_b").agg(
+        F.count(F.lit(1)).alias("shared")).filter(possible(F.col("shared")))
+    return plain.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).unionByName(
+        both.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))).distinct()
