@@ -14,6 +14,7 @@ import os
 import re
 import unicodedata
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from macroseries.llm.common import number_rows, write_once
 
 MAX_TOKENS, END_ID = 4096, 2
-CACHE = 400_000
+CACHE = 600_000
 # fixed values: the word pattern of the public vocabulary, for text up to U+024F; anything else
 # goes to the tokenizer whole
 _PLAIN = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e\xa0-ɏ‐-‧‰-⁞€]|<\|")
@@ -66,6 +67,12 @@ class _Encoder:
         return b"".join([kept[w] for w in words])
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> _Encoder:
+    """One encoder per Python worker: its words serve the tasks that follow."""
+    return _Encoder(path)
+
+
 def pieces(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID,
            with_ids: bool = False) -> DataFrame:
     """One row per piece of each row of ``docs`` (doc_id, text): ids then ``end_id``, cut every
@@ -75,7 +82,7 @@ def pieces(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int
 
     def run(batches):
         import zlib
-        encode = _Encoder(path)
+        encode = _encoder(path)
         for b in batches:
             cols: list[list] = [[] for _ in range(6)]
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
