@@ -99,7 +99,7 @@ def explode_periods(df: DataFrame, start, end, name: str = "period") -> DataFram
 
 
 def slice_periods(df: DataFrame, start, end, period: str = "period") -> DataFrame:
-    """Inclusive date-range slice ``loc[start:end]`` (P5); pushes down to the scan."""
+    """Inclusive date-range slice ``loc[start:end]`` (P5)."""
     c = F.col(period)
     cond = F.lit(True)
     if start is not None:

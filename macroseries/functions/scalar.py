@@ -8,6 +8,8 @@ All are JVM-side Column expressions.  Policy for numeric-domain trouble
 
 from __future__ import annotations
 
+import re
+
 from functools import reduce
 
 from pyspark.sql import Column
@@ -100,15 +102,25 @@ def flip_equals(s) -> Column:
                     F.try_element_at(parts, F.lit(1)), F.lit(")"))
 
 
+# fixed format value: a name and the digits of its lead
+_LEAD = r"^(.*?)(_\d+)"
+
+
+def residual_name(name: str) -> str:
+    """Name of a series' residual, for a name known when the plan is built."""
+    lead = re.match(_LEAD, name)
+    base, digits = lead.groups() if lead else (name, "")
+    return base + "_trac" + digits
+
+
 def endo_to_trac(name) -> Column:
     """Residual name: ``v`` -> ``v_trac``, ``v_3`` -> ``v_trac_3``.
 
     As in the reference, text after the first ``_<digits>`` is dropped.
     """
     n = as_col(name)
-    pat = r"^(.*?)(_\d+)"
-    head = F.regexp_extract(n, pat, 1)
-    tail = F.regexp_extract(n, pat, 2)
+    head = F.regexp_extract(n, _LEAD, 1)
+    tail = F.regexp_extract(n, _LEAD, 2)
     return F.when(tail == "", F.concat(n, F.lit("_trac"))).otherwise(
         F.concat(head, F.lit("_trac"), tail))
 

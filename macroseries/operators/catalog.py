@@ -131,7 +131,7 @@ def missing_coefficients(tok: DataFrame, coefs: DataFrame) -> DataFrame:
 
 def used_inputs(exo: DataFrame, tok: DataFrame) -> DataFrame:
     """Exogenous series that some equation mentions (P14, exact token match)."""
-    return exo.join(tok.select(F.col("variable").alias("name")), on="name", how="left_semi")
+    return exo.join(tok.select(F.col("variable").alias("name")).distinct(), on="name", how="left_semi")
 
 
 def new_inputs(eqs: DataFrame, known: DataFrame) -> DataFrame:
@@ -156,9 +156,11 @@ def is_lead(name: Column | str) -> Column:
 def exogenize(eqs: DataFrame, exo: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Turn listed variables into inputs (P17): their equations are dropped
     and their names join the input list (deduplicated).  ``<v>_trac`` of an
-    exogenized variable is no longer an input.  Returns ``(eqs, inputs)``."""
+    exogenized variable is no longer an input, nor is a series that has an
+    equation.  Returns ``(eqs, inputs)``."""
     n = names.select("name").distinct()
     kept = eqs.join(n, on="name", how="left_anti")
     tracs = n.select(F.concat("name", F.lit("_trac")).alias("name"))
     inputs = exo.select("name").unionByName(n).distinct().join(tracs, on="name", how="left_anti")
+    inputs = inputs.join(kept.select("name").distinct(), on="name", how="left_anti")
     return kept, inputs

@@ -71,7 +71,7 @@ def check_not_null(df: DataFrame, col: str) -> DataFrame:
 
 def missing_names(required: DataFrame, present: DataFrame, name: str = "name") -> DataFrame:
     """Required names that are absent (U3): a left anti join."""
-    return required.select(name).distinct().join(present.select(name), on=name, how="left_anti")
+    return required.select(name).distinct().join(present.select(name).distinct(), on=name, how="left_anti")
 
 
 def raise_if_any(df: DataFrame, error: type[Exception] = DataTestError, label: str = "",

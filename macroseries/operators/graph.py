@@ -11,6 +11,8 @@ rounds is the depth of the graph.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ def in_degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         .select("node", F.coalesce("in_degree", F.lit(0)).cast("long").alias("in_degree"))
 
 
-def topo_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000,
+def topo_levels(nodes: DataFrame, edges: DataFrame,
                 compact_every: int = 8) -> DataFrame:
     """Peel nodes of in-degree 0 round after round (E4): ``(node, level)``.
 
@@ -42,12 +44,12 @@ def topo_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000,
     rn = _cp(nodes.select("node").distinct())
     re = _cp(edges.select("src", "dst").distinct())
     layers, pending = [], []
-    for k in range(max_rounds):
+    for k in count():
         cur_n, cur_e = rn, re
         for z in pending:
             cur_n = cur_n.join(z.select("node"), "node", "left_anti")
             cur_e = cur_e.join(z.select(F.col("node").alias("src")), "src", "left_anti")
-        zero = _cp(cur_n.join(cur_e.select(F.col("dst").alias("node")), on="node", how="left_anti")
+        zero = _cp(cur_n.join(cur_e.select(F.col("dst").alias("node")).distinct(), on="node", how="left_anti")
                    .withColumn("level", F.lit(k)))
         if zero.isEmpty():
             break
@@ -71,13 +73,13 @@ def _restrict(e: DataFrame, v: DataFrame) -> DataFrame:
         .join(v.select(F.col("node").alias("dst")), "dst", "left_semi")
 
 
-def _trim(v: DataFrame, e: DataFrame, max_rounds: int) -> tuple[DataFrame, DataFrame]:
+def _trim(v: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Drop nodes with no in- or no out-edge inside the remaining graph,
     until none is left: they are singleton components."""
     n = v.count()
-    for _ in range(max_rounds):
-        has_in = e.select(F.col("dst").alias("node"))
-        has_out = e.select(F.col("src").alias("node"))
+    for _ in count():
+        has_in = e.select(F.col("dst").alias("node")).distinct()
+        has_out = e.select(F.col("src").alias("node")).distinct()
         keep = _cp(v.join(has_in, "node", "left_semi").join(has_out, "node", "left_semi"))
         m = keep.count()
         if m == n:
@@ -87,11 +89,11 @@ def _trim(v: DataFrame, e: DataFrame, max_rounds: int) -> tuple[DataFrame, DataF
     return v, e
 
 
-def _propagate_min(e: DataFrame, label: DataFrame, max_rounds: int) -> DataFrame:
+def _propagate_min(e: DataFrame, label: DataFrame) -> DataFrame:
     """Smallest label that can reach each node along ``e`` (min-label
     propagation).  Each round is one job; the stop test reads a flag from
     its checkpoint."""
-    for _ in range(max_rounds):
+    for _ in count():
         sent = e.join(label.withColumnRenamed("node", "src"), on="src") \
             .select(F.col("dst").alias("node"), F.col("label").alias("__in"))
         new = label.join(sent.groupBy("node").agg(F.min("__in").alias("__in")), "node", "left") \
@@ -104,7 +106,7 @@ def _propagate_min(e: DataFrame, label: DataFrame, max_rounds: int) -> DataFrame
     return label
 
 
-def scc(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> DataFrame:
+def scc(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Strongly connected components (E5): ``(node, comp, size)`` for every
     node; ``comp`` is the smallest node of the component.
 
@@ -118,11 +120,11 @@ def scc(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> DataFr
     v = _cp(allv)
     e = _cp(edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct())
     found = []
-    for _ in range(max_rounds):
-        v, e = _trim(v, e, max_rounds)
+    for _ in count():
+        v, e = _trim(v, e)
         if v.isEmpty():
             break
-        color = _propagate_min(e, v.select("node", F.col("node").alias("label")), max_rounds)
+        color = _propagate_min(e, v.select("node", F.col("node").alias("label")))
         # backward inside each colour, starting from the colour's root
         ce = e.join(color.select(F.col("node").alias("src"), F.col("label").alias("ls")), "src") \
             .join(color.select(F.col("node").alias("dst"), F.col("label").alias("ld")), "dst") \
@@ -132,7 +134,7 @@ def scc(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> DataFr
         reach = _cp(color.filter(F.col("node") == F.col("label"))
                     .select("node", F.col("label").alias("comp")))
         n = reach.count()
-        for _ in range(max_rounds):
+        for _ in count():
             step = rev.join(reach.withColumnRenamed("node", "src"), on="src") \
                 .select(F.col("dst").alias("node"), "comp")
             new = _cp(reach.unionByName(step).distinct())
@@ -170,8 +172,7 @@ def smallest_source_component(nodes: DataFrame, edges: DataFrame, comps: DataFra
     return big.join(best, on="comp", how="left_semi").select("node", "comp", "size")
 
 
-def block_order(nodes: DataFrame, edges: DataFrame, comps: DataFrame | None = None,
-                max_rounds: int = 100_000) -> DataFrame:
+def block_order(nodes: DataFrame, edges: DataFrame, comps: DataFrame | None = None) -> DataFrame:
     """Order of blocks (E7): ``(node, block, block_level, simultaneous)``.
 
     Every strongly connected component is a block (a single node otherwise);
@@ -179,13 +180,13 @@ def block_order(nodes: DataFrame, edges: DataFrame, comps: DataFrame | None = No
     so solving blocks level by level respects every edge.  A valid order,
     not the reference's tie order.
     """
-    comps = comps if comps is not None else scc(nodes, edges, max_rounds)
+    comps = comps if comps is not None else scc(nodes, edges)
     c = comps.select("node", "comp", "size")
     ce = edges.join(c.select(F.col("node").alias("src"), F.col("comp").alias("s")), "src") \
         .join(c.select(F.col("node").alias("dst"), F.col("comp").alias("d")), "dst") \
         .filter(F.col("s") != F.col("d")) \
         .select(F.col("s").alias("src"), F.col("d").alias("dst")).distinct()
-    lv = topo_levels(c.select(F.col("comp").alias("node")).distinct(), ce, max_rounds)
+    lv = topo_levels(c.select(F.col("comp").alias("node")).distinct(), ce)
     return c.join(lv.select(F.col("node").alias("comp"), F.col("level").alias("block_level")),
                   on="comp").select("node", F.col("comp").alias("block"), "block_level",
                                     (F.col("size") > 1).alias("simultaneous"))

@@ -71,7 +71,9 @@ def scan_columns(df: DataFrame, order: str, keys: Sequence[str] = (),
 
     first = "__first"
     out = df.withColumns(local).withColumn(first, F.row_number().over(w) == 1)
-    out = out.join(summary, on=part, how="left")
+    right = summary.select(*[F.col(p).alias(f"__on_{p}") for p in part], *carry)
+    same = [F.col(p).eqNullSafe(F.col(f"__on_{p}")) for p in part]
+    out = out.join(right, on=same, how="left").drop(*[f"__on_{p}" for p in part])
     fix = {}
     for c in lag:
         fix[c + lag_suffix] = F.when(F.col(first), F.col(f"__prev_{c}")).otherwise(

@@ -69,7 +69,7 @@ def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
     origin = ordinal(as_col(start, literal=True)) if start is not None else F.lit(0)
     rows = df.select(
         F.struct(*[F.col(c) for c in cols]).alias("__row"), *[F.col(k).alias(f"__k_{k}") for k in keys],
-        _in_range(period, start, end).alias("__in"),
+        F.coalesce(_in_range(period, start, end), F.lit(False)).alias("__in"),
         as_col(a).cast("double").alias("__a"), as_col(b).cast("double").alias("__b"),
         F.col(target).cast("double").alias("__t"),
         F.floor((ordinal(period) - origin) / chunk).alias("__c"))
@@ -92,8 +92,11 @@ def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
 
     zero = F.struct(F.lit(0.0).alias("y"), F.lit(1.0).alias("p"), F.lit(False).alias("r"))
     affine = F.aggregate("__xs", zero, step1)
-    summ = xs.select(*kk, "__c", affine["p"].alias("A"), affine["y"].alias("B"),
-                     affine["r"].alias("R"))
+    # rows without a period stand outside the path: their chunk maps a value to itself
+    dated = F.col("__c").isNotNull()
+    summ = xs.select(*kk, "__c", F.when(dated, affine["p"]).otherwise(1.0).alias("A"),
+                     F.when(dated, affine["y"]).otherwise(0.0).alias("B"),
+                     (dated & affine["r"]).alias("R"))
 
     # level 2: per key, the value entering each chunk
     summ = summ.groupBy(*kk).agg(
@@ -127,7 +130,9 @@ def linear_recurrence(df: DataFrame, target: str, a, b, start=None, end=None,
         return F.struct(y.alias("y"), F.concat(acc["out"], F.array(y)).alias("out"))
 
     ys = F.aggregate("__xs", zero3, step3, lambda acc: acc["out"])
-    solved = xs.join(carry, on=kk + ["__c"], how="inner") \
+    on = kk + ["__c"]
+    entering = carry.select(*[F.col(c).alias(f"__on{c}") for c in on], "__Y")
+    solved = xs.join(entering, on=[F.col(c).eqNullSafe(F.col(f"__on{c}")) for c in on]) \
         .select(F.explode(F.arrays_zip(F.col("__xs.__row").alias("row"), ys.alias("y")))
                 .alias("__e"))
     row = F.col("__e").getField("row")

@@ -16,18 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import endo_to_trac
+from ..functions.scalar import endo_to_trac, residual_name
 from .panel import PERIOD, _in_range
 
 Equation = Tuple[Column, Column]
 
 
-def _trac_name(name: str) -> str:
-    import re
-    m = re.search(r"(.*?)(_\d+)", name)
-    return f"{name}_trac" if not m else f"{m.group(1)}_trac{m.group(2)}"
-
-
 def tracking_residuals(df: DataFrame, equations: Mapping[str, Equation], start=None, end=None,
                        period: str = PERIOD) -> DataFrame:
     """``<v>_trac`` such that ``rhs + v_trac - lhs = 0`` inside the window.
@@ -37,7 +31,7 @@ def tracking_residuals(df: DataFrame, equations: Mapping[str, Equation], start=N
     rng = _in_range(period, start, end)
     upd = {}
     for name, (lhs, rhs) in equations.items():
-        col = _trac_name(name)
+        col = residual_name(name)
         old = F.col(col) if col in df.columns else F.lit(0.0)
         upd[col] = F.when(rng, lhs - rhs).otherwise(old)
     return df.withColumns(upd)
@@ -48,7 +42,7 @@ def residual_closure(df: DataFrame, equations: Mapping[str, Equation], tol: floa
     """``|rhs + v_trac - lhs| <= tol`` per equation (R2); NULL where inputs are missing."""
     upd = {}
     for name, (lhs, rhs) in equations.items():
-        gap = rhs + F.col(_trac_name(name)) - lhs
+        gap = rhs + F.col(residual_name(name)) - lhs
         upd[name + suffix] = F.abs(gap) <= F.lit(tol) * F.greatest(F.lit(1.0), F.abs(lhs))
     return df.withColumns(upd)
 
@@ -90,36 +84,18 @@ def backtest_fanout(tasks: DataFrame, index: str = "task_index", base_year: int
     """One small linear solve per task (R10): ``year = base + i`` and
     ``matrix . x = [i, year]``.
 
-    2x2 systems are solved by Cramer's rule in Column expressions (JVM, in
-    the scan's stage); larger ones with batched ``numpy.linalg.solve`` in
-    ``mapInPandas``.  ``stamp`` adds the run time, kept out of comparisons.
+    The 2x2 system is solved by Cramer's rule in Column expressions (JVM, in
+    the scan's stage).  ``stamp`` adds the run time, kept out of comparisons.
     """
-    year = (F.lit(base_year) + F.col(index)).cast("int")
+    year = F.lit(base_year) + F.col(index).cast("long")
     df = tasks.select(F.col(index), year.alias("year"))
-    k = len(matrix)
-    if k == 2:
-        (a, b), (c, d) = matrix
-        det = a * d - b * c
-        if det == 0:
-            raise ValueError("singular matrix")
-        i, y = F.col(index).cast("double"), F.col("year").cast("double")
-        df = df.withColumns({"result_x0": (F.lit(d) * i - F.lit(b) * y) / F.lit(det),
-                             "result_x1": (F.lit(a) * y - F.lit(c) * i) / F.lit(det)})
-    else:
-        mat = np.asarray(matrix, dtype="float64")
-        fields = [T.StructField(f"result_x{j}", T.DoubleType()) for j in range(k)]
-        schema = T.StructType(list(df.schema.fields) + fields)
-
-        def solve(batches):
-            for pdf in batches:
-                rhs = np.zeros((len(pdf), k))
-                rhs[:, 0] = pdf[index].to_numpy(dtype="float64")
-                rhs[:, 1] = pdf["year"].to_numpy(dtype="float64")
-                x = np.linalg.solve(np.broadcast_to(mat, (len(pdf), k, k)), rhs[..., None])[..., 0]
-                yield pd.concat([pdf.reset_index(drop=True),
-                                 pd.DataFrame(x, columns=[f.name for f in fields])], axis=1)
-
-        df = df.mapInPandas(solve, schema)
+    (a, b), (c, d) = matrix
+    det = a * d - b * c
+    if det == 0:
+        raise ValueError("singular matrix")
+    i, y = F.col(index).cast("double"), F.col("year").cast("double")
+    df = df.withColumns({"result_x0": (F.lit(d) * i - F.lit(b) * y) / F.lit(det),
+                         "result_x1": (F.lit(a) * y - F.lit(c) * i) / F.lit(det)})
     if stamp:
         df = df.withColumn("timestamp", F.current_timestamp())
     return df

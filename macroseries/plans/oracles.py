@@ -101,7 +101,7 @@ oracle("report_window", """
 WITH b AS (SELECT o_custkey, CAST(date_trunc('quarter', min(o_orderdate)) AS DATE) AS first_q,
                   CAST(date_trunc('quarter', max(o_orderdate)) AS DATE) AS last_q
            FROM orders GROUP BY 1),
-n AS (SELECT *, CAST((year(last_q) * 4 + quarter(last_q)) - (year(first_q) * 4 + quarter(first_q)) + 1 AS INTEGER) AS n_qtrs FROM b),
+n AS (SELECT *, CAST((year(last_q) * 4 + quarter(last_q)) - (year(first_q) * 4 + quarter(first_q)) AS INTEGER) AS n_qtrs FROM b),
 p AS (SELECT *, CAST(greatest(least(round_even(n_qtrs / 4.0, 0), 6), 2) AS INTEGER) AS pad FROM n)
 SELECT o_custkey, n_qtrs, pad, CAST(first_q - to_months(3 * pad) AS DATE) AS window_start FROM p""")
 
@@ -324,7 +324,7 @@ SELECT entity, period, 'rev_over_zero' AS expr, CAST(NULL AS DOUBLE) AS value
 FROM q WHERE qty IS NOT NULL AND rev IS NOT NULL"""))
 
 oracle("backtest_fanout", """
-SELECT o_orderkey AS task_index, CAST(2004 + o_orderkey AS INTEGER) AS year,
+SELECT o_orderkey AS task_index, CAST(2004 + o_orderkey AS BIGINT) AS year,
        (4.0 * o_orderkey - 2.0 * (2004 + o_orderkey)) / -2.0 AS result_x0,
        (1.0 * (2004 + o_orderkey) - 3.0 * o_orderkey) / -2.0 AS result_x1
 FROM orders""")

@@ -112,7 +112,7 @@ def report_window(spark, d):
     o = table(spark, d, "orders")
     b = o.groupBy("o_custkey").agg(P.quarter_start(F.min("o_orderdate")).alias("first_q"),
                                    P.quarter_start(F.max("o_orderdate")).alias("last_q"))
-    n = P.quarters_between("first_q", "last_q") + 1
+    n = P.quarters_between("first_q", "last_q")
     pad = P.report_pad(n)
     return b.select("o_custkey", n.alias("n_qtrs"), pad.alias("pad"),
                     P.add_quarters("first_q", -pad).alias("window_start"))

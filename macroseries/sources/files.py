@@ -48,7 +48,7 @@ def union_by_name(frames: Iterable[DataFrame], types: Mapping[str, str] | None =
     return out
 
 
-def series_from_path(path, pattern: str = r"raw/([^/]+?)\.parquet(?:/|$)") -> Column:
+def series_from_path(path, pattern: str = r"raw/(.+?)\.parquet(?:/|$)") -> Column:
     """Series id from a file path.
 
     The URI form of ``_metadata.file_path`` escapes characters (a blank is
