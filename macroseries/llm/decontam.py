@@ -15,9 +15,11 @@ documents only send the windows that match.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,26 +50,47 @@ class _Tokens:
 
     def __init__(self):
         self.seen: dict[str, int] = {}
-        self.hash: list[int] = []
-        self.kind: list[int] = []
+        self.hash = np.zeros(0, dtype=U64)
+        self.kind = np.zeros(0, dtype=np.int8)
+
+    @staticmethod
+    def _kind(t: str, low: str) -> int:
+        if t[0].isdigit():
+            return _NUM
+        if t in _SIGNS:
+            return _SIGN
+        if t[0] in ".!?\n":
+            return _STOP
+        if low in UNITS:
+            return _UNIT
+        return _CAP if len(t) > 1 and t[0].isupper() and t[1:] == low[1:] else _WORD
 
     def ids(self, toks: list[str]) -> np.ndarray:
-        if len(self.seen) > CACHE:
-            self.__init__()
         seen = self.seen
-        for t in toks:
-            if t not in seen:
-                seen[t] = len(self.hash)
-                low = t.lower()
-                kind = (_NUM if t[0].isdigit() else _SIGN if t in _SIGNS else
-                        _STOP if t[0] in ".!?\n" else _UNIT if low in UNITS else
-                        _CAP if len(t) > 1 and t[0].isupper() and t[1:] == low[1:] else _WORD)
-                h = 0
-                for byte in low.encode("utf-8", "surrogatepass"):
-                    h = ((h ^ byte) * 0x100000001B3 + 0x9E37) & 0xFFFFFFFFFFFFFFFF
-                self.hash.append(h)
-                self.kind.append(kind)
-        return np.fromiter((seen[t] for t in toks), dtype=np.int64, count=len(toks))
+        try:
+            return np.array([seen[t] for t in toks], dtype=np.int64)
+        except KeyError:
+            if len(seen) > CACHE:
+                self.__init__()
+                seen = self.seen
+        new = [t for t in dict.fromkeys(toks) if t not in seen]
+        n = len(seen)
+        if n + len(new) > len(self.hash):
+            room = 2 * (n + len(new))
+            self.hash = np.concatenate([self.hash[:n], np.zeros(room - n, dtype=U64)])
+            self.kind = np.concatenate([self.kind[:n], np.zeros(room - n, dtype=np.int8)])
+        for k, t in enumerate(new, n):
+            low = t.lower()
+            seen[t] = k
+            self.hash[k] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass"))
+            self.kind[k] = self._kind(t, low)
+        return np.array([seen[t] for t in toks], dtype=np.int64)
+
+
+@lru_cache(maxsize=1)
+def _tokens() -> _Tokens:
+    """One table per Python worker: its tokens serve the tasks that follow."""
+    return _Tokens()
 
 
 def template(text: str | None, tokens: _Tokens) -> tuple[np.ndarray, np.ndarray, list]:
@@ -76,9 +99,7 @@ def template(text: str | None, tokens: _Tokens) -> tuple[np.ndarray, np.ndarray,
     if not toks:
         return np.zeros(0, dtype=U64), np.zeros(0, dtype=bool), []
     ids = tokens.ids(toks)
-    kind = np.array(tokens.kind, dtype=np.int8)[ids] if len(toks) > 2000 else np.fromiter(
-        (tokens.kind[i] for i in ids), dtype=np.int8, count=len(ids))
-    h = np.array([tokens.hash[i] for i in ids], dtype=U64)
+    kind, h = tokens.kind[ids], tokens.hash[ids]
     before = np.concatenate([[_STOP], kind[:-1]])
     after = np.concatenate([kind[1:], [_STOP]])
     slot = np.full(len(kind), -1, dtype=np.int8)
@@ -123,7 +144,7 @@ def benchmark_windows(bench: DataFrame, width: int = WINDOW) -> DataFrame:
     template tokens is one window of its own length; one with fewer than ``LITERALS`` literal
     tokens has none and can't be searched for."""
     def run(batches):
-        tokens = _Tokens()
+        tokens = _tokens()
         for b in batches:
             out = []
             for item, key, text in zip(b["item_id"], b["item_key"], b["text"]):
@@ -144,7 +165,7 @@ def _hits(docs: DataFrame, block: np.ndarray, widths: list[int]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(block)
 
     def run(batches):
-        tokens = _Tokens()
+        tokens = _tokens()
         want = shared.value
         for b in batches:
             out = []
