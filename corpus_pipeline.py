@@ -69,7 +69,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-# learned models, MinHash and a tokenizer are beyond SQL; tests/llm holds brute-force versions
+# learned models, MinHash and a tokenizer are beyond SQL; tests/llm tests each stage's operator
 ORACLE_SQL = None
 
 
