@@ -188,7 +188,9 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
     NULL ids are never targets; rows that repeat a document count each; NULL and empty texts add
     nothing and get NULL losses; empty tables give an empty result."""
     ids = target_ids.select(F.col("doc_id").alias("tid")).filter("tid IS NOT NULL").distinct()
-    marked = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("tid"), "left")
+    # a merge join at every size: the ids grow with the corpus, so they are never broadcast
+    marked = docs.select("doc_id", "text").join(ids.hint("merge"), F.col("doc_id") == F.col("tid"),
+                                                "left")
     marked = marked.select("text", F.col("tid").isNotNull().alias("is_target"))
     vocab = vocabulary(docs)
     grams = write_once(counts(marked, vocab), "grams")
