@@ -15,6 +15,7 @@ from typing import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import as_col
 from ..functions.periods import (add_quarters, period_sequence, quarters_between,
@@ -33,24 +34,44 @@ def densify(df: DataFrame, keys: Sequence[str] = KEYS, period: str = PERIOD,
             start=None, end=None) -> DataFrame:
     """Complete the quarter grid of every key (P7); new rows have NULL series.
 
-    Without ``start``/``end`` each key spans its own first to last quarter.
-    One aggregation per key gathers its rows into a map keyed by quarter
-    (a key holds at most one row per quarter, so the map is bounded by the
-    calendar); the grid is generated with ``explode(sequence(...))`` and
-    looked up in the map.  The input is read once: no self-join, no cross
-    join.
+    Without ``start``/``end`` each key spans its own first to last quarter;
+    with them, rows outside are dropped.  Rows without a period and rows that
+    repeat a quarter are kept as they are (``check_unique`` reports the
+    latter).  Every row adds the missing quarters up to its successor, so
+    the input is read once and sorted within its key (a sort that spills):
+    nothing is gathered, no self-join, no cross join.
     """
     keys = list(keys)
-    vals = [c for c in df.columns if c not in keys and c != period]
-    g = df.groupBy(*keys).agg(
-        F.min(period).alias("__lo"), F.max(period).alias("__hi"),
-        F.map_from_entries(F.collect_list(F.struct(F.col(period), F.struct(*vals))))
-        .alias("__m"))
-    lo = F.col("__lo") if start is None else as_col(start, literal=True)
-    hi = F.col("__hi") if end is None else as_col(end, literal=True)
-    grid = g.select(*keys, "__m", F.explode(period_sequence(lo, hi)).alias(period))
-    hit = F.try_element_at(F.col("__m"), F.col(period))
-    return grid.select(*keys, period, *[hit[c].alias(c) for c in vals])
+    vals = [f for f in df.schema.fields if f.name not in keys and f.name != period]
+    kind = df.schema[period].dataType
+    first = None if start is None else as_col(start, literal=True)
+    last = None if end is None else as_col(end, literal=True)
+    p, none = F.col(period), F.array().cast(T.ArrayType(T.DateType()))
+    w = _window(keys, period)
+    nxt, begins = F.lead(p).over(w), F.row_number().over(w) == 1
+
+    def quarters(lo, hi):
+        return F.when(quarters_between(lo, hi) >= 0, period_sequence(lo, hi)).otherwise(none)
+
+    # the quarters after this row and before the next one (the end, after the last dated row)
+    lo, hi = add_quarters(p, 1), F.when(nxt.isNotNull(), add_quarters(nxt, -1))
+    if first is not None:
+        lo = F.greatest(lo, first)
+    if last is not None:
+        hi = F.least(F.coalesce(hi, last), last)
+    new = F.when(p.isNotNull(), quarters(lo, hi)).otherwise(none)
+    if first is not None:
+        # the quarters before the first row
+        before = F.least(add_quarters(p, -1), last if last is not None else add_quarters(p, -1))
+        new = F.concat(new, F.when(begins, quarters(first, before)).otherwise(none))
+    new = F.transform(new, lambda x: F.struct(x.cast(kind).alias("t"), F.lit(False).alias("own")))
+    keep = p.isNull() | _in_range(period, start, end)
+    own = F.filter(F.array(F.struct(p.alias("t"), F.lit(True).alias("own"))), lambda _: keep)
+    grid = df.select(*keys, *[f.name for f in vals], own.alias("__own"), new.alias("__new"))
+    grid = grid.select(*keys, *[f.name for f in vals],
+                       F.explode(F.concat("__own", "__new")).alias("__g"))
+    return grid.select(*keys, F.col("__g.t").alias(period),
+                       *[F.when(F.col("__g.own"), F.col(f.name)).alias(f.name) for f in vals])
 
 
 class Series:
@@ -132,15 +153,16 @@ def apply_overrides(df: DataFrame, overrides: DataFrame, series_list: Sequence[s
     """Upsert a long override table ``(keys..., period, series, value)``.
 
     ``mode='set'`` overwrites where an override exists, ``'add'`` adds it
-    (missing stays missing).  The override table is pivoted with the given
-    series list (partial aggregation) and left-joined on ``(keys, period)``.
+    (missing stays missing).  The override table is made wide with the given
+    series list (conditional maxima: one shuffle; of repeated overrides the
+    largest value counts) and left-joined on ``(keys, period)``.
     No broadcast hint: the table can be as large as the panel; AQE
     broadcasts it when it measures small.
     """
     keys = list(keys)
-    wide = overrides.groupBy(*keys, period).pivot(series, list(series_list)).agg(
-        F.first(F.col(value), ignorenulls=True))
-    wide = wide.select(*keys, period, *[F.col(f"`{s}`").alias(f"__new_{s}") for s in series_list])
+    wide = overrides.groupBy(*keys, period).agg(
+        *[F.max(F.when(F.col(series) == s, F.col(value))).alias(f"__new_{s}")
+          for s in series_list])
     out = df.join(wide, on=keys + [period], how="left")
     upd = {}
     for s in series_list:

@@ -176,6 +176,13 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
     bounded whatever the data size, and Python is called quarters x buckets
     times, not once per row.
 
+    ``prev`` is the value on the key's previous row, as in
+    :func:`linear_recurrence` and in lags: fill gaps with ``densify`` where a
+    missing quarter must count.  Rows without a period keep their value and
+    stand outside the path; rows that repeat a quarter are steps of their own,
+    ordered by value.  No key sees another's rows, so the result does not
+    depend on ``blocks``.
+
     With ``error_col`` an exception is caught and its text returned in that
     column (values NULL) for the vector keys that raised, instead of failing
     the job (R8); the failing ones are isolated by bisection.
@@ -187,7 +194,7 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
     gkeys = [k for k in keys if k not in set(vector_keys)]
     inputs = [c for c in inputs if c != target]
     all_cols = df.columns
-    sel = df.select(*all_cols, _in_range(period, start, end).alias("__in"))
+    sel = df.select(*all_cols, F.coalesce(_in_range(period, start, end), F.lit(False)).alias("__in"))
     if vkeys:
         if blocks is None:
             n = df.select(F.approx_count_distinct(F.struct(*vkeys))).first()[0] or 1
@@ -201,51 +208,51 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
                            for f in df.schema.fields] +
                           ([T.StructField(error_col, T.StringType())] if error_col else []))
 
-    def solve(y, mask, cols):
-        for i in np.flatnonzero(mask):
-            prev = y[i - 1] if i > 0 else np.full(y.shape[1:], np.nan)
-            y[i] = fn(prev, {c: cols[c][i] for c in inputs})
-        return y
-
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        vk = vkeys or ["__v"]
-        if not vkeys:
-            pdf = pdf.assign(__v=0)
-        wide = pdf.set_index([period] + vk).sort_index()
-        wide = wide[~wide.index.duplicated(keep="last")]
-        grid = {c: wide[c].astype("float64").unstack(vk) for c in inputs + [target]}
-        ycols = grid[target].columns
-        mask = wide["__in"].groupby(level=0).any().reindex(grid[target].index).to_numpy(bool)
-        y = grid[target].to_numpy(copy=True)
-        cols = {c: grid[c].reindex(columns=ycols).to_numpy() for c in inputs}
-        errors = np.full(len(ycols), None, dtype=object)
-        y0 = y.copy()
+        pdf = pdf.reset_index(drop=True)
+        # a path is one key's rows in period order; step k works on the k-th row of every path
+        path = (pdf.groupby(vkeys, dropna=False, sort=False).ngroup().to_numpy() if vkeys
+                else np.zeros(len(pdf), dtype=np.int64))
+        ins = {c: pdf[c].astype("float64").to_numpy() for c in inputs}
+        y = pdf[target].astype("float64").to_numpy(copy=True)
+        inside = pdf["__in"].to_numpy(dtype=bool)
+        n_paths = int(path.max()) + 1
+        order = pd.DataFrame({"p": path, "t": pdf[period], "y": y, **{
+            f"i{k}": v for k, v in enumerate(ins.values())}})
+        order = order[order["t"].notna()].sort_values(list(order.columns), kind="stable")
+        step = order.groupby("p").cumcount().to_numpy()
+        rows = np.full((int(step.max()) + 1 if len(step) else 0, n_paths), -1, dtype=np.int64)
+        rows[step, order["p"].to_numpy()] = order.index.to_numpy()
+        errors = np.full(n_paths, None, dtype=object)
+
+        def solve(idx):
+            prev = np.full(len(idx), np.nan)
+            for at in rows:
+                at = at[idx]
+                live = at >= 0
+                hit = live & inside[at]
+                if hit.any():
+                    y[at[hit]] = fn(prev[hit], {c: ins[c][at[hit]] for c in inputs})
+                prev[live] = y[at[live]]
 
         def attempt(idx):
             try:
-                y[:, idx] = solve(y0[:, idx].copy(), mask, {c: cols[c][:, idx] for c in inputs})
+                solve(idx)
             except Exception as e:  # noqa: BLE001 - the error becomes data (R8)
                 if error_col is None:
                     raise
                 if len(idx) == 1:
                     errors[idx[0]] = f"{type(e).__name__}: {e}"
-                    y[:, idx[0]] = y0[:, idx[0]]
-                    y[mask, idx[0]] = np.nan
+                    y[inside & (path == idx[0])] = np.nan
                     return
                 half = len(idx) // 2
                 attempt(idx[:half])
                 attempt(idx[half:])
 
-        attempt(np.arange(len(ycols)))
-        res = pd.DataFrame(y, index=grid[target].index, columns=ycols)
-        long = res.stack(list(range(len(vk))), future_stack=True).rename(target)
-        long = long.reset_index()
+        attempt(np.arange(n_paths))
+        out = pdf[list(all_cols)].assign(**{target: y})
         if error_col:
-            err = pd.DataFrame({error_col: errors}, index=ycols).reset_index()
-            err.columns = vk + [error_col]
-            long = long.merge(err, on=vk, how="left")
-        keep = pdf[[c for c in all_cols if c != target] + (["__v"] if not vkeys else [])]
-        out = keep.merge(long, on=[period] + vk, how="left")
+            out[error_col] = errors[path]
         return out[[f.name for f in schema.fields]]
 
     solved = sel.groupBy(*group).applyInPandas(run, schema)

@@ -466,7 +466,8 @@ def keep_good_replications(spark, d):
     paths = materialize(_errors(spark, d))  # read by two branches below
     status = paths.groupBy("repl").agg(F.max("error").alias("error"))
     keep = B.keep_good_replications(status, NREPL, NEXTRA)
-    return paths.join(keep.filter("keep"), on="repl", how="left_semi") \
+    # at most NREPL rows, a parameter: broadcast, so the paths are not shuffled onto few keys
+    return paths.join(F.broadcast(keep.filter("keep")), on="repl", how="left_semi") \
         .select("entity", "repl", "period", r6(F.col("y")).alias("y"), "error")
 
 

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from macroseries.functions import scalar
-from macroseries.operators import ordered, recurrence, residuals
+from macroseries.operators import ordered, panel, recurrence, residuals
 from macroseries.sources import files
 
 
@@ -21,6 +21,42 @@ def test_linear_recurrence_keeps_every_row(spark):
                        (None, q[0]): 2.0, (None, q[1]): 2.0}
 
 
+def test_general_recurrence_is_the_same_in_any_bucket(spark):
+    q = [dt.date(2000 + k // 4, 1 + 3 * (k % 4), 1) for k in range(5)]
+    data = [("gap", q[0], 1.0, 1.0), ("gap", q[2], None, 1.0), ("gap", q[3], None, 1.0),
+            ("gap", None, 7.0, 1.0), (None, q[0], 2.0, 0.0), (None, q[1], None, 1.0),
+            ("twice", q[0], 4.0, 0.0), ("twice", q[1], None, 1.0), ("twice", q[1], None, 2.0)]
+    data += [(f"full{k}", t, 1.0, 1.0) for k in range(5) for t in q]
+    d = spark.createDataFrame(data, "entity string, period date, y double, z double")
+    want = sorted(map(str, recurrence.linear_recurrence(
+        d, "y", 0.5, F.col("z"), q[1], q[4]).select(d.columns).collect()))
+    for kw in ({}, *({"vector_keys": ["entity"], "blocks": n} for n in (1, 7, 97))):
+        got = recurrence.general_recurrence(d, "y", lambda prev, r: 0.5 * prev + r["z"], ["z"],
+                                            q[1], q[4], **kw)
+        assert sorted(map(str, got.select(d.columns).collect())) == want
+
+
+def test_densify_keeps_undated_and_repeated_quarters(spark):
+    q = [dt.date(2000 + k // 4, 1 + 3 * (k % 4), 1) for k in range(6)]
+    data = [("a", q[1], 1.0), ("a", q[1], 2.0), ("a", q[4], 3.0), ("a", None, 4.0),
+            (None, q[2], 5.0), ("undated", None, 6.0)]
+    d = spark.createDataFrame(data, "entity string, period date, v double")
+
+    def rows(df):
+        return sorted(((r["entity"], r["period"], r["v"]) for r in df.collect()), key=str)
+    assert rows(panel.densify(d)) == sorted(
+        [*data, ("a", q[2], None), ("a", q[3], None)], key=str)
+    inside = [("a", q[2], None), ("a", q[3], None), ("a", None, 4.0), (None, q[2], 5.0),
+              (None, q[3], None), ("undated", None, 6.0)]
+    got = rows(panel.densify(d, start=q[2], end=q[3]))
+    assert [r for r in got if r[0] != "undated"] == sorted(
+        [r for r in inside if r[0] != "undated"], key=str)
+    assert ("undated", None, 6.0) in got
+    early = rows(panel.densify(d.filter("entity = 'a' AND v = 3"), start=q[2], end=q[5]))
+    assert early == sorted([("a", q[2], None), ("a", q[3], None), ("a", q[4], 3.0),
+                            ("a", q[5], None)], key=str)
+
+
 def test_scan_columns_carries_for_null_keys_and_dates(spark):
     data = [(None, dt.date(2000, 1, 5), 1.0), (None, dt.date(2000, 2, 5), None), (None, None, None),
             ("k", dt.date(2000, 1, 5), 4.0), ("k", dt.date(2000, 3, 5), None)]
