@@ -9,6 +9,11 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
+#: most repeated digests that are broadcast (32 bytes each)
+BROADCAST_DIGESTS = 1_000_000
+
 
 class MissingDataError(Exception):
     """Series required by the model are absent from the data."""
@@ -38,15 +43,18 @@ def null_audit(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         .alias("__a")).select("__a.column", "__a.n_null")
 
 
-def check_unique(df: DataFrame, key: str | Sequence[str], prehash: bool | None = None) -> DataFrame:
+def check_unique(df: DataFrame, key: str | Sequence[str], prehash: bool | None = None,
+                 broadcast_rows: int = BROADCAST_DIGESTS) -> DataFrame:
     """Keys that occur more than once, NULL keys ignored (A7 ``unique``):
     ``(key..., n)``.
 
     For wide keys (strings, e.g. whole documents) the first pass counts
-    only a 64-bit hash and the length, so the shuffle carries 16 bytes per
-    row; only rows whose hash repeats are shuffled again with the full key,
-    where exact equality decides.  ``prehash`` defaults to on for string
-    keys.
+    256-bit digests, so its shuffle carries one digest per distinct key.  The
+    repeated digests are written once and counted: up to ``broadcast_rows``
+    they are broadcast and only texts that repeat move, combined before their
+    shuffle; beyond, a shuffled semi join finds the same rows.  Exact
+    equality of the full key decides in the end.  ``prehash`` defaults to on
+    for string keys.
     """
     key = [key] if isinstance(key, str) else list(key)
     nn = df.select(*key)
@@ -55,12 +63,15 @@ def check_unique(df: DataFrame, key: str | Sequence[str], prehash: bool | None =
     if prehash is None:
         prehash = any(df.schema[k].dataType.typeName() in ("string", "binary") for k in key)
     if prehash:
-        h = F.xxhash64(*key).alias("__h")
-        ln = sum((F.length(F.col(k).cast("string")) for k in key), F.lit(0)).alias("__l")
-        nn = nn.select(*key, h, ln)
-        rep = nn.groupBy("__h", "__l").agg(F.count(F.lit(1)).alias("__n")) \
-            .filter(F.col("__n") > 1).select("__h", "__l")
-        nn = nn.join(rep, on=["__h", "__l"], how="left_semi").select(*key)
+        digest = F.concat(*[F.unhex(F.sha2(F.col(k).cast("binary") if t in ("string", "binary")
+                                           else F.col(k).cast("string").cast("binary"), 256))
+                            for k, t in ((k, df.schema[k].dataType.typeName()) for k in key)])
+        nn = nn.withColumn("__h", digest)
+        rep = materialize(nn.groupBy("__h").agg(F.count(F.lit(1)).alias("__n"))
+                          .filter(F.col("__n") > 1).select("__h"))
+        if rep.count() <= broadcast_rows:
+            rep = F.broadcast(rep)
+        nn = nn.join(rep, on="__h", how="left_semi").select(*key)
     return nn.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 

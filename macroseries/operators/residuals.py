@@ -22,6 +22,20 @@ from .panel import PERIOD, _in_range
 Equation = Tuple[Column, Column]
 
 
+def merge_equations(equations: Mapping[str, Equation],
+                    new: Mapping[str, Equation]) -> dict[str, Equation]:
+    """Definitions replaced or added at run time (X2): ``new`` wins by name,
+    names not yet known are appended in their order.
+
+    Each definition is a pair ``(lhs, rhs)`` of columns; anything else raises
+    ``ValueError`` before a job starts.
+    """
+    for name, eq in new.items():
+        if not (isinstance(eq, tuple) and len(eq) == 2 and all(isinstance(c, Column) for c in eq)):
+            raise ValueError(f"{name}: a definition is a pair (lhs, rhs) of columns")
+    return {**equations, **new}
+
+
 def tracking_residuals(df: DataFrame, equations: Mapping[str, Equation], start=None, end=None,
                        period: str = PERIOD) -> DataFrame:
     """``<v>_trac`` such that ``rhs + v_trac - lhs = 0`` inside the window.

@@ -316,6 +316,14 @@ oracle("residual_norm", with_q("""
 SELECT entity, period, round(sqrt(pow(rhs_rev - lhs_rev, 2) + pow(rhs_qty - lhs_qty, 2)), 6) AS resid_norm
 FROM res""", RES))
 
+oracle("replaced_definitions", with_q("""
+SELECT entity, period, round(rev_trac, 6) AS rev_trac,
+       round(CASE WHEN period BETWEEN DATE '1996-01-01' AND DATE '2001-10-01'
+                  THEN qty - (lag(qty, 2) OVER w / 7 + rev / 9000) ELSE 0.0 END, 6) AS qty_trac,
+       round(CASE WHEN period BETWEEN DATE '1996-01-01' AND DATE '2001-10-01'
+                  THEN rev - (lag(rev) OVER w / 3 + qty * 11) ELSE 0.0 END, 6) AS price_trac
+FROM res WINDOW w AS (PARTITION BY entity ORDER BY period)""", RES))
+
 oracle("domain_violations", with_q("""
 SELECT entity, period, 'log_qty_less_200' AS expr, CAST(NULL AS DOUBLE) AS value
 FROM q WHERE qty IS NOT NULL AND qty - 200 <= 0

@@ -343,6 +343,18 @@ def tracking_residuals(spark, d):
     return r.select("entity", "period", r6(F.col("rev_trac")).alias("rev_trac"), "qty_trac")
 
 
+@query
+def replaced_definitions(spark, d):
+    """One definition replaced and one added at run time."""
+    q = supplier_panel(spark, d)
+    s = PN.Series(q)
+    eqs = RS.merge_equations(_equations(q), {
+        "qty": (s("qty"), s("qty", -2) / 7 + s("rev") / 9000),
+        "price": (s("rev"), s("rev", -1) / 3 + s("qty") * 11)})
+    r = RS.tracking_residuals(q, eqs, RESID_START, RESID_END)
+    return r.select("entity", "period", *[r6(F.col(f"{n}_trac")).alias(f"{n}_trac") for n in eqs])
+
+
 @query
 def residual_closure(spark, d):
     r = _residual_panel(spark, d)

@@ -2,10 +2,11 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from macroseries.functions import scalar
-from macroseries.operators import ordered, panel, recurrence, residuals
+from macroseries.operators import checks, ordered, panel, recurrence, residuals
 from macroseries.sources import files
 
 
@@ -85,3 +86,22 @@ def test_residual_name_is_one_rule(spark):
     d = spark.createDataFrame([(n,) for n in names], "n string")
     assert [r[0] for r in d.select(scalar.endo_to_trac("n")).collect()] == [
         scalar.residual_name(n) for n in names]
+
+
+def test_check_unique_by_digest_on_both_plans(spark):
+    long = "x" * 5000
+    data = [("a", 1), ("a", 1), ("", 2), ("", 2), ("", 3), (None, 4), (None, 4), (long, 5), (long, 5)]
+    d = spark.createDataFrame(data, "t string, n int")
+    for rows in (0, 1_000_000):
+        got = {r["t"]: r["n"] for r in checks.check_unique(d, "t", broadcast_rows=rows).collect()}
+        assert got == {"a": 2, "": 3, long: 2}
+        pairs = checks.check_unique(d.toDF("t", "k"), ["t", "k"], broadcast_rows=rows).collect()
+        assert {(r["t"], r["k"]): r["n"] for r in pairs} == {("a", 1): 2, ("", 2): 2, (long, 5): 2}
+    assert checks.check_unique(d.filter("n > 9"), "t").count() == 0
+
+
+def test_definitions_merge_by_name(spark):
+    a, b, c = ((F.lit(k), F.lit(-k)) for k in range(3))
+    assert residuals.merge_equations({"x": a, "y": b}, {"y": c, "z": a}) == {"x": a, "y": c, "z": a}
+    with pytest.raises(ValueError):
+        residuals.merge_equations({"x": a}, {"x": F.lit(1)})
