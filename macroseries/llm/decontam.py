@@ -3,19 +3,24 @@
 A text becomes a sequence of template tokens: lower-cased words stay literal; numbers, units that
 stand by a number and names (runs of capitalised words inside a sentence) become typed placeholders
 whose values are kept as slots. Windows of ``WINDOW`` template tokens with at least ``LITERALS``
-literal ones are hashed and joined between benchmark and documents. Matches of a document and an
-item on one alignment form a run; a run counts when its slots are consistent: every benchmark value
-stands for one document value, and the other way round. So a verbatim copy and a question whose
-numbers, names or units were exchanged throughout are both caught, a chance mix of values is not.
+literal ones are hashed and looked up in each document. Every hit names an alignment of document and
+item, on which the two are compared token by token; alignments that lie near each other (words were
+added or left out) are judged together. An item is held when the document has half of its windows,
+three quarters of its tokens, or a passage of ``PASSAGE`` literal tokens without a gap, and the slots
+are consistent: every benchmark value stands for one document value, and the other way round. So a
+verbatim copy, an edited one and a question whose numbers, names or units were exchanged throughout
+are all caught, a chance mix of values is not.
 
-The benchmark's windows go out in blocks of at most ``BLOCK`` hashes, so each broadcast is bounded;
-documents only send the windows that match.
+The benchmark goes out in blocks of whole items, about ``BLOCK`` windows each, so each broadcast is
+bounded; documents only send the items they hold.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -26,7 +31,8 @@ from pyspark.sql import functions as F
 from macroseries.llm.common import U64, mix, write_once
 
 WINDOW, LITERALS = 8, 4
-MIN_COVERAGE = 0.5
+MIN_COVERAGE, TOKEN_COVERAGE, PASSAGE, RUN = 0.5, 0.75, 13, 3
+CHUNK = 1 << 20
 BLOCK = 1 << 20
 CACHE = 400_000
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?\n]+|[%$€£¥°]")
@@ -93,138 +99,244 @@ def _tokens() -> _Tokens:
     return _Tokens()
 
 
-def template(text: str | None, tokens: _Tokens) -> tuple[np.ndarray, np.ndarray, list]:
-    """(hash per template token, True where it is a placeholder, its value or None)."""
-    toks = _TOKEN.findall(text or "")
-    if not toks:
-        return np.zeros(0, dtype=U64), np.zeros(0, dtype=bool), []
-    ids = tokens.ids(toks)
-    kind, h = tokens.kind[ids], tokens.hash[ids]
-    before = np.concatenate([[_STOP], kind[:-1]])
-    after = np.concatenate([kind[1:], [_STOP]])
-    slot = np.full(len(kind), -1, dtype=np.int8)
-    slot[kind == _NUM] = _NUM
-    slot[(kind == _UNIT) & ((before == _NUM) | (before == _SIGN))] = _UNIT
-    slot[(kind == _SIGN) & ((before == _NUM) | (after == _NUM))] = _UNIT
-    slot[(kind == _CAP) & (before != _STOP)] = _NAME
-    keep = (kind != _STOP) & ~((kind == _SIGN) & (slot < 0))
-    at = np.flatnonzero(keep)
-    s = slot[at]
-    first = ~((s == _NAME) & (np.concatenate([[-1], s[:-1]]) == _NAME))
-    starts = np.flatnonzero(first)
-    value: list = [None] * len(starts)
-    ends = np.append(starts[1:], len(at))
-    for k in np.flatnonzero(s[starts] >= 0):
-        value[k] = " ".join(toks[i].lower() for i in at[starts[k]:ends[k]])
-    out = mix(h[at[starts]])
-    place = s[starts] >= 0
-    out[place] = _PLACE[s[starts][place]]
-    return out, place, value
-
-
-def windows(h: np.ndarray, place: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, allowed) of every window of ``width`` template tokens."""
-    n = len(h) - width + 1
-    if n <= 0:
-        return np.zeros(0, dtype=U64), np.zeros(0, dtype=bool)
-    acc = np.full(n, U64(width), dtype=U64)
-    for k in range(width):
-        acc = acc * _STEP + h[k:k + n]
-    lit = np.concatenate([[0], np.cumsum(~place)])
-    return mix(acc), lit[width:] - lit[:-width] >= min(LITERALS, width)
-
-
-_BENCH = ("item_id bigint, item_key bigint, pos int, width int, hash bigint, n_windows int, "
-          "slots array<string>")
-_HIT = "doc_id bigint, text_hash bigint, at int, hash bigint, found array<string>"
-
-
-def benchmark_windows(bench: DataFrame, width: int = WINDOW) -> DataFrame:
-    """One row per window of each benchmark item (item_id, text). An item shorter than ``width``
-    template tokens is one window of its own length; one with fewer than ``LITERALS`` literal
-    tokens has none and can't be searched for."""
-    def run(batches):
-        tokens = _tokens()
-        for b in batches:
-            out = []
-            for item, key, text in zip(b["item_id"], b["item_key"], b["text"]):
-                h, place, value = template(text, tokens)
-                w = min(width, len(h))
-                got, ok = windows(h, place, w) if w else (h, place)
-                got = got.view(np.int64)
-                for p in np.flatnonzero(ok):
-                    out.append((item, key, int(p), w, int(got[p]), int(ok.sum()),
-                                value[p:p + w]))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _BENCH.split(", ")])
-    b = bench.select(F.col("item_id").cast("long").alias("item_id"), "text",
-                     F.xxhash64("item_id", "text").alias("item_key"))
-    return b.dropDuplicates(["item_key"]).mapInPandas(run, _BENCH)
-
-
-def _hits(docs: DataFrame, block: np.ndarray, widths: list[int]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+class Sequence(NamedTuple):
+    """Tokens of texts laid end to end; text ``i`` has those from ``bounds[i]`` to ``bounds[i + 1]``."""
+    h: np.ndarray
+    slot: np.ndarray
+    bounds: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+    def value(self, k: int, toks: list[str], at: np.ndarray) -> str:
+        return " ".join(toks[i].lower() for i in at[self.first[k]:self.last[k]])
+
+
+class Parsed:
+    """Texts as one sequence of template tokens."""
+
+    def __init__(self, texts: list, tokens: _Tokens):
+        self.toks: list[str] = []
+        size = []
+        for t in texts:
+            got = _TOKEN.findall(t or "")
+            self.toks += got
+            self.toks.append("\n")
+            size.append(len(got) + 1)
+        ids = tokens.ids(self.toks)
+        kind, h = tokens.kind[ids], tokens.hash[ids]
+        before = np.concatenate([[_STOP], kind[:-1]])
+        after = np.concatenate([kind[1:], [_STOP]])
+        slot = np.full(len(kind), -1, dtype=np.int8)
+        slot[kind == _NUM] = _NUM
+        slot[(kind == _UNIT) & ((before == _NUM) | (before == _SIGN))] = _UNIT
+        slot[(kind == _SIGN) & ((before == _NUM) | (after == _NUM))] = _UNIT
+        slot[(kind == _CAP) & (before != _STOP)] = _NAME
+        text = np.repeat(np.arange(len(size)), size)
+        self.at = np.flatnonzero((kind != _STOP) & ~((kind == _SIGN) & (slot < 0)))
+        s = slot[self.at]
+        starts = np.flatnonzero(~((s == _NAME) & (np.concatenate([[-1], s[:-1]]) == _NAME)))
+        out = mix(h[self.at[starts]])
+        place = s[starts] >= 0
+        out[place] = _PLACE[s[starts][place]]
+        self.template = Sequence(out, s[starts], np.searchsorted(
+            text[self.at[starts]], np.arange(len(size) + 1)), starts,
+            np.append(starts[1:], len(self.at)))
+
+    def value(self, view: Sequence, k: int) -> str:
+        return view.value(k, self.toks, self.at)
+
+
+def windows(h: np.ndarray, widths: set[int]):
+    """(width, hashes) of the windows of each of ``widths`` tokens."""
+    acc = np.zeros(len(h), dtype=U64)
+    for w in range(1, max(widths, default=0) + 1):
+        n = len(h) - w + 1
+        if n <= 0:
+            return
+        acc = acc[:n] * _STEP + h[w - 1:]
+        if w in widths:
+            yield w, mix(acc + U64(w))
+
+
+def _width(n: int) -> int:
+    """Items of up to ``WINDOW`` tokens are one window; those of a longer one are a third of it, so
+    that two words more in it leave a window whole."""
+    return n if n <= WINDOW else min(WINDOW, max(LITERALS, n // 3))
+
+
+def _inside(ok: np.ndarray, w: int) -> np.ndarray:
+    """Where ``w`` values from here on are all true."""
+    run = np.concatenate([[0], np.cumsum(ok)])
+    return run[w:] - run[:-w] == w
+
+
+def _spread(ok: np.ndarray, w: int) -> np.ndarray:
+    """The values covered by runs of at least ``w`` true ones."""
+    out = np.zeros(len(ok), dtype=bool)
+    start = _inside(ok, w)
+    for k in range(w):
+        out[k:k + len(start)] |= start
+    return out
+
+
+class Item(NamedTuple):
+    h: np.ndarray
+    literal: np.ndarray
+    slots: dict[int, str]
+    kinds: np.ndarray
+    width: int
+    allowed: np.ndarray
+
+
+class Index:
+    """Windows of a block of items: sorted hashes with item and position, and the items' tokens."""
+
+    def __init__(self, parsed: Parsed, view: Sequence):
+        self.items: list[Item | None] = []
+        rows: dict[int, list] = {}
+        for k, (lo, hi) in enumerate(zip(view.bounds[:-1], view.bounds[1:])):
+            n, w = int(hi - lo), _width(int(hi - lo))
+            kinds = view.slot[lo:hi]
+            lit = np.concatenate([[0], np.cumsum(kinds < 0)])
+            allowed = lit[w:] - lit[:-w] >= min(LITERALS, w) if n else np.zeros(0, dtype=bool)
+            self.items.append(Item(view.h[lo:hi], kinds < 0,
+                                   {int(p): parsed.value(view, lo + p)
+                                    for p in np.flatnonzero(kinds >= 0)}, kinds, w, allowed))
+            for _, got in windows(view.h[lo:hi], {w}):
+                pos = np.flatnonzero(allowed)
+                rows.setdefault(w, []).append((got[pos], np.full(len(pos), k), pos))
+        self.widths = {}
+        for w, parts in rows.items():
+            h, item, pos = (np.concatenate(x) for x in zip(*parts))
+            o = np.argsort(h, kind="stable")
+            seen = np.zeros(1 << 20, dtype=bool)
+            seen[h >> U64(44)] = True
+            self.widths[w] = (h[o], item[o], pos[o], seen)
+
+    def hits(self, view: Sequence) -> dict[tuple[int, int], set[int]]:
+        """The alignments (first token in the text) per (text, item) of every window that matches."""
+        out: dict[tuple[int, int], set[int]] = {}
+        text = np.repeat(np.arange(len(view.bounds) - 1), np.diff(view.bounds))
+        for w, got in windows(view.h, set(self.widths)):
+            want, item, pos, seen = self.widths[w]
+            p = np.flatnonzero(seen[got >> U64(44)] & (text[:len(got)] == text[w - 1:]))
+            lo, hi = np.searchsorted(want, got[p]), np.searchsorted(want, got[p], side="right")
+            for a, x, y in zip(p[hi > lo], lo[hi > lo], hi[hi > lo]):
+                t = int(text[a])
+                for k in range(x, y):
+                    out.setdefault((t, int(item[k])), set()).add(
+                        int(a) - int(view.bounds[t]) - int(pos[k]))
+        return out
+
+    def held(self, parsed: Parsed, view: Sequence, min_coverage: float):
+        """(text, item, windows matched, windows, coverage, reparameterised) of every item held."""
+        for (t, k), shifts in self.hits(view).items():
+            item = self.items[k]
+            lo, hi = view.bounds[t], view.bounds[t + 1]
+            best = None
+            order, upto = sorted(shifts), -1
+            for i, s in enumerate(order):
+                j = bisect_right(order, s + max(WINDOW, len(item.h) // 2))
+                if j <= upto:
+                    continue
+                upto = j
+                got = _judge(item, view.h[lo:hi], lambda p: parsed.value(view, lo + p), order[i:j],
+                             min_coverage)
+                if got and (best is None or got > best):
+                    best = got
+                if best and best[0] == len(item.h) and best[2]:
+                    break
+            if best:
+                tokens, n, same = best
+                yield t, k, n, int(item.allowed.sum()), tokens / len(item.h), not same
+
+
+def _judge(item: Item, doc: np.ndarray, value, shifts: list[int], min_coverage: float):
+    """(tokens and windows of the item that the document has on the alignments ``shifts``, no slot
+    differs); None when that is too little."""
+    n = len(item.h)
+    equal = []
+    for s in shifts:
+        lo, hi = max(0, -s), min(n, len(doc) - s)
+        eq = np.zeros(n, dtype=bool)
+        eq[lo:hi] = item.h[lo:hi] == doc[s + lo:s + hi]
+        equal.append(_spread(eq, min(RUN, n)))
+    pairs = {(item.slots[p], value(s + p)) for s, eq in zip(shifts, equal)
+             for p in map(int, np.flatnonzero(eq & ~item.literal))}
+    if not len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}):
+        return None
+    windows_ = np.logical_or.reduce([_inside(eq, item.width) for eq in equal]) & item.allowed
+    tokens = int(np.logical_or.reduce(equal).sum())
+    if (windows_.sum() < min_coverage * item.allowed.sum() and tokens < TOKEN_COVERAGE * n
+            and max(_passage(eq, item.literal) for eq in equal) < PASSAGE):
+        return None
+    return tokens, int(windows_.sum()), all(a == b for a, b in pairs)
+
+
+def _passage(ok: np.ndarray, literal: np.ndarray) -> int:
+    """Literal tokens in the longest run of true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], ok.view(np.int8), [0]])))
+    lit = np.concatenate([[0], np.cumsum(literal)])
+    return int(max(lit[edges[1::2]] - lit[edges[::2]], default=0))
+
+
+_HELD = ("doc_id bigint, item_id bigint, n_windows bigint, item_windows int, coverage double, "
+         "reparameterised boolean, text_hash bigint, item_key bigint")
+
+
+def _chunks(texts: list):
+    """Slices of ``texts`` of about ``CHUNK`` characters."""
+    lo = size = 0
+    for k, t in enumerate(texts, 1):
+        size += len(t or "")
+        if size >= CHUNK or k == len(texts):
+            yield lo, k
+            lo, size = k, 0
+
+
+def _search(docs: DataFrame, items: list, min_coverage: float) -> DataFrame:
+    parsed = Parsed([r["text"] for r in items], _Tokens())
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (Index(parsed, parsed.template), [(r["item_id"], r["item_key"]) for r in items]))
 
     def run(batches):
         tokens = _tokens()
-        want = shared.value
+        index, keys = shared.value
         for b in batches:
             out = []
-            for doc, th, text in zip(b["doc_id"], b["text_hash"], b["text"]):
-                h, place, value = template(text, tokens)
-                for w in widths:
-                    got, ok = windows(h, place, w)
-                    got = got.view(np.int64)
-                    k = np.minimum(np.searchsorted(want, got), len(want) - 1)
-                    for p in np.flatnonzero(ok & (want[k] == got)):
-                        out.append((doc, th, int(p), int(got[p]), value[p:p + w]))
-            yield pd.DataFrame(out, columns=["doc_id", "text_hash", "at", "hash", "found"]).astype(
-                {"doc_id": "Int64"})
+            texts = list(b["text"])
+            for lo, hi in _chunks(texts):
+                got = Parsed(texts[lo:hi], tokens)
+                for t, k, n, of, share, other in index.held(got, got.template, min_coverage):
+                    out.append((b["doc_id"].iloc[lo + t], keys[k][0], n, of, share, other,
+                                b["text_hash"].iloc[lo + t], keys[k][1]))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in _HELD.split(", ")]).astype(
+                {"doc_id": "Int64", "item_id": "Int64"})
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                     F.xxhash64("text").alias("text_hash"), "text")
-    return d.mapInPandas(run, _HIT)
+    return d.mapInPandas(run, _HELD)
 
 
 def contaminated(docs: DataFrame, bench: DataFrame, min_coverage: float = MIN_COVERAGE,
                  block: int = BLOCK) -> DataFrame:
     """One row per document (doc_id, text) and benchmark item (item_id, text) that it holds:
-    doc_id, item_id, n_windows (matched on the best alignment), item_windows, coverage,
-    reparameterised (some slot differs), text_hash.
+    doc_id, item_id, n_windows (matched on near alignments), item_windows, coverage (share of the
+    item's tokens), reparameterised (some slot differs), text_hash.
 
     NULL and empty texts hold nothing and are held by nothing; rows that repeat a document or an
     item count once; a NULL id is a value like any other; empty tables give an empty result."""
-    index = write_once(benchmark_windows(bench), "bench-windows")
-    n_hashes = index.select("hash").distinct().count()
-    blocks = max(1, -(-n_hashes // block))
-    hits = None
+    items = write_once(bench.select(
+        F.col("item_id").cast("long").alias("item_id"), "text",
+        F.xxhash64("item_id", "text").alias("item_key")).dropDuplicates(["item_key"]), "bench-items")
+    # a window takes at least two characters of a text, seldom less than four
+    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // (4 * block)))
+    found = None
     for k in range(blocks):
-        part = index.filter(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == k)
-        rows = part.groupBy("hash").agg(F.min("width").alias("width")).toPandas()
-        if len(rows) == 0:
-            continue
-        got = _hits(docs, np.sort(rows["hash"].to_numpy(dtype=np.int64)),
-                    sorted(int(w) for w in rows["width"].unique()))
-        hits = got if hits is None else hits.unionByName(got)
-    if hits is None:
-        return docs.sparkSession.createDataFrame(
-            [], "doc_id bigint, item_id bigint, n_windows bigint, item_windows int, "
-                "coverage double, reparameterised boolean, text_hash bigint")
-    found = hits.join(index.withColumnRenamed("n_windows", "item_windows"), "hash")
-    run = found.groupBy("doc_id", "text_hash", "item_id", "item_key",
-                        (F.col("at") - F.col("pos")).alias("shift"))
-    pair = F.filter(F.zip_with("slots", "found", lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-                    lambda p: p["a"].isNotNull())
-    run = run.agg(F.countDistinct("pos").alias("n_windows"),
-                  F.first("item_windows").alias("item_windows"),
-                  F.array_distinct(F.flatten(F.collect_set(pair))).alias("slots"))
-    run = run.withColumn("coverage", F.col("n_windows") / F.col("item_windows"))
-
-    def values(side: str):
-        return F.size(F.array_distinct(F.transform("slots", lambda p: p[side])))
-    run = run.filter((values("a") == F.size("slots")) & (values("b") == F.size("slots")))
-    run = run.withColumn("reparameterised", F.exists("slots", lambda p: p["a"] != p["b"]))
-    best = run.groupBy("doc_id", "text_hash", "item_id", "item_key").agg(
-        F.max(F.struct("coverage", "n_windows", "item_windows",
-                       (~F.col("reparameterised")).alias("same"))).alias("v"))
-    return (best.filter(F.col("v.coverage") >= min_coverage)
-            .select("doc_id", "item_id", "v.n_windows", "v.item_windows", "v.coverage",
-                    (~F.col("v.same")).alias("reparameterised"), "text_hash"))
+        part = items.filter(F.pmod("item_key", F.lit(blocks)) == k).collect()
+        if part:
+            got = _search(docs, part, min_coverage)
+            found = got if found is None else found.unionByName(got)
+    if found is None:
+        found = docs.sparkSession.createDataFrame([], _HELD)
+    return found.dropDuplicates(["doc_id", "text_hash", "item_id", "item_key"]).drop("item_key")

@@ -123,6 +123,28 @@ def test_decontamination_finds_copies_and_new_parameters(spark):
     assert decontam.contaminated(docs, bench(spark).filter("false")).count() == 0
 
 
+WORDY = ("the quiet harbour master counted seventeen wooden boats before breakfast while two gulls argued "
+         "over bread near an old lighthouse that nobody had painted since spring").split()
+
+
+@pytest.mark.parametrize("n", [9, 12, 16, 20, 22, 26])
+def test_decontamination_finds_edited_copies(spark, n):
+    item = WORDY[:n]
+    mid, third = n // 2, n // 3
+    edits = [item[:mid] + ["however"] + item[mid:], item[:mid] + item[mid + 1:],
+             item[:mid] + ["however"] + item[mid + 1:]]
+    if n >= 16:
+        edits.append(item[:third] + ["well"] + item[third:2 * third] + ["so"] + item[2 * third:])
+    if n >= 26:
+        edits.append(["nothing"] * 30 + item[4:17] + ["else"] * 30)
+    docs = spark.createDataFrame([(k, "once " + " ".join(e) + " again") for k, e in enumerate(edits)]
+                                 + [(99, " ".join(item[:4] + ["x"] * 30 + item[-4:]))],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"] for r in rows(decontam.contaminated(docs, bench))}
+    assert got == set(range(len(edits)))
+
+
 def test_decontamination_against_brute_force(spark, sf_dir):
     items = rows(table(spark, sf_dir, "benchmark"))
     grams = defaultdict(set)
