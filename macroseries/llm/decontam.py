@@ -6,10 +6,14 @@ whose values are kept as slots. Windows of ``WINDOW`` template tokens with at le
 literal ones are hashed and looked up in each document. Every hit names an alignment of document and
 item, on which the two are compared token by token; alignments that lie near each other (words were
 added or left out) are judged together. An item is held when the document has half of its windows,
-three quarters of its tokens, or a passage of ``PASSAGE`` literal tokens without a gap, and the slots
-are consistent: every benchmark value stands for one document value, and the other way round. So a
-verbatim copy, an edited one and a question whose numbers, names or units were exchanged throughout
-are all caught, a chance mix of values is not.
+three quarters of its tokens, or a passage of ``PASSAGE`` literal tokens without a gap. A name stands
+for one document value, the one it has most often (its own, if as often as any); where it has another,
+the token doesn't match. Numbers and units are free: equal ones may be different parameters, different
+ones may become equal. So a verbatim copy, an edited one and a question whose numbers, names or units
+were exchanged throughout are all caught, a chance mix of names is not.
+
+Which words are names depends on their case, so the lower-cased tokens, all of them literal, are
+windowed and compared in the same way: a copy in capitals or small letters is found by those.
 
 The benchmark goes out in blocks of whole items, about ``BLOCK`` windows each, so each broadcast is
 bounded; documents only send the items they hold.
@@ -112,7 +116,7 @@ class Sequence(NamedTuple):
 
 
 class Parsed:
-    """Texts as one sequence of template tokens."""
+    """Texts as a sequence of template tokens and one of lower-cased tokens."""
 
     def __init__(self, texts: list, tokens: _Tokens):
         self.toks: list[str] = []
@@ -141,6 +145,10 @@ class Parsed:
         self.template = Sequence(out, s[starts], np.searchsorted(
             text[self.at[starts]], np.arange(len(size) + 1)), starts,
             np.append(starts[1:], len(self.at)))
+        every = np.arange(len(self.at))
+        self.folded = Sequence(mix(h[self.at]), np.full(len(self.at), -1, dtype=np.int8),
+                               np.searchsorted(text[self.at], np.arange(len(size) + 1)), every,
+                               every + 1)
 
     def value(self, view: Sequence, k: int) -> str:
         return view.value(k, self.toks, self.at)
@@ -183,7 +191,7 @@ class Item(NamedTuple):
     h: np.ndarray
     literal: np.ndarray
     slots: dict[int, str]
-    kinds: np.ndarray
+    name: np.ndarray
     width: int
     allowed: np.ndarray
 
@@ -192,16 +200,16 @@ class Index:
     """Windows of a block of items: sorted hashes with item and position, and the items' tokens."""
 
     def __init__(self, parsed: Parsed, view: Sequence):
-        self.items: list[Item | None] = []
+        self.items: list[Item] = []
         rows: dict[int, list] = {}
         for k, (lo, hi) in enumerate(zip(view.bounds[:-1], view.bounds[1:])):
             n, w = int(hi - lo), _width(int(hi - lo))
             kinds = view.slot[lo:hi]
             lit = np.concatenate([[0], np.cumsum(kinds < 0)])
-            allowed = lit[w:] - lit[:-w] >= min(LITERALS, w) if n else np.zeros(0, dtype=bool)
+            allowed = lit[w:] - lit[:-w] >= LITERALS if n else np.zeros(0, dtype=bool)
             self.items.append(Item(view.h[lo:hi], kinds < 0,
                                    {int(p): parsed.value(view, lo + p)
-                                    for p in np.flatnonzero(kinds >= 0)}, kinds, w, allowed))
+                                    for p in np.flatnonzero(kinds >= 0)}, kinds == _NAME, w, allowed))
             for _, got in windows(view.h[lo:hi], {w}):
                 pos = np.flatnonzero(allowed)
                 rows.setdefault(w, []).append((got[pos], np.full(len(pos), k), pos))
@@ -229,7 +237,7 @@ class Index:
         return out
 
     def held(self, parsed: Parsed, view: Sequence, min_coverage: float):
-        """(text, item, windows matched, windows, coverage, reparameterised) of every item held."""
+        """(text, item, coverage, no slot differs, windows matched, windows) of every item held."""
         for (t, k), shifts in self.hits(view).items():
             item = self.items[k]
             lo, hi = view.bounds[t], view.bounds[t + 1]
@@ -248,7 +256,7 @@ class Index:
                     break
             if best:
                 tokens, n, same = best
-                yield t, k, n, int(item.allowed.sum()), tokens / len(item.h), not same
+                yield t, k, tokens / len(item.h), same, n, int(item.allowed.sum())
 
 
 def _judge(item: Item, doc: np.ndarray, value, shifts: list[int], min_coverage: float):
@@ -261,16 +269,35 @@ def _judge(item: Item, doc: np.ndarray, value, shifts: list[int], min_coverage:
         eq = np.zeros(n, dtype=bool)
         eq[lo:hi] = item.h[lo:hi] == doc[s + lo:s + hi]
         equal.append(_spread(eq, min(RUN, n)))
-    pairs = {(item.slots[p], value(s + p)) for s, eq in zip(shifts, equal)
-             for p in map(int, np.flatnonzero(eq & ~item.literal))}
-    if not len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}):
-        return None
+    pairs = [{int(p): value(s + p) for p in np.flatnonzero(eq & ~item.literal)}
+             for s, eq in zip(shifts, equal)]
+    names: dict[str, dict[str, set[int]]] = {}
+    for of in pairs:
+        for p, b in of.items():
+            if item.name[p]:
+                names.setdefault(item.slots[p], {}).setdefault(b, set()).add(p)
+    stands = {}
+    for a, to in names.items():
+        most = max(map(len, to.values()))
+        top = [b for b, at in to.items() if len(at) == most]
+        stands[a] = a if a in top else top[0] if len(top) == 1 else None
+    right, wrong = set(), set()
+    for eq, of in zip(equal, pairs):
+        for p in [p for p in of if item.name[p]]:
+            if of[p] == stands[item.slots[p]]:
+                right.add(p)
+            else:
+                wrong.add(p)
+                eq[p] = False
+                del of[p]
     windows_ = np.logical_or.reduce([_inside(eq, item.width) for eq in equal]) & item.allowed
     tokens = int(np.logical_or.reduce(equal).sum())
-    if (windows_.sum() < min_coverage * item.allowed.sum() and tokens < TOKEN_COVERAGE * n
+    if (windows_.sum() < min_coverage * item.allowed.sum()
+            and (tokens < TOKEN_COVERAGE * n or len(right) < len(wrong - right))
             and max(_passage(eq, item.literal) for eq in equal) < PASSAGE):
         return None
-    return tokens, int(windows_.sum()), all(a == b for a, b in pairs)
+    return (tokens, int(windows_.sum()), not wrong - right and all(
+        item.slots[p] == b for of in pairs for p, b in of.items()))
 
 
 def _passage(ok: np.ndarray, literal: np.ndarray) -> int:
@@ -297,18 +324,26 @@ def _chunks(texts: list):
 def _search(docs: DataFrame, items: list, min_coverage: float) -> DataFrame:
     parsed = Parsed([r["text"] for r in items], _Tokens())
     shared = docs.sparkSession.sparkContext.broadcast(
-        (Index(parsed, parsed.template), [(r["item_id"], r["item_key"]) for r in items]))
+        (Index(parsed, parsed.template), Index(parsed, parsed.folded),
+         [(r["item_id"], r["item_key"]) for r in items]))
 
     def run(batches):
         tokens = _tokens()
-        index, keys = shared.value
+        index, folded, keys = shared.value
         for b in batches:
             out = []
             texts = list(b["text"])
             for lo, hi in _chunks(texts):
                 got = Parsed(texts[lo:hi], tokens)
-                for t, k, n, of, share, other in index.held(got, got.template, min_coverage):
-                    out.append((b["doc_id"].iloc[lo + t], keys[k][0], n, of, share, other,
+                best: dict[tuple[int, int], tuple] = {}
+                for t, k, *found in index.held(got, got.template, min_coverage):
+                    best[t, k] = tuple(found)
+                # lower-cased tokens know no slots: they say more only of a verbatim copy
+                for t, k, *found in folded.held(got, got.folded, min_coverage):
+                    if (t, k) not in best or found[0] == 1:
+                        best[t, k] = tuple(found)
+                for (t, k), (share, same, n, of) in best.items():
+                    out.append((b["doc_id"].iloc[lo + t], keys[k][0], n, of, share, not same,
                                 b["text_hash"].iloc[lo + t], keys[k][1]))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _HELD.split(", ")]).astype(
                 {"doc_id": "Int64", "item_id": "Int64"})

@@ -145,6 +145,25 @@ def test_decontamination_finds_edited_copies(spark, n):
     assert got == set(range(len(edits)))
 
 
+def test_decontamination_slots_that_conflict_or_coincide(spark):
+    trip, sum_ = bench(spark).first()["text"], (
+        "A baker sells 12 loaves in the morning and 8 rolls in the evening, then buys 2 sacks of "
+        "flour and 2 jars of salt. How much does he carry home?")
+    names = ("Last week Anna, Bert and Carla met Dora near Essen, while Felix, Georg and Hanna "
+             "waited for Ida and then walked home with Jonas and his old dog")
+    docs = spark.createDataFrame([
+        (1, trip.replace("from Paris", "from Lyon")),
+        (2, sum_.replace("12", "9").replace(" 8 ", " 9 ")),
+        (3, sum_.replace("2 sacks", "3 sacks").replace("2 jars", "4 jars")),
+        (4, names.upper()), (5, names.lower()), (6, names)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, trip), (2, sum_), (3, names)],
+                                  "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["reparameterised"]
+           for r in rows(decontam.contaminated(docs, items))}
+    assert got == {(1, 1): True, (2, 2): True, (3, 2): True, (4, 3): False, (5, 3): False,
+                   (6, 3): False}
+
+
 def test_decontamination_against_brute_force(spark, sf_dir):
     items = rows(table(spark, sf_dir, "benchmark"))
     grams = defaultdict(set)
