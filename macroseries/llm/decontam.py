@@ -13,7 +13,9 @@ ones may become equal. So a verbatim copy, an edited one and a question whose nu
 were exchanged throughout are all caught, a chance mix of names is not.
 
 Which words are names depends on their case, so the lower-cased tokens, all of them literal, are
-windowed and compared in the same way: a copy in capitals or small letters is found by those.
+windowed and compared in the same way: a copy in capitals or small letters is found by those, and so
+is any short item or one of numbers, which is one window. An item of less than ``LITERALS`` tokens is
+held where it stands between stops (a sentence, a line, a quotation), not as a part of other words.
 
 The benchmark goes out in blocks of whole items, about ``BLOCK`` windows each, so each broadcast is
 bounded; documents only send the items they hold.
@@ -39,7 +41,11 @@ MIN_COVERAGE, TOKEN_COVERAGE, PASSAGE, RUN = 0.5, 0.75, 13, 3
 CHUNK = 1 << 20
 BLOCK = 1 << 20
 CACHE = 400_000
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?\n]+|[%$€£¥°]")
+# brackets, quotes and colons end a sentence as full stops do: the word behind them is no name
+_STOPS = ".!?\n:;…\"'“”„‘’«»()[]{}¿¡"
+_OPERATORS = "+-−*×·/÷=<>≤≥^"
+_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|["
+                    + re.escape(_STOPS) + r"]+|[%$€£¥°]|[" + re.escape(_OPERATORS) + "]")
 # fixed values: units recognised beside a number
 UNITS = frozenset(
     "mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres "
@@ -50,7 +56,7 @@ UNITS = frozenset(
     "dollars cent cents euro euros usd eur gbp kb mb gb tb bit bits byte bytes".split())
 _SIGNS = frozenset("% $ € £ ¥ °".split())
 _WORD, _CAP, _NUM, _UNIT, _STOP, _SIGN = range(6)
-_NAME = 6
+_NAME, _OP = 6, 7
 _PLACE = mix(np.arange(1001, 1008, dtype=U64))
 _STEP = U64(0x9FB21C651E98DF25)
 
@@ -69,8 +75,10 @@ class _Tokens:
             return _NUM
         if t in _SIGNS:
             return _SIGN
-        if t[0] in ".!?\n":
+        if t[0] in _STOPS:
             return _STOP
+        if t in _OPERATORS:
+            return _OP
         if low in UNITS:
             return _UNIT
         return _CAP if len(t) > 1 and t[0].isupper() and t[1:] == low[1:] else _WORD
@@ -110,9 +118,7 @@ class Sequence(NamedTuple):
     bounds: np.ndarray
     first: np.ndarray
     last: np.ndarray
-
-    def value(self, k: int, toks: list[str], at: np.ndarray) -> str:
-        return " ".join(toks[i].lower() for i in at[self.first[k]:self.last[k]])
+    opens: np.ndarray
 
 
 class Parsed:
@@ -128,30 +134,46 @@ class Parsed:
             size.append(len(got) + 1)
         ids = tokens.ids(self.toks)
         kind, h = tokens.kind[ids], tokens.hash[ids]
-        before = np.concatenate([[_STOP], kind[:-1]])
-        after = np.concatenate([kind[1:], [_STOP]])
-        slot = np.full(len(kind), -1, dtype=np.int8)
-        slot[kind == _NUM] = _NUM
-        slot[(kind == _UNIT) & ((before == _NUM) | (before == _SIGN))] = _UNIT
-        slot[(kind == _SIGN) & ((before == _NUM) | (after == _NUM))] = _UNIT
-        slot[(kind == _CAP) & (before != _STOP)] = _NAME
         text = np.repeat(np.arange(len(size)), size)
-        self.at = np.flatnonzero((kind != _STOP) & ~((kind == _SIGN) & (slot < 0)))
-        s = slot[self.at]
+        each = np.arange(len(size) + 1)
+        # operators are tokens beside a number only, and of the lower-cased tokens only
+        at = np.flatnonzero(kind != _OP)
+        k = kind[at]
+        before = np.concatenate([[_STOP], k[:-1]])
+        after = np.concatenate([k[1:], [_STOP]])
+        s = np.full(len(k), -1, dtype=np.int8)
+        s[k == _NUM] = _NUM
+        s[(k == _UNIT) & ((before == _NUM) | (before == _SIGN))] = _UNIT
+        s[(k == _SIGN) & ((before == _NUM) | (after == _NUM))] = _UNIT
+        s[(k == _CAP) & (before != _STOP)] = _NAME
+        keep = (k != _STOP) & ~((k == _SIGN) & (s < 0))
+        at, s = at[keep], s[keep]
         starts = np.flatnonzero(~((s == _NAME) & (np.concatenate([[-1], s[:-1]]) == _NAME)))
-        out = mix(h[self.at[starts]])
-        place = s[starts] >= 0
-        out[place] = _PLACE[s[starts][place]]
-        self.template = Sequence(out, s[starts], np.searchsorted(
-            text[self.at[starts]], np.arange(len(size) + 1)), starts,
-            np.append(starts[1:], len(self.at)))
-        every = np.arange(len(self.at))
-        self.folded = Sequence(mix(h[self.at]), np.full(len(self.at), -1, dtype=np.int8),
-                               np.searchsorted(text[self.at], np.arange(len(size) + 1)), every,
-                               every + 1)
+        out = mix(h[at[starts]])
+        slot = s[starts]
+        out[slot >= 0] = _PLACE[slot[slot >= 0]]
+        first = at[starts]
+        self.template = Sequence(out, slot, np.searchsorted(text[first], each), first,
+                                 at[np.append(starts, len(at))[1:] - 1],
+                                 (kind[first] == _CAP) & (slot < 0))
+        used = np.zeros(len(kind), dtype=bool)
+        used[at] = True
+        near = np.zeros(len(kind), dtype=bool)
+        near[1:] |= kind[:-1] == _NUM
+        near[:-1] |= kind[1:] == _NUM
+        at = np.flatnonzero(used | ((kind == _OP) & near))
+        self.folded = Sequence(mix(h[at]), np.full(len(at), -1, dtype=np.int8),
+                               np.searchsorted(text[at], each), at, at,
+                               np.zeros(len(at), dtype=bool))
+        self.stop = kind == _STOP
 
     def value(self, view: Sequence, k: int) -> str:
-        return view.value(k, self.toks, self.at)
+        return " ".join(t.lower() for t in self.toks[view.first[k]:view.last[k] + 1])
+
+    def alone(self, view: Sequence, lo: int, hi: int) -> bool:
+        """Whether nothing but stops stands beside tokens ``lo`` to ``hi``."""
+        a, b = view.first[lo], view.last[hi - 1]
+        return (a == 0 or self.stop[a - 1]) and self.stop[b + 1]
 
 
 def windows(h: np.ndarray, widths: set[int]):
@@ -194,6 +216,7 @@ class Item(NamedTuple):
     name: np.ndarray
     width: int
     allowed: np.ndarray
+    opens: dict[int, str]
 
 
 class Index:
@@ -206,12 +229,19 @@ class Index:
             n, w = int(hi - lo), _width(int(hi - lo))
             kinds = view.slot[lo:hi]
             lit = np.concatenate([[0], np.cumsum(kinds < 0)])
-            allowed = lit[w:] - lit[:-w] >= LITERALS if n else np.zeros(0, dtype=bool)
+            allowed = lit[w:] - lit[:-w] >= (
+                1 if view is parsed.folded else LITERALS) if n else np.zeros(0, dtype=bool)
+            opens = {int(p): parsed.value(view, lo + p) for p in np.flatnonzero(view.opens[lo:hi])}
             self.items.append(Item(view.h[lo:hi], kinds < 0,
                                    {int(p): parsed.value(view, lo + p)
-                                    for p in np.flatnonzero(kinds >= 0)}, kinds == _NAME, w, allowed))
-            for _, got in windows(view.h[lo:hi], {w}):
-                pos = np.flatnonzero(allowed)
+                                    for p in np.flatnonzero(kinds >= 0)}, kinds == _NAME, w, allowed,
+                                   opens))
+            pos = np.flatnonzero(allowed)
+            seeds = [view.h[lo:hi]]
+            if n and opens:
+                # the word that opens a sentence reads as a name where no stop stands before it
+                seeds.append(np.where(view.opens[lo:hi], _PLACE[_NAME], view.h[lo:hi]))
+            for _, got in (x for h in seeds for x in windows(h, {w})):
                 rows.setdefault(w, []).append((got[pos], np.full(len(pos), k), pos))
         self.widths = {}
         for w, parts in rows.items():
@@ -248,8 +278,11 @@ class Index:
                 if j <= upto:
                     continue
                 upto = j
-                got = _judge(item, view.h[lo:hi], lambda p: parsed.value(view, lo + p), order[i:j],
-                             min_coverage)
+                near = order[i:j]
+                if len(item.h) < LITERALS:
+                    near = [x for x in near if parsed.alone(view, lo + x, lo + x + len(item.h))]
+                got = near and _judge(item, view.h[lo:hi], lambda p: parsed.value(view, lo + p),
+                                      near, min_coverage)
                 if got and (best is None or got > best):
                     best = got
                 if best and best[0] == len(item.h) and best[2]:
@@ -268,6 +301,9 @@ def _judge(item: Item, doc: np.ndarray, value, shifts: list[int], min_coverage:
         lo, hi = max(0, -s), min(n, len(doc) - s)
         eq = np.zeros(n, dtype=bool)
         eq[lo:hi] = item.h[lo:hi] == doc[s + lo:s + hi]
+        for p, word in item.opens.items():
+            if lo <= p < hi and doc[s + p] == _PLACE[_NAME]:
+                eq[p] = value(s + p).split()[-1] == word
         equal.append(_spread(eq, min(RUN, n)))
     pairs = [{int(p): value(s + p) for p in np.flatnonzero(eq & ~item.literal)}
              for s, eq in zip(shifts, equal)]
@@ -293,7 +329,7 @@ def _judge(item: Item, doc: np.ndarray, value, shifts: list[int], min_coverage:
     windows_ = np.logical_or.reduce([_inside(eq, item.width) for eq in equal]) & item.allowed
     tokens = int(np.logical_or.reduce(equal).sum())
     if (windows_.sum() < min_coverage * item.allowed.sum()
-            and (tokens < TOKEN_COVERAGE * n or len(right) < len(wrong - right))
+            and (n <= WINDOW or tokens < TOKEN_COVERAGE * n or len(right) < len(wrong - right))
             and max(_passage(eq, item.literal) for eq in equal) < PASSAGE):
         return None
     return (tokens, int(windows_.sum()), not wrong - right and all(

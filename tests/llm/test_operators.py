@@ -164,6 +164,21 @@ def test_decontamination_slots_that_conflict_or_coincide(spark):
                    (6, 3): False}
 
 
+def test_decontamination_finds_short_items(spark):
+    items = spark.createDataFrame([
+        (1, "What is 12 + 30?"), (2, "2 + 2 = 4"), (3, "What is the capital of France?"),
+        (4, "Solve 3 x"), (5, "7 km")], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "Exam. Question: what is 12 + 30? Answer below"), (2, "What is 12 - 30?"),
+        (3, "so 2+2=4 holds"), (4, 'He asked: "What is the capital of Peru?"'),
+        (5, "Question What is the capital of Peru"), (6, "Berlin is the capital of Germany"),
+        (7, "To solve 3 x we divide"), (8, "Solve 3 x\nthen stop"), (9, "7 km"),
+        (10, "ran 7 km today"), (11, "Question: What is the capital of France?"), (12, "What is")],
+        "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in rows(decontam.contaminated(docs, items))}
+    assert got == {(1, 1), (3, 2), (4, 3), (5, 3), (8, 4), (9, 5), (11, 3)}
+
+
 def test_decontamination_against_brute_force(spark, sf_dir):
     items = rows(table(spark, sf_dir, "benchmark"))
     grams = defaultdict(set)
