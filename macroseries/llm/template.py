@@ -53,6 +53,8 @@ _MARKUP = re.compile(
     re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
+#: a token that every page has: it counts a host's pages
+PAGE = 0
 TOKENS = "host string, token bigint, seen bigint, page bigint"
 RESULT = "page_id bigint, url string, text string, n_chars bigint, n_slots int"
 
@@ -194,9 +196,11 @@ def occurrences(pages: DataFrame) -> DataFrame:
         for b in batches:
             out: list[tuple] = []
             for host, source in zip(b["host"], b["html"]):
-                page = _hash(source) & 0x7FFFFFFF
+                page = _hash(source)
                 got = Page(source).tokens()
                 out += [(host, t, n, page) for t, n in got.items()]
+                if got:
+                    out.append((host, PAGE, 1, page))
             yield pd.DataFrame(out, columns=["host", "token", "seen", "page"])
     return pages.select("host", "html").mapInPandas(run, TOKENS)
 
@@ -212,8 +216,8 @@ def templates(pages: DataFrame) -> DataFrame:
         F.sum(once.bitwiseAND(F.lit(0x7FFFFFFF))).alias("v1"),
         F.sum(F.shiftrightunsigned(once, 33)).alias("v2"),
         F.count(F.lit(1)).alias("on"), F.sum("seen").alias("seen"))
-    size = token.groupBy("host").agg(F.max("on").alias("pages"))
-    member = token.join(size, "host").filter((F.col("on") == F.col("pages")) & (
+    size = token.filter(F.col("token") == PAGE).select("host", F.col("on").alias("pages"))
+    member = token.filter(F.col("token") != PAGE).join(size, "host").filter((F.col("on") == F.col("pages")) & (
         F.col("pages") >= MIN_PAGES))
     kind = member.groupBy("host", "v1", "v2", "on").agg(
         F.collect_list("token").alias("tokens"), F.max("pages").alias("pages"))

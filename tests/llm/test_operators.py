@@ -428,6 +428,23 @@ def test_template_removes_constant_text(spark):
     assert all(r["text"].startswith("Welcome") for r in rows(template.main_text(few)))
 
 
+def test_pages_whose_hashes_share_their_low_bits(spark):
+    page = "<div>Welcome</div><div><p>Body</p></div><div>End</div><i>{0}</i>"
+    low: dict[int, str] = {}
+    for k in range(400_000):
+        source = page.format(k)
+        twin = low.setdefault(template._hash(source) & 0x7FFFFFFF, source)
+        if twin != source:
+            break
+    else:
+        pytest.skip("no two hashes share 31 bits")
+    sources = [source, twin, *(page.format(f"x{k}") for k in range(4))]
+    pages = spark.createDataFrame([(k, f"http://h/{k}", x) for k, x in enumerate(sources)],
+                                  "page_id long, url string, html string")
+    got = template.templates(template._pages(pages)).first()
+    assert got["pages"] == 6
+
+
 def test_main_text_is_the_article(spark, sf_dir):
     for p, r in zip(sorted(rows(table(spark, sf_dir, "pages")), key=lambda r: r["page_id"]),
                     sorted(rows(queries.op7_main_text(spark, sf_dir)), key=lambda r: r["page_id"])):
