@@ -3,14 +3,16 @@
 Pages of one host come from one template. Per page, tokens are counted: tags with the path they stand
 on, and text blocks with theirs. Tokens of a host with the same occurrence vector (as often on the
 same pages) form an equivalence class; vectors are compared by two sums of hashes, so a hot host
-is only counted, never gathered. A class is valid when it is large and frequent enough; the classes
-that occur once on every page are the template's skeleton, and others nest in it where their paths
-continue one of its paths. What is left between template tokens are the slots. The main text is
+is only counted, never gathered: what goes to one task are the tokens of its valid classes. A class is
+valid when it is large and frequent enough. Classes on every page are the template's skeleton; one on
+a part of the pages (a layout, an optional box) is template as well when it nests: every token of it
+stands in an element that stands, down from the root, in elements of such classes. What is left
+between template tokens are the slots. The main text is
 the slots of the article: blocks that belong to the template, and regions for menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and comments, are not content.
 
-Text is taken as template only on hosts with ``MIN_PAGES`` pages of different text or more (inside an
-article: ``MIN_ARTICLE_PAGES``), so copies of a page don't erase each other.
+Text is taken as template only when its class is on ``MIN_PAGES`` pages of different html or more
+(inside an article: ``MIN_ARTICLE_PAGES``), so copies of a page don't erase each other.
 """
 
 from __future__ import annotations
@@ -52,10 +54,14 @@ _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_INSIDE = re.compile(r"/(?:article|main)/")
 _WORDS = re.compile(r"[a-z]+")
+#: kinds of tokens
+TAG, TEXT, ARTICLE_TAG = range(3)
 #: a token that every page has: it counts a host's pages
 PAGE = 0
-TOKENS = "host string, token bigint, seen bigint, page bigint"
+TOKENS = "host string, token bigint, seen bigint, page bigint, parent bigint, kind int"
+TEMPLATE = "host string, pages bigint, template array<bigint>, on array<bigint>"
 RESULT = "page_id bigint, url string, text string, n_chars bigint, n_slots int"
 
 
@@ -85,12 +91,18 @@ def _role(name: str, attrs: str, in_article: bool) -> int:
     return 2 if name in ("article", "main") or words & {"articlebody"} else 0
 
 
+def _element(path: str) -> int:
+    """The token of the element at ``path``; 0 for the root."""
+    return _hash(f"{path}<{path.rpartition('/')[2]}") if path else 0
+
+
 class Page:
     """Blocks of a page in order: (path, text, in article, in boilerplate); and its tag tokens."""
 
     def __init__(self, source: str):
         self.blocks: list[tuple[str, str, bool, bool]] = []
         self.tags: dict[str, int] = {}
+        self.parent: dict[str, str] = {}
         self._stack: list[tuple[str, int, str]] = []
         self._parts: list[str] = []
         self._article = self._boiler = 0
@@ -153,6 +165,7 @@ class Page:
             path = up
         token = f"{path}<{name}"
         self.tags[token] = self.tags.get(token, 0) + 1
+        self.parent[token] = up if path != up else path
         if name not in _VOID and not attrs.endswith("/"):
             self._stack.append((name, role, path))
             self._article += role == 2
@@ -166,20 +179,25 @@ class Page:
                 self._pop(k)
                 break
 
-    def tokens(self) -> dict[int, int]:
-        out = {_hash(t): n for t, n in self.tags.items()}
+    def tokens(self) -> dict[int, tuple[int, int, int]]:
+        """Per token: how often it is seen, the token of the element it stands in, its kind."""
+        out = {_hash(t): (n, _element(self.parent[t]), ARTICLE_TAG if _INSIDE.search(t) else TAG)
+               for t, n in self.tags.items()}
         for path, text, _, _ in self.blocks:
             k = _hash(path, text)
-            out[k] = out.get(k, 0) + 1
+            out[k] = (out[k][0] + 1 if k in out else 1, _element(path), TEXT)
         return out
 
-    def main_text(self, template: set[int], pages: int) -> tuple[str, int]:
-        """(text, number of slots): the blocks that are neither boilerplate nor template."""
+    def main_text(self, template: dict[int, int], pages: int) -> tuple[str, int]:
+        """(text, number of slots): the blocks that are neither boilerplate nor template. ``template``
+        has the pages of each text of it, of the host's ``pages``; a page of nothing else keeps what
+        only a part of the pages has."""
         article = any(a and not b for _, _, a, b in self.blocks)
         least = MIN_ARTICLE_PAGES if article else MIN_PAGES
-        out = [text for path, text, a, b in self.blocks
-               if not b and (a or not article)
-               and not (pages >= least and _hash(path, text) in template)]
+        blocks = [(text, template.get(_hash(path, text), 0) if template else 0)
+                  for path, text, a, b in self.blocks if not b and (a or not article)]
+        out = [text for text, on in blocks if on < least] or [
+            text for text, on in blocks if on < max(least, pages)]
         return "\n".join(out), len(out)
 
 
@@ -191,39 +209,60 @@ def _pages(pages: DataFrame) -> DataFrame:
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """host, token, seen and page of every distinct token of each page (page: a hash of its html)."""
+    """host, token, seen, page, parent and kind of every distinct token of each page (page: a hash
+    of its html)."""
     def run(batches):
         for b in batches:
             out: list[tuple] = []
             for host, source in zip(b["host"], b["html"]):
                 page = _hash(source)
                 got = Page(source).tokens()
-                out += [(host, t, n, page) for t, n in got.items()]
+                out += [(host, t, n, page, up, kind) for t, (n, up, kind) in got.items()]
                 if got:
-                    out.append((host, PAGE, 1, page))
-            yield pd.DataFrame(out, columns=["host", "token", "seen", "page"])
+                    out.append((host, PAGE, 1, page, 0, TAG))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in TOKENS.split(", ")])
     return pages.select("host", "html").mapInPandas(run, TOKENS)
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Per host: pages of different html, and the tokens of its template.
+    """Per host: pages of different html, and the texts of its template with the pages of each.
 
     Classes are keyed by the occurrence vector (two sums of hashes over pages and counts, and the
-    number of pages). Valid are those of at least ``MIN_CLASS`` tokens on every page of at least
-    ``MIN_PAGES``; the skeleton is the class seen once on each."""
+    number of pages). Valid are those of at least ``MIN_CLASS`` tokens on at least ``MIN_PAGES``."""
     once = F.xxhash64("page", "seen")
-    token = occurrences(pages).distinct().groupBy("host", "token").agg(
+    token = occurrences(pages).dropDuplicates(["host", "token", "page"]).groupBy(
+        "host", "token").agg(
         F.sum(once.bitwiseAND(F.lit(0x7FFFFFFF))).alias("v1"),
         F.sum(F.shiftrightunsigned(once, 33)).alias("v2"),
-        F.count(F.lit(1)).alias("on"), F.sum("seen").alias("seen"))
-    size = token.filter(F.col("token") == PAGE).select("host", F.col("on").alias("pages"))
-    member = token.filter(F.col("token") != PAGE).join(size, "host").filter((F.col("on") == F.col("pages")) & (
-        F.col("pages") >= MIN_PAGES))
-    kind = member.groupBy("host", "v1", "v2", "on").agg(
-        F.collect_list("token").alias("tokens"), F.max("pages").alias("pages"))
-    valid = kind.filter(F.size("tokens") >= MIN_CLASS)
-    return valid.groupBy("host").agg(F.max("pages").alias("pages"),
-                                     F.flatten(F.collect_list("tokens")).alias("template"))
+        F.count(F.lit(1)).alias("on"), F.sum("seen").alias("seen"), F.max("parent").alias("parent"),
+        F.max("kind").alias("kind")).filter(F.col("on") >= MIN_PAGES)
+    # elements of a class too small to be valid still have others nested in them; inside an article,
+    # where paragraphs are, only those that are once on a page
+    kind = token.groupBy("host", "v1", "v2", "on").agg(
+        (F.max("seen") == F.col("on")).alias("once"),
+        F.collect_list("token").alias("tokens"), F.collect_list("parent").alias("parents"),
+        F.collect_list("kind").alias("kinds"))
+    valid = kind.filter((F.size("tokens") >= MIN_CLASS) | F.exists("kinds", lambda x: x != TEXT))
+
+    def nest(of: pd.DataFrame) -> pd.DataFrame:
+        classes = list(zip(of["on"], of["tokens"], of["parents"], of["kinds"],
+                           of["once"]))
+        pages = next(int(c[0]) for c in classes if PAGE in c[1])
+        # elements nest from the root down, each in one that is taken; then whole classes
+        taken, template = {0}, {}
+        todo = {t: p for _, tokens, parents, kinds, once in classes
+                for t, p, x in zip(tokens, parents, kinds) if x == TAG or x == ARTICLE_TAG and once}
+        while good := [t for t, p in todo.items() if p in taken]:
+            taken.update(good)
+            for t in good:
+                del todo[t]
+        for on, tokens, parents, kinds, _ in classes:
+            if len(tokens) - (PAGE in tokens) >= MIN_CLASS and (
+                    on == pages or all(p in taken for p in parents)):
+                template.update((int(t), int(on)) for t, x in zip(tokens, kinds) if x == TEXT)
+        return pd.DataFrame({"host": of["host"].iloc[:1], "pages": pages,
+                             "template": [list(template)], "on": [list(template.values())]})
+    return valid.groupBy("host").applyInPandas(nest, TEMPLATE)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -238,14 +277,15 @@ def main_text(pages: DataFrame) -> DataFrame:
         for b in batches:
             known: dict = {}
             out = []
-            for page_id, url, source, host, n, tpl in zip(
-                    b["page_id"], b["url"], b["html"], b["host"], b["pages"], b["template"]):
+            for page_id, url, source, host, n, tpl, on in zip(
+                    b["page_id"], b["url"], b["html"], b["host"], b["pages"], b["template"],
+                    b["on"]):
                 if host not in known:
-                    known[host] = (set() if tpl is None else set(map(int, tpl)),
-                                   0 if tpl is None else int(n))
+                    known[host] = ({}, 0) if tpl is None else (
+                        dict(zip(map(int, tpl), map(int, on))), int(n))
                 text, slots = Page(source).main_text(*known[host])
                 out.append((page_id, url, text, len(text), slots))
             yield pd.DataFrame(out, columns=["page_id", "url", "text", "n_chars", "n_slots"]).astype(
                 {"page_id": "Int64"})
-    return found.select("page_id", "url", "html", "host", "pages", "template").mapInPandas(
+    return found.select("page_id", "url", "html", "host", "pages", "template", "on").mapInPandas(
         run, RESULT)

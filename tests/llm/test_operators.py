@@ -445,6 +445,28 @@ def test_pages_whose_hashes_share_their_low_bits(spark):
     assert got["pages"] == 6
 
 
+def test_template_of_layouts_and_optional_boxes(spark):
+    box = "<div><h3>Letter</h3><b>Join us</b><hr>Mail</div>"
+    post = "<html><body><article><h1>T{0}</h1><p>Body {0}</p>" + "{1}</article></body></html>"
+    listing = ("<html><body><table><tr><td>All posts</td></tr><tr><td>Hit {0}</td></tr><caption>By date"
+               "</caption></table><dl><dt>End of list</dt></dl></body></html>")
+    data = [("a", post.format(k, box if k else "")) for k in range(24)]
+    data += [("b", listing.format(k)) for k in range(6)]
+    data += [("b", post.format(k, "")) for k in range(6)] + [("b", "<p>Error")]
+    # the same article under other titles is no template
+    data += [("c", f"<html><title>{k}</title><body><article><p>x{'<p>y' * (k % 2)}<p>Same one<p>Same two"
+                   f"<p>Same three</article><i>{k}</i>") for k in range(24)]
+    data += [("c", post.format(k, "")) for k in range(4)]
+    pages = spark.createDataFrame([(k, f"http://{h}/{k}", x) for k, (h, x) in enumerate(data)],
+                                  "page_id long, url string, html string")
+    text = {r["page_id"]: r["text"] for r in rows(template.main_text(pages))}
+    assert [text[k] for k in range(24)] == [f"T{k}\nBody {k}" for k in range(24)]
+    assert [text[k] for k in range(24, 30)] == [f"Hit {k}" for k in range(6)]
+    assert [text[k] for k in range(30, 36)] == [f"T{k}\nBody {k}" for k in range(6)]
+    assert text[36] == "Error"
+    assert all(text[k].endswith("Same one\nSame two\nSame three") for k in range(37, 61))
+
+
 def test_main_text_is_the_article(spark, sf_dir):
     for p, r in zip(sorted(rows(table(spark, sf_dir, "pages")), key=lambda r: r["page_id"]),
                     sorted(rows(queries.op7_main_text(spark, sf_dir)), key=lambda r: r["page_id"])):
