@@ -49,6 +49,11 @@ _HINTS = frozenset(
     "recommendations recommended related share sharing sidebar signin signup skip social sponsor "
     "sponsored subscribe toolbar widget widgets complementary contentinfo alert".split())
 _COMMENTS = frozenset("comment comments commentlist discussion disqus replies reply respond".split())
+_HINTED = _HINTS | _COMMENTS
+# fixed values: parts of such names that say nothing
+_PLAIN = frozenset(
+    "area bar block bottom box column container global group inner left list outer right section site "
+    "slot text title top unit wrap wrapper".split())
 _ARTICLE_WORDS = frozenset("article content entry main post story".split())
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
@@ -76,19 +81,30 @@ def _hash(*parts: str) -> int:
     return h - (1 << 64) * (h >> 63)
 
 
+def _hinted(words: str) -> bool:
+    """Whether a class, id or role names boilerplate: as a whole, or by parts that all do
+    (``cookie-notice``) or say nothing (``comment-list``); not ``has-sidebar``, ``comments-open``."""
+    for word in words.lower().split():
+        parts = _WORDS.findall(word)
+        if not _HINTED.isdisjoint(parts) and all(p in _HINTED or p in _PLAIN for p in parts):
+            return True
+    return False
+
+
 def _role(name: str, attrs: str, in_article: bool) -> int:
-    """2: the article; 1: boilerplate; 0: neither."""
-    words = set()
-    for m in _ATTR.finditer(attrs):
-        words.update(_WORDS.findall((m[2] or m[3] or m[4] or "").lower()))
-    if words & _COMMENTS or name in _BOILER:
-        return 1
-    if words & _HINTS and name not in ("html", "body", "article", "main") and not (
-            words & _ARTICLE_WORDS):
-        return 1
-    if name == "header" and not in_article:
+    """2: the article; 1: boilerplate; 3: boilerplate unless it wraps the article; 0: neither."""
+    values = [m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)]
+    words = {w for v in values for w in _WORDS.findall(v.lower())}
+    if name in ("article", "main"):
+        return 2
+    if name == "form":
+        return 3
+    if name in _BOILER or name == "header" and not in_article:
         return 1
-    return 2 if name in ("article", "main") or words & {"articlebody"} else 0
+    if name not in ("html", "body") and any(map(_hinted, values)) and (
+            words & _COMMENTS or not words & _ARTICLE_WORDS):
+        return 3
+    return 2 if words & {"articlebody"} else 0
 
 
 def _element(path: str) -> int:
@@ -106,6 +122,12 @@ class Page:
         self._stack: list[tuple[str, int, str]] = []
         self._parts: list[str] = []
         self._article = self._boiler = 0
+        # elements that are boilerplate unless they wrap the article: the open ones, and of each block
+        self._soft: list[int] = []
+        self._block_soft: list[tuple[int, ...]] = []
+        self._n_soft = self._articles = 0
+        self._wrapped: dict[int, int] = {}
+        self._main: set[int] = set()
         at = 0
         find = _MARKUP.search
         while m := find(source, at):
@@ -123,6 +145,9 @@ class Page:
                     at = close.start() if close else len(source)
         self._text(source[at:])
         self._flush()
+        spared = {k for k, n in self._wrapped.items() if n == self._articles or k in self._main}
+        self.blocks = [(path, text, a, b or any(k not in spared for k in soft))
+                       for (path, text, a, b), soft in zip(self.blocks, self._block_soft)]
 
     def _text(self, raw: str) -> None:
         if raw:
@@ -135,12 +160,15 @@ class Page:
             if text:
                 path = self._stack[-1][2] if self._stack else ""
                 self.blocks.append((path, text, self._article > 0, self._boiler > 0))
+                self._block_soft.append(tuple(self._soft))
 
     def _pop(self, depth: int) -> None:
         while len(self._stack) > depth:
             _, role, _ = self._stack.pop()
             self._article -= role == 2
             self._boiler -= role == 1
+            if role == 3:
+                self._soft.pop()
 
     def _start(self, name: str, attrs: str) -> None:
         if name == "br":
@@ -170,6 +198,15 @@ class Page:
             self._stack.append((name, role, path))
             self._article += role == 2
             self._boiler += role == 1
+            if role == 3:
+                self._soft.append(self._n_soft)
+                self._n_soft += 1
+            elif role == 2 and not self._boiler:
+                self._articles += 1
+                for k in self._soft:
+                    self._wrapped[k] = self._wrapped.get(k, 0) + 1
+                    if name == "main":
+                        self._main.add(k)
 
     def _end(self, name: str) -> None:
         if name in _BLOCK or name in _BOILER:

@@ -467,6 +467,20 @@ def test_template_of_layouts_and_optional_boxes(spark):
     assert all(text[k].endswith("Same one\nSame two\nSame three") for k in range(37, 61))
 
 
+@pytest.mark.parametrize("html", [
+    "<body class='single comments-open'>{0}</body>", "<div class='site has-sidebar'>{0}</div>",
+    "<div class='layout with-header'>{0}</div>", "<div class='no-sidebar'>{0}</div>",
+    "<form>{0}</form>", "<div class='sidebar'><div class=widget>{0}</div></div>",
+    "<main class=comments>{0}</main>",
+    "{0}<div class='comment-list'><article class=comment>First!</article></div>",
+    "{0}<div id=comments>Reply</div><div class='cookie-notice'>We use</div>"])
+def test_wrappers_do_not_hide_the_article(html):
+    inner = ("<article class='post has-comments'>One<div class='related'>More</div><form>Name</form>"
+             "<p class='no-share'>Two</p></article>")
+    assert template.Page(html.format(inner)).main_text({}, 0)[0] == "One\nTwo"
+    assert template.Page("<div class='x comments'>Hi</div>Text").main_text({}, 0)[0] == "Text"
+
+
 def test_main_text_is_the_article(spark, sf_dir):
     for p, r in zip(sorted(rows(table(spark, sf_dir, "pages")), key=lambda r: r["page_id"]),
                     sorted(rows(queries.op7_main_text(spark, sf_dir)), key=lambda r: r["page_id"])):
