@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macroseries.llm import (crossent, decontam, kdshard, langid, minhash, packing, quality, rules,
-                             template, warc)
+from macroseries.llm import (align, crossent, decontam, kdshard, langid, minhash, packing, quality,
+                             rules, template, tokenstore, warc, whitening)
 from macroseries.llm.common import crc_mod3, table
 from macroseries.session import scratch_path
 
@@ -76,6 +76,21 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2).drop("text_hash")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"), *align.vocabulary_paths())
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    tokenstore.write_tokens(table(spark, sf_dir, "documents"), path, packing.vocabulary_path())
+    return tokenstore.read_tokens(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
@@ -87,6 +102,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_whitening": op11_whitening,
+    "op12_alignment": op12_alignment,
+    "op13_token_files": op13_token_files,
 }
 
 _BASE32 = " || ".join(
