@@ -15,10 +15,10 @@ No group ever holds more than ``chunk`` rows (level 1) or
 ``quarters / chunk`` rows (level 2), so one very long series is spread over
 many tasks.  NULL propagates exactly as in a sequential loop.
 
-The general (non-linear) form runs a numpy step function in
-``applyInPandas``: keys are hashed into buckets and the step runs once per
-quarter on the vector of all keys of a bucket, so Python is called
-quarters x buckets times, never once per row.
+The general (non-linear) form streams partitions that are sorted by period
+through a numpy step function: it runs once per quarter on the vector of all
+keys of a partition, so Python is called quarters x partitions times, never
+once per row.  Linear rules with several lags are in ``autoregression``.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from typing import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,104 +159,135 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
                        start=None, end=None, keys: Sequence[str] = KEYS,
                        period: str = PERIOD, error_col: str | None = None,
                        vector_keys: Sequence[str] = (), blocks: int | None = None,
-                       keys_per_block: int = 4096) -> DataFrame:
+                       order: int = 1) -> DataFrame:
     """``target[t] = fn(target[t-1], row_t)`` over ``[start, end]`` (T9 general, X3).
 
-    ``fn(prev, row)`` gets the previous (already rewritten) value and the
-    current row as a mapping of ``inputs`` to values; missing is NaN.  Write
-    it with numpy operations: it is called with vectors.
-
-    Runs per group in ``applyInPandas`` (Arrow batches), groups in parallel.
-    Keys listed in ``vector_keys`` (e.g. entity and replication) are not
-    groups of their own: they are hashed into ``blocks`` buckets per
-    remaining key, and inside a bucket ``fn`` runs once per quarter on a
-    whole vector of them.  By default the bucket count is sized from an
-    approximate count of distinct vector keys (one small aggregate job) so
-    that a bucket holds about ``keys_per_block`` paths, and at least one
-    bucket per core: a group's memory is
-    bounded whatever the data size, and Python is called quarters x buckets
-    times, not once per row.
-
-    ``prev`` is the value on the key's previous row, as in
-    :func:`linear_recurrence` and in lags: fill gaps with ``densify`` where a
-    missing quarter must count.  Rows without a period keep their value and
-    stand outside the path; rows that repeat a quarter are steps of their own,
-    ordered by value.  No key sees another's rows, so the result does not
-    depend on ``blocks``.
-
-    With ``error_col`` an exception is caught and its text returned in that
-    column (values NULL) for the vector keys that raised, instead of failing
-    the job (R8); the failing ones are isolated by bisection.
+    ``fn(prev, row)`` gets the previous (already rewritten) values and the current rows as a mapping
+    of ``inputs`` to values, as vectors with one element per key; missing is NaN.  Write it with
+    numpy operations.  With ``order`` k above 1, ``prev`` has k rows: ``prev[0]`` is ``target(-1)``,
+    ``prev[k - 1]`` is ``target(-k)``.
+
+    The rows of a key go to one partition, whose rows are sorted by period (a sort that spills) and
+    streamed in Arrow batches: every batch is worked on a step at a time, with all keys that have a
+    row in it, and what is kept between batches is ``order`` values per key.  So neither a key's nor
+    a partition's rows are ever in memory together, the input is evaluated once, nothing is counted
+    first, and Python is called quarters x partitions times, not once per row.  ``blocks`` sets the
+    number of partitions (by default Spark's); ``vector_keys`` has no effect any more: every key is
+    part of a vector.
+
+    ``prev`` is the value on the key's previous row, as in :func:`linear_recurrence` and in lags:
+    fill gaps with ``densify`` where a missing quarter must count.  Rows without a period keep their
+    value and stand outside the path; rows that repeat a quarter are steps of their own, ordered by
+    value.  No key sees another's rows, so the result does not depend on partitions or batches.
+
+    With ``error_col`` an exception is caught and its text returned in that column on all of the
+    key's rows, with NULL values inside the range, instead of failing the job (R8); the keys that
+    raised are isolated by bisection.  Since earlier rows have left by then, this takes one more
+    exchange by key.
     """
     if target not in df.columns:
         raise KeyError(f"series not in panel: {target}")
     keys = list(keys)
-    vkeys = [k for k in keys if k in set(vector_keys)]
-    gkeys = [k for k in keys if k not in set(vector_keys)]
     inputs = [c for c in inputs if c != target]
-    all_cols = df.columns
-    sel = df.select(*all_cols, F.coalesce(_in_range(period, start, end), F.lit(False)).alias("__in"))
-    if vkeys:
-        if blocks is None:
-            n = df.select(F.approx_count_distinct(F.struct(*vkeys))).first()[0] or 1
-            blocks = max(df.sparkSession.sparkContext.defaultParallelism,
-                         -(-int(n) // keys_per_block))
-        sel = sel.withColumn("__blk", F.pmod(F.xxhash64(*vkeys), F.lit(blocks)))
-        group = gkeys + ["__blk"]
+    names = df.columns
+    dated = F.col(period).isNotNull()
+    number = [F.col(c).cast("double").alias(f"__i{k}") for k, c in enumerate(inputs)]
+    rows = df.select(*names, (dated & _in_range(period, start, end)).alias("__in"),
+                     dated.alias("__dated"), F.col(target).cast("double").alias("__own"), *number)
+    if not keys:
+        rows = rows.repartition(1)
+    elif blocks:
+        rows = rows.repartition(blocks, *keys)
     else:
-        group = keys
+        rows = rows.repartition(*keys)
+    rows = rows.sortWithinPartitions(period, *keys, "__own", *[f"__i{k}" for k in range(len(inputs))])
     schema = T.StructType([T.StructField(target, T.DoubleType()) if f.name == target else f
-                           for f in df.schema.fields] +
-                          ([T.StructField(error_col, T.StringType())] if error_col else []))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.reset_index(drop=True)
-        # a path is one key's rows in period order; step k works on the k-th row of every path
-        path = (pdf.groupby(vkeys, dropna=False, sort=False).ngroup().to_numpy() if vkeys
-                else np.zeros(len(pdf), dtype=np.int64))
-        ins = {c: pdf[c].astype("float64").to_numpy() for c in inputs}
-        y = pdf[target].astype("float64").to_numpy(copy=True)
-        inside = pdf["__in"].to_numpy(dtype=bool)
-        n_paths = int(path.max()) + 1
-        order = pd.DataFrame({"p": path, "t": pdf[period], "y": y, **{
-            f"i{k}": v for k, v in enumerate(ins.values())}})
-        order = order[order["t"].notna()].sort_values(list(order.columns), kind="stable")
-        step = order.groupby("p").cumcount().to_numpy()
-        rows = np.full((int(step.max()) + 1 if len(step) else 0, n_paths), -1, dtype=np.int64)
-        rows[step, order["p"].to_numpy()] = order.index.to_numpy()
-        errors = np.full(n_paths, None, dtype=object)
-
-        def solve(idx):
-            prev = np.full(len(idx), np.nan)
-            for at in rows:
-                at = at[idx]
-                live = at >= 0
-                hit = live & inside[at]
-                if hit.any():
-                    y[at[hit]] = fn(prev[hit], {c: ins[c][at[hit]] for c in inputs})
-                prev[live] = y[at[live]]
-
-        def attempt(idx):
+                           for f in df.schema.fields] + [T.StructField("__in", T.BooleanType()),
+                                                         T.StructField("__error", T.StringType())])
+
+    def run(batches):
+        number_of: dict = {}
+        failed: dict[int, str] = {}
+        state = np.full((order, 1024), np.nan)
+
+        def step(at, path, y, ins):
+            """New values of rows ``at``, no two of one path; those that fail get an error."""
             try:
-                solve(idx)
+                prev = state[:, path[at]]
+                y[at] = fn(prev if order > 1 else prev[0], {c: v[at] for c, v in ins.items()})
             except Exception as e:  # noqa: BLE001 - the error becomes data (R8)
                 if error_col is None:
                     raise
-                if len(idx) == 1:
-                    errors[idx[0]] = f"{type(e).__name__}: {e}"
-                    y[inside & (path == idx[0])] = np.nan
+                if len(at) == 1:
+                    failed[int(path[at[0]])] = f"{type(e).__name__}: {e}"
+                    y[at] = np.nan
                     return
-                half = len(idx) // 2
-                attempt(idx[:half])
-                attempt(idx[half:])
-
-        attempt(np.arange(n_paths))
-        out = pdf[list(all_cols)].assign(**{target: y})
-        if error_col:
-            out[error_col] = errors[path]
-        return out[[f.name for f in schema.fields]]
-
-    solved = sel.groupBy(*group).applyInPandas(run, schema)
-    # NaN from the Python side means missing; every input row comes back,
-    # so no join with the input is needed
-    return solved.withColumn(target, F.when(~F.isnan(F.col(target)), F.col(target)))
+                step(at[:len(at) // 2], path, y, ins)
+                step(at[len(at) // 2:], path, y, ins)
+
+        for b in batches:
+            path = _paths(b, keys, number_of)
+            while len(number_of) > state.shape[1]:
+                state = np.concatenate([state, np.full_like(state, np.nan)], axis=1)
+            ins = {c: _doubles(b.column(f"__i{k}")) for k, c in enumerate(inputs)}
+            y = _doubles(b.column("__own"))
+            inside = b.column("__in").to_numpy(zero_copy_only=False)
+            live = np.flatnonzero(b.column("__dated").to_numpy(zero_copy_only=False))
+            # the k-th rows of all paths in the batch make step k
+            nth = pd.Series(path[live]).groupby(path[live]).cumcount().to_numpy()
+            live = live[np.argsort(nth, kind="stable")]
+            for at in np.split(live, np.cumsum(np.bincount(nth))[:-1]) if len(live) else ():
+                hit = at[inside[at]]
+                if failed:
+                    lost = np.array([int(p) in failed for p in path[hit]], dtype=bool)
+                    y[hit[lost]] = np.nan
+                    hit = hit[~lost]
+                if len(hit):
+                    step(hit, path, y, ins)
+                state[1:, path[at]] = state[:-1, path[at]]
+                state[0, path[at]] = y[at]
+            out = {c: b.column(c) for c in names}
+            # NaN from the Python side means missing
+            out[target] = pa.array(y, mask=np.isnan(y))
+            error = [failed.get(p) for p in path.tolist()] if failed else [None] * b.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [*out.values(), b.column("__in"), pa.array(error, pa.string())],
+                names=[*names, "__in", "__error"])
+
+    solved = rows.mapInArrow(run, schema)
+    if error_col is None:
+        return solved.drop("__in", "__error")
+    whole = F.max("__error").over(Window.partitionBy(*keys))
+    solved = solved.withColumn("__error", whole)
+    lost = F.col("__in") & F.col("__error").isNotNull()
+    return solved.select(*[F.when(~lost, F.col(c)).alias(c) if c == target else F.col(c)
+                           for c in names], F.col("__error").alias(error_col))
+
+
+def _doubles(column: pa.Array) -> np.ndarray:
+    """A writable copy with NaN for NULL."""
+    return np.array(column.to_numpy(zero_copy_only=False), dtype=np.float64)
+
+
+def _paths(batch: pa.RecordBatch, keys: Sequence[str], number_of: dict) -> np.ndarray:
+    """A number per row, the same for rows with equal keys (NULL and NaN are values like any other);
+    ``number_of`` keeps the numbers from batch to batch."""
+    if not keys:
+        number_of[()] = 0
+        return np.zeros(batch.num_rows, dtype=np.int64)
+    code = np.zeros(batch.num_rows, dtype=np.int64)
+    values = []
+    for k in keys:
+        seen = batch.column(k).dictionary_encode("encode")
+        values.append(["NaN" if isinstance(v, float) and v != v else v
+                       for v in seen.dictionary.to_pylist()])
+        code = code * len(seen.dictionary) + seen.indices.to_numpy(zero_copy_only=False)
+    code, back = np.unique(code, return_inverse=True)
+    number = np.empty(len(code), dtype=np.int64)
+    for n, c in enumerate(code.tolist()):
+        key = []
+        for v in reversed(values):
+            key.append(v[c % len(v)])
+            c //= len(v)
+        number[n] = number_of.setdefault(tuple(key), len(number_of))
+    return number[back]

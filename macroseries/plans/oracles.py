@@ -225,6 +225,35 @@ r AS (
 SELECT q.entity, q.period, CASE WHEN q.period >= DATE '1996-01-01' THEN r.y ELSE q.qty END AS y
 FROM q LEFT JOIN r ON r.entity = q.entity AND r.period = q.period""")
 
+AR_LAGS = """
+h AS (
+  SELECT entity, period, qty, disc, lag(qty, 1) OVER w AS l1, lag(qty, 2) OVER w AS l2,
+         lag(qty, 3) OVER w AS l3
+  FROM q WINDOW w AS (PARTITION BY entity ORDER BY period))
+"""
+
+oracle("recurrence_ar_k", "WITH RECURSIVE " + PANEL_Q.strip() + "," + AR_LAGS + """,
+r AS (
+  SELECT entity, period, qty AS y1, l1 AS y2, l2 AS y3, l3 AS y4
+  FROM h WHERE period = DATE '1995-10-01'
+  UNION ALL
+  SELECT q.entity, q.period, 0.5 * r.y1 + 0.2 * r.y2 + -q.disc * r.y4 + 0.1 * q.qty, r.y1, r.y2, r.y3
+  FROM r JOIN q ON q.entity = r.entity AND q.period = CAST(r.period + INTERVAL 3 MONTH AS DATE))
+SELECT q.entity, q.period,
+       round(CASE WHEN q.period >= DATE '1996-01-01' THEN r.y1 ELSE q.qty END, 6) AS y
+FROM q LEFT JOIN r ON r.entity = q.entity AND r.period = q.period""")
+
+oracle("recurrence_general_k", "WITH RECURSIVE " + PANEL_Q.strip() + "," + AR_LAGS + """,
+r AS (
+  SELECT entity, period, qty AS y1, l1 AS y2 FROM h WHERE period = DATE '1995-10-01'
+  UNION ALL
+  SELECT q.entity, q.period,
+         CASE WHEN r.y1 IS NOT NULL AND r.y2 IS NOT NULL AND q.qty IS NOT NULL
+              THEN least(0.75 * r.y1 + 0.5 * r.y2, q.qty) END, r.y1
+  FROM r JOIN q ON q.entity = r.entity AND q.period = CAST(r.period + INTERVAL 3 MONTH AS DATE))
+SELECT q.entity, q.period, CASE WHEN q.period >= DATE '1996-01-01' THEN r.y1 ELSE q.qty END AS y
+FROM q LEFT JOIN r ON r.entity = q.entity AND r.period = q.period""")
+
 oracle("shock_decay", "WITH RECURSIVE " + PANEL_Q.strip() + """,
 r AS (
   SELECT entity, period, qty AS x FROM q WHERE period = DATE '1998-10-01'

@@ -17,6 +17,7 @@ from ..functions import periods as P
 from ..functions import scalar as S
 from ..operators import indicators as I
 from ..operators import panel as PN
+from ..operators import autoregression as AR
 from ..operators import recurrence as R
 from ..session import materialize
 from .standins import (EVENT_SERIES, FFILL_SERIES, GROWTH_SERIES, RAW_SERIES,
@@ -259,6 +260,15 @@ def recurrence_ar1(spark, d):
     return q.select("entity", "period", "y")
 
 
+@query
+def recurrence_ar_k(spark, d):
+    """Lags 1, 2 and 4 in one rule; chunks of a year, so that a path runs through several."""
+    q = supplier_panel(spark, d).withColumn("y", F.col("qty"))
+    q = AR.autoregression(q, "y", {1: 0.5, 2: 0.2, 4: -F.col("disc")}, 0.1 * F.col("qty"),
+                          start="1996Q1", keys=["entity"], chunk=4, materialize_chunks=True)
+    return q.select("entity", "period", r6(F.col("y")).alias("y"))
+
+
 @query
 def shock_decay(spark, d):
     q = supplier_panel(spark, d).withColumn("x", F.col("qty"))
@@ -279,6 +289,16 @@ def recurrence_general(spark, d):
     return q.select("entity", "period", "y")
 
 
+@query
+def recurrence_general_k(spark, d):
+    """A user expression over two earlier values of the target."""
+    q = supplier_panel(spark, d).withColumn("y", F.col("qty"))
+    q = R.general_recurrence(q, "y", lambda prev, row: np.minimum(
+        0.75 * prev[0] + 0.5 * prev[1], row["qty"]), ["qty"], start="1996Q1", keys=["entity"],
+        order=2)
+    return q.select("entity", "period", "y")
+
+
 # --------------------------------------------------------------------------
 # Trajectories and scenario report
 
