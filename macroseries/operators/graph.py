@@ -1,12 +1,9 @@
 """Dependency graphs as edge tables.
 
-A graph is ``nodes(node)`` and ``edges(src, dst)``.  The iterative
-algorithms run a driver loop of joins; every round cuts the lineage with a
-reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir`` (never a
-local checkpoint: an executor may be lost), and each round's stop test is
-one tiny action.  Work per round is a few joins over the edges, so the
-graph size is never limited by one task or the driver; the number of
-rounds is the depth of the graph.
+A graph is ``nodes(node)`` and ``edges(src, dst)``.  The iterative algorithms run a driver loop of
+joins.  Every round is written to the shared ``spark.checkpoint.dir`` (never a local checkpoint: an
+executor may be lost), and components delete the rounds they are done with; each round's stop test
+is one tiny action.  Neither one task nor the driver ever holds a graph.
 """
 
 from __future__ import annotations
@@ -16,7 +13,7 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import Rounds, checkpoint_dir
 
 
 def _cp(df: DataFrame) -> DataFrame:
@@ -31,6 +28,10 @@ def in_degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         .select("node", F.coalesce("in_degree", F.lit(0)).cast("long").alias("in_degree"))
 
 
+def _clean(edges: DataFrame) -> DataFrame:
+    return edges.select("src", "dst").dropna().distinct()
+
+
 def topo_levels(nodes: DataFrame, edges: DataFrame,
                 compact_every: int = 8) -> DataFrame:
     """Peel nodes of in-degree 0 round after round (E4): ``(node, level)``.
@@ -68,92 +69,121 @@ def topo_levels(nodes: DataFrame, edges: DataFrame,
     return out.join(lv, on="node", how="left")
 
 
-def _restrict(e: DataFrame, v: DataFrame) -> DataFrame:
-    return e.join(v.select(F.col("node").alias("src")), "src", "left_semi") \
-        .join(v.select(F.col("node").alias("dst")), "dst", "left_semi")
-
+def _smallest_labels(r: Rounds, e: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """``(way, node, label)``: the smallest label of a node that reaches ``node`` (way 0) and of one
+    that ``node`` reaches (way 1), along ``e``.  ``nodes`` has ``(node, label)``, labels are unique
+    structs that end with their node.
 
-def _trim(v: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Drop nodes with no in- or no out-edge inside the remaining graph,
-    until none is left: they are singleton components."""
-    n = v.count()
-    for _ in count():
-        has_in = e.select(F.col("dst").alias("node")).distinct()
-        has_out = e.select(F.col("src").alias("node")).distinct()
-        keep = _cp(v.join(has_in, "node", "left_semi").join(has_out, "node", "left_semi"))
-        m = keep.count()
-        if m == n:
-            break
-        v, n = keep, m
-        e = _cp(_restrict(e, v))
-    return v, e
-
-
-def _propagate_min(e: DataFrame, label: DataFrame) -> DataFrame:
-    """Smallest label that can reach each node along ``e`` (min-label
-    propagation).  Each round is one job; the stop test reads a flag from
-    its checkpoint."""
-    for _ in count():
-        sent = e.join(label.withColumnRenamed("node", "src"), on="src") \
-            .select(F.col("dst").alias("node"), F.col("label").alias("__in"))
-        new = label.join(sent.groupBy("node").agg(F.min("__in").alias("__in")), "node", "left") \
-            .select("node", F.least("label", F.coalesce("__in", "label")).alias("label"),
-                    (F.col("__in") < F.col("label")).alias("__changed"))
-        new = _cp(new)
-        label = new.select("node", "label")
-        if new.filter(F.col("__changed")).isEmpty():
+    Every round, nodes whose label changed send it along their edges.  And since whoever reaches the
+    node a label names reaches all that carry it, a label is also replaced by its own node's label
+    (pointer jumping), which about doubles the distance that labels have come in every round.
+    """
+    both = e.select(F.lit(0).alias("way"), "src", "dst").unionByName(
+        e.select(F.lit(1).alias("way"), F.col("dst").alias("src"), F.col("src").alias("dst")))
+    state = r.put(f"{name}-0", nodes.withColumn("way", F.explode(F.array(F.lit(0), F.lit(1))))
+                  .select("way", "node", "label", F.lit(True).alias("changed")))
+    for k in count(1):
+        changed = state.filter("changed").select("way", "node", "label")
+        sent = both.join(changed.withColumnRenamed("node", "src"), ["way", "src"]).select(
+            "way", F.col("dst").alias("node"), "label")
+        ahead = state.select("way", F.col("node").alias("at"), "label", F.col("changed").alias("news"))
+        jumped = state.select("way", "node", F.col("label.node").alias("at"), "changed").join(
+            ahead, ["way", "at"]).filter("changed OR news")
+        every = state.select("way", "node", "label", F.col("label").alias("own"))
+        for more in (sent, jumped):
+            every = every.unionByName(more.select("way", "node", "label"), allowMissingColumns=True)
+        # labels and messages meet in one exchange, with partial minima before it
+        state = r.put(f"{name}-{k}", every.groupBy("way", "node").agg(
+            F.min("label").alias("label"), F.max("own").alias("own")).select(
+            "way", "node", "label", (F.col("label") < F.col("own")).alias("changed")))
+        r.drop(f"{name}-{k - 1}")
+        if state.filter("changed").isEmpty():
+            return state
+
+
+def _shorten(r: Rounds, e: DataFrame, name: str) -> DataFrame:
+    """``e`` without what hangs from a node that nothing reaches by a chain, and with shortcuts.
+
+    A chain is a run of nodes with one incoming edge each.  Pointers to the node 1, 2, 4, ... steps
+    up the chain are found by doubling, in as many rounds as the longest chain's logarithm.  Each
+    pointer becomes an edge, which changes no component (its ends are connected anyway), and lets
+    labels cross a chain or ring in logarithmic rounds.  A chain below a node without incoming edges
+    lies on no cycle and goes at once."""
+    into = e.groupBy("dst").agg(F.count(F.lit(1)).alias("n"), F.min("src").alias("up"))
+    one = r.put(f"{name}-chain-0", into.filter("n = 1").select(F.col("dst").alias("node"), "up",
+                                                               F.lit(True).alias("more")))
+    out, steps = e, one.count()
+    chain, k = one, 0
+    while steps and (1 << k) < 2 * steps:
+        ahead = chain.select(F.col("node").alias("up"), F.col("up").alias("next"))
+        k += 1
+        chain = r.put(f"{name}-chain-{k}", chain.join(ahead, "up", "left").select(
+            "node", F.coalesce("next", "up").alias("up"), F.col("next").isNotNull().alias("more")))
+        more = chain.filter("more")
+        if more.isEmpty():
             break
-    return label
+        out = out.unionByName(more.select(F.col("up").alias("src"), F.col("node").alias("dst")))
+    # a pointer that can't move on has come to the top of its chain
+    tops = chain.join(e.select(F.col("dst").alias("up")).distinct(), "up", "left_anti").select("node")
+    for c in ("src", "dst"):
+        out = out.join(tops.withColumnRenamed("node", c), c, "left_anti")
+    out = r.put(f"{name}-short", out.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct())
+    r.drop(*[f"{name}-chain-{j}" for j in range(k + 1)])
+    return out
 
 
 def scc(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Strongly connected components (E5): ``(node, comp, size)`` for every
-    node; ``comp`` is the smallest node of the component.
-
-    Acyclic parts are trimmed first; on the rest, forward min-label
-    propagation colours every node with the smallest node that reaches it;
-    a colour's root then collects, backwards inside its colour, the nodes
-    that reach it: that set is the root's component.  Found components are
-    removed and the loop repeats.
+    """Strongly connected components (E5): ``(node, comp, size)`` for every node; ``comp`` is the
+    smallest node of the component.
+
+    Every iteration gives the nodes a new random order (a hash) and finds, for each node at once, the
+    first node that reaches it and the first node it reaches.  Nodes of one component agree in both.
+    Where the two are the same node, it reaches the node and is reached by it: so all first nodes are
+    pivots of one iteration and their components are settled.  Edges between nodes that disagree lie
+    in no component and go, as do edges from nodes nothing reaches and to nodes that reach nothing.
+    What is left falls apart at random places, so few iterations are needed, and shortcuts along
+    chains (both ways) and pointer jumping keep their rounds far below the depth of the graph.
     """
-    allv = nodes.select("node").distinct()
-    v = _cp(allv)
-    e = _cp(edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct())
-    found = []
-    for _ in count():
-        v, e = _trim(v, e)
-        if v.isEmpty():
+    r = Rounds(nodes.sparkSession, "scc")
+    every = nodes.select("node").distinct()
+    e = r.put("down-0", _clean(edges).filter(F.col("src") != F.col("dst")))
+    for name in ("up", "edges-0"):
+        # the second time along the reversed edges, which turns them back
+        short = _shorten(r, e, name)
+        e = r.put(name, short.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        r.drop(f"{name}-short")
+    r.drop("down-0", "up")
+    settled = None
+    for k in count(1):
+        ends = e.join(e.select(F.col("dst").alias("src")).distinct(), "src", "left_semi")
+        ends = ends.join(e.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
+        live = r.put(f"live-{k}", ends.select("src", "dst"))
+        if live.isEmpty():
             break
-        color = _propagate_min(e, v.select("node", F.col("node").alias("label")))
-        # backward inside each colour, starting from the colour's root
-        ce = e.join(color.select(F.col("node").alias("src"), F.col("label").alias("ls")), "src") \
-            .join(color.select(F.col("node").alias("dst"), F.col("label").alias("ld")), "dst") \
-            .filter(F.col("ls") == F.col("ld")).select(F.col("dst").alias("src"),
-                                                       F.col("src").alias("dst"))
-        rev = _cp(ce)
-        reach = _cp(color.filter(F.col("node") == F.col("label"))
-                    .select("node", F.col("label").alias("comp")))
-        n = reach.count()
-        for _ in count():
-            step = rev.join(reach.withColumnRenamed("node", "src"), on="src") \
-                .select(F.col("dst").alias("node"), "comp")
-            new = _cp(reach.unionByName(step).distinct())
-            m = new.count()
-            reach = new
-            if m == n:
-                break
-            n = m
-        found.append(reach)
-        v = _cp(v.join(reach.select("node"), "node", "left_anti"))
-        e = _cp(_restrict(e, v))
-    comps = None
-    for f in found:
-        comps = f if comps is None else comps.unionByName(f)
-    out = allv.join(comps, on="node", how="left") if comps is not None else allv.withColumn(
-        "comp", F.lit(None).cast(allv.schema["node"].dataType))
-    out = out.withColumn("comp", F.coalesce("comp", "node"))
-    size = out.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    return out.join(size, on="comp").select("node", "comp", "size")
+        v = live.select(F.col("src").alias("node")).union(live.select("dst")).distinct()
+        labels = _smallest_labels(r, live, v.withColumn(
+            "label", F.struct(F.xxhash64(F.col("node"), F.lit(k)).alias("rank"), "node")), f"label-{k}")
+        pair = r.put(f"pair-{k}", labels.groupBy("node").agg(
+            *[F.max(F.when(F.col("way") == w, F.col("label.node"))).alias(c)
+              for w, c in ((0, "first"), (1, "last"))]))
+        same = pair.filter(F.col("first") == F.col("last"))
+        r.add("settled", same.select("node", F.col("first").alias("root")))
+        settled = r.get("settled", f"node {(t := v.schema['node'].dataType.simpleString())}, root {t}")
+        left = pair.filter(F.col("first") != F.col("last"))
+        at_src, at_dst = (left.select(F.col("node").alias(c), F.col("first").alias(f"first_{c}"),
+                                      F.col("last").alias(f"last_{c}")) for c in ("src", "dst"))
+        e2 = r.put(f"edges-{k}", live.join(at_src, "src").join(at_dst, "dst").filter(
+            (F.col("first_src") == F.col("first_dst")) & (F.col("last_src") == F.col("last_dst")))
+            .select("src", "dst"))
+        r.drop(f"edges-{k - 1}", f"live-{k}", f"pair-{k}")
+        e = e2
+    if settled is None:
+        return every.select("node", F.col("node").alias("comp"), F.lit(1).cast("long").alias("size"))
+    comps = settled.groupBy("root").agg(F.min("node").alias("comp"), F.count(F.lit(1)).alias("size"))
+    comps = settled.join(comps, "root").select("node", "comp", "size")
+    return every.join(comps, "node", "left").select(
+        "node", F.coalesce("comp", "node").alias("comp"),
+        F.coalesce("size", F.lit(1).cast("long")).alias("size"))
 
 
 def smallest_source_component(nodes: DataFrame, edges: DataFrame, comps: DataFrame,

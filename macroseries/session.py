@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on.  ANSI mode is Spark 4's default; the
 # library guards every divide and cast so that it runs either way.
@@ -68,7 +68,38 @@ def local_path(uri: str) -> str:
     return uri[len("file:"):] if uri.startswith("file:") else uri
 
 
-__all__ = ["DEFAULTS", "get_spark", "checkpoint_dir", "scratch_path", "local_path"]
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any Hadoop file system; nothing happens if it isn't there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class Rounds:
+    """Tables of an iteration, as Parquet below one folder of the shared checkpoint folder.
+
+    ``put`` writes a table and reads it back, so a lost executor costs a re-read and plans stay
+    short; ``add`` appends to one; ``drop`` deletes those that no later round reads."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, scratch_path(spark, name)
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{self.path}/{name}")
+        return self.get(name, df.schema)
+
+    def add(self, name: str, df: DataFrame) -> None:
+        df.write.mode("append").parquet(f"{self.path}/{name}")
+
+    def get(self, name: str, schema) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            delete_path(self.spark, f"{self.path}/{name}")
+
+
+__all__ = ["DEFAULTS", "get_spark", "checkpoint_dir", "scratch_path", "local_path",
+           "delete_path", "Rounds"]
 
 
 def materialize(df):
