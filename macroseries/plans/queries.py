@@ -333,6 +333,7 @@ def baseline_vs_scenario(spark, d):
 # Residuals
 
 from ..operators import bootstrap as B  # noqa: E402
+from ..operators import replications as RP  # noqa: E402
 from ..operators import residuals as RS  # noqa: E402
 from ..session import materialize  # noqa: E402
 
@@ -422,6 +423,12 @@ def _draws(resid):
     return B.bootstrap_draws(sim, NREPL + NEXTRA, HIST_START, HIST_END, SEED)
 
 
+def _vectors(resid):
+    """All replications of an entity in one row, an array per simulated quarter."""
+    return RP.shock_vectors(resid, _demeaned(resid), ["qty_trac", "rev_trac"], NREPL + NEXTRA,
+                            HIST_START, HIST_END, SIM_START, SIM_END, SEED)
+
+
 def _shocks(resid):
     return B.bootstrap_shocks(resid, _demeaned(resid), _draws(resid),
                               ["qty_trac", "rev_trac"], NREPL + NEXTRA, 8, SIM_START, SIM_END)
@@ -432,10 +439,13 @@ def _anchor(resid):
         "entity", F.col("qty").alias("init"))
 
 
+def _path_vectors(resid):
+    start = _vectors(resid).join(_anchor(resid), "entity", "left")
+    return RP.vector_paths(start, "y", 0.5, "qty_trac", "init", NREPL + NEXTRA)
+
+
 def _paths(resid):
-    sh = _shocks(resid).withColumn("y", F.lit(None).cast("double"))
-    return R.linear_recurrence(sh, "y", 0.5, F.col("qty_trac"), start=SIM_START,
-                               keys=["entity", "repl"], init=_anchor(resid))
+    return RP.explode_replications(_path_vectors(resid), ["y"])
 
 
 @query
@@ -506,12 +516,7 @@ def keep_good_replications(spark, d):
 @query
 def quantile_fan(spark, d):
     resid = _resid(spark, d)
-    paths = PN.pct_change_n(_paths(resid), ["y"], 4, keys=["entity", "repl"], suffix="_g4")
-    long = paths.select("entity", "period", F.explode(F.array(
-        F.struct(F.lit("y").alias("series"), F.col("y").alias("v")),
-        F.struct(F.lit("y_g4").alias("series"), F.col("y_g4").alias("v")))).alias("__s")) \
-        .select("entity", "period", "__s.series", "__s.v")
-    fan = B.quantile_fan(long, "v", ["entity", "period", "series"])
+    fan = RP.fan_vectors(RP.growth_vectors(_path_vectors(resid), "y", "y_g4", 4), ["y", "y_g4"])
     base = resid.filter(F.col("period") >= P.quarter_lit(SIM_START)) \
         .select("entity", "period", "qty_trac").withColumn("y", F.lit(None).cast("double"))
     base = R.linear_recurrence(base, "y", 0.5, F.col("qty_trac"), start=SIM_START,
@@ -552,9 +557,10 @@ from .standins import catalog_frame  # noqa: E402
 def scan_union_by_name(spark, d):
     base = scratch_path(spark, "raw")
     o = table(spark, d, "orders").withColumn("y", F.year("o_orderdate"))
-    o.filter(F.col("y") < 1998).select("o_orderkey", "o_custkey", "o_totalprice") \
+    early = F.coalesce(F.col("y") < 1998, F.lit(False))  # orders without a date go with the later ones
+    o.filter(early).select("o_orderkey", "o_custkey", "o_totalprice") \
         .write.mode("overwrite").parquet(f"{base}/raw/early.parquet")
-    o.filter(F.col("y") >= 1998).select("o_orderkey", "o_custkey", "o_orderpriority") \
+    o.filter(~early).select("o_orderkey", "o_custkey", "o_orderpriority") \
         .write.mode("overwrite").parquet(f"{base}/raw/late.parquet")
     df = SRC.scan_parquet(spark, f"{base}/raw/*.parquet", with_file="filename")
     return df.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
@@ -816,17 +822,8 @@ def bootstrap_scale_case(spark, d, nrepl: int = 1000, nextra: int = 5,
                                               _equations(supplier_panel(spark, d)), start, end))
     n = nrepl + nextra
     dm = B.demean(resid, ["qty_trac", "rev_trac"], start, end)
-    sim = P.slice_periods(resid.select("period"), start, end)
-    draws = B.bootstrap_draws(sim, n, start, end, SEED)
-    sh = B.bootstrap_shocks(resid, dm, draws, ["qty_trac", "rev_trac"], n, 24, start, end)
+    vectors = RP.shock_vectors(resid, dm, ["qty_trac", "rev_trac"], n, start, end, start, end, SEED)
     anchor = resid.filter(F.col("period") == P.add_quarters(P.quarter_lit(start), -1)) \
         .select("entity", F.col("qty").alias("init"))
-    paths = R.linear_recurrence(sh.withColumn("y", F.lit(None).cast("double")), "y", 0.5,
-                                F.col("qty_trac"), start=start, keys=["entity", "repl"],
-                                init=anchor)
-    paths = PN.pct_change_n(paths, ["y"], 4, keys=["entity", "repl"], suffix="_g4")
-    long = paths.select("entity", "period", F.explode(F.array(
-        F.struct(F.lit("y").alias("series"), F.col("y").alias("v")),
-        F.struct(F.lit("y_g4").alias("series"), F.col("y_g4").alias("v")))).alias("__s")) \
-        .select("entity", "period", "__s.series", "__s.v")
-    return B.quantile_fan(long, "v", ["entity", "period", "series"])
+    paths = RP.vector_paths(vectors.join(anchor, "entity", "left"), "y", 0.5, "qty_trac", "init", n)
+    return RP.fan_vectors(RP.growth_vectors(paths, "y", "y_g4", 4), ["y", "y_g4"])
