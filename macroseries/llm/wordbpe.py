@@ -19,7 +19,7 @@ from itertools import islice
 import numpy as np
 
 #: Most runs, and most pieces of runs, kept by one Python worker (about 200 bytes each).
-RUNS, PIECES = 400_000, 150_000
+RUNS, PIECES = 1_000_000, 300_000
 TOGETHER = 1 << 20
 # fixed values: what a vocabulary file must ask for to be split at white space here
 SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
