@@ -118,7 +118,8 @@ def replicate(df: DataFrame, nrepl: int) -> DataFrame:
 
 
 def keep_good_replications(status: DataFrame, nrepl: int, nextra: int,
-                           repl: str = "repl", error: str = "error") -> DataFrame:
+                           repl: str = "repl", error: str = "error",
+                           keys: Sequence[str] = ()) -> DataFrame:
     """Which replications to return (W8, O2): walking in replication order,
     drop the first ``nextra`` failed ones, then keep the first ``nrepl`` of
     the rest (failures beyond ``nextra`` stay, with their error).
@@ -126,8 +127,19 @@ def keep_good_replications(status: DataFrame, nrepl: int, nextra: int,
     ``status`` has one row per replication ``(repl, error)``; it has
     ``nrepl + nextra`` rows, a parameter, so the two ordered windows over
     it are small.  Returns ``(repl, keep)`` for all replications.
+
+    With ``keys`` every key (e.g. each entity, a model of its own) has its own status rows and is
+    judged by itself, so that one key's failure costs no other key a replication: ``(keys..., repl,
+    keep)``.  A key's rows are as few as above; NULL keys are keys like any other.
     """
     failed = F.col(error).isNotNull()
+    if keys:
+        first = F.row_number().over(Window.partitionBy(*keys, failed).orderBy(F.col(repl)))
+        s = status.withColumn("__stays", ~(failed & (first <= nextra)))
+        run = Window.partitionBy(*keys).orderBy(F.col(repl)).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        rank = F.sum(F.col("__stays").cast("int")).over(run)
+        return s.select(*keys, repl, (F.col("__stays") & (rank <= nrepl)).alias("keep"))
     w_f = Window.partitionBy(failed).orderBy(F.col(repl))
     s = status.withColumn("__dropped", failed & (F.row_number().over(w_f) <= nextra))
     rest = s.filter(~F.col("__dropped"))

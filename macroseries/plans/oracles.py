@@ -465,6 +465,23 @@ rest AS (SELECT repl FROM st2 WHERE NOT (error IS NOT NULL AND rf <= 2))""", """
 kept AS (SELECT repl FROM (SELECT repl, row_number() OVER (ORDER BY repl) AS rk FROM rest) WHERE rk <= 200)""",
     recursive=True))
 
+oracle("keep_good_per_entity", with_boot("""
+SELECT e.entity, e.repl, e.period, round(e.y, 6) AS y, e.error
+FROM e JOIN kept k ON k.entity = e.entity AND k.repl = e.repl""", PATHS, """
+e AS (
+  SELECT entity, repl, period, CASE WHEN (repl + entity) % 50 = 7 THEN NULL ELSE y END AS y,
+         CASE WHEN (repl + entity) % 50 = 7
+              THEN 'ValueError: replication failed to converge' END AS error
+  FROM p)""", """
+st AS (SELECT entity, repl, max(error) AS error FROM e GROUP BY 1, 2)""", """
+st2 AS (
+  SELECT *, row_number() OVER (PARTITION BY entity, error IS NOT NULL ORDER BY repl) AS rf FROM st)""", """
+rest AS (
+  SELECT entity, repl, row_number() OVER (PARTITION BY entity ORDER BY repl) AS rk
+  FROM st2 WHERE NOT (error IS NOT NULL AND rf <= 2))""", """
+kept AS (SELECT entity, repl FROM rest WHERE rk <= 200)""",
+    recursive=True))
+
 oracle("quantile_fan", with_boot("""
 SELECT f.entity, f.period, f.series, round(b.base, 6) AS base,
        round(f.lo90, 6) AS lo90, round(f.lo70, 6) AS lo70, round(f.hi70, 6) AS hi70,

@@ -479,7 +479,8 @@ def _failing_step(prev, row):
     return 0.5 * prev + row["qty_trac"]
 
 
-def _errors(spark, d):
+def _errors(spark, d, code="repl"):
+    """Paths with a step that fails where the expression ``code`` says so."""
     resid = _resid(spark, d)
     sh = _shocks(resid).withColumn("y", F.lit(None).cast("double"))
     an = _anchor(resid).withColumnRenamed("init", "__init")
@@ -489,7 +490,7 @@ def _errors(spark, d):
                     F.lit(None).cast("double").alias("qty_trac"),
                     F.lit(None).cast("double").alias("rev_trac"), F.col("__init").alias("y"))
     panel = sh.unionByName(pre)
-    out = R.general_recurrence(panel.withColumn("repl_d", F.col("repl").cast("double")), "y",
+    out = R.general_recurrence(panel.withColumn("repl_d", F.expr(code).cast("double")), "y",
                                lambda p, r: _failing_step(p, {"repl": r["repl_d"],
                                                               "qty_trac": r["qty_trac"]}),
                                ["repl_d", "qty_trac"], start=SIM_START,
@@ -513,6 +514,16 @@ def keep_good_replications(spark, d):
         .select("entity", "repl", "period", r6(F.col("y")).alias("y"), "error")
 
 
+@query
+def keep_good_per_entity(spark, d):
+    """Every entity fails in other replications and is judged by itself."""
+    paths = materialize(_errors(spark, d, "repl + entity"))
+    status = paths.groupBy("entity", "repl").agg(F.max("error").alias("error"))
+    keep = B.keep_good_replications(status, NREPL, NEXTRA, keys=["entity"]).filter("keep")
+    return paths.join(keep, ["entity", "repl"], "left_semi") \
+        .select("entity", "repl", "period", r6(F.col("y")).alias("y"), "error")
+
+
 @query
 def quantile_fan(spark, d):
     resid = _resid(spark, d)

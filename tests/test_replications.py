@@ -56,3 +56,14 @@ def test_paths_growth_and_fan(spark):
         long, "y", ["entity", "period"]).collect()}
     assert {k: v for k, v in fan.items() if k[1] == "y"} == want
     assert fan[(quarter(0), "g")] == (None,) * 4
+
+
+def test_one_entity_s_failures_cost_others_nothing(spark):
+    bad = {("a", 0), ("a", 2), ("a", 3), (None, 5)}
+    rows = [(e, k, "no luck" if (e, k) in bad else None) for e in ("a", "b", None) for k in range(6)]
+    status = spark.createDataFrame(rows, "entity string, repl int, error string")
+    got = bootstrap.keep_good_replications(status, 4, 2, keys=["entity"]).collect()
+    kept = {e: sorted(r["repl"] for r in got if r["entity"] == e and r["keep"]) for e in ("a", "b", None)}
+    assert len(got) == 18 and kept == {"a": [1, 3, 4, 5], "b": [0, 1, 2, 3], None: [0, 1, 2, 3]}
+    alone = bootstrap.keep_good_replications(status.filter("entity = 'a'").drop("entity"), 4, 2)
+    assert sorted(r["repl"] for r in alone.collect() if r["keep"]) == kept["a"]
