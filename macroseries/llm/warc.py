@@ -1,21 +1,26 @@
 """WARC archives: write, index first, then read selected records by coalesced byte ranges.
 
-Records are written with Spark's text writer, whose line separator is the two CRLFs that end a
-record, so archives go through the same commit protocol and file systems as any Spark output and a
-lost executor leaves no half archive. The index (offset, length, URL, digest per record) is made by
-walking the headers: a payload is skipped, not read. Reads sort the selected records by file and
-offset and fetch neighbours with one byte range. Index and reads open archives through
-``pyarrow.fs`` (local or shared disks, hdfs, s3).
+Every record is a gzip member of its own, as WARC readers expect, so one can be read without the
+others. Members go through Spark's text writer, with an empty gzip member as its line separator, so
+archives have the same commit protocol and file systems as any Spark output and a lost executor leaves
+no half archive. The index (offset and length of the stored record, URL, digest) is made by walking an
+archive: members are inflated piece by piece and only their headers kept; in an archive that
+isn't compressed payloads are skipped. Reads sort the selected records by file and offset, fetch
+neighbours with one byte range and inflate only the records asked for. Index and reads open archives
+through ``pyarrow.fs`` (local or shared disks, hdfs, s3).
 """
 
 from __future__ import annotations
 
+import gzip
 import re
+import zlib
 from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from macroseries.llm.common import write_once
 
@@ -24,7 +29,13 @@ DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAX_GAP, MAX_READ = 64 << 10, 8 << 20
 SPLIT = 64 << 20
-HEAD_READ = 1 << 20
+HEAD_READ, PIECE = 1 << 20, 32 << 10
+GZIP = b"\x1f\x8b"
+LEVEL = 6
+SEPARATOR = gzip.compress(b"", mtime=0)
+#: repeated digests up to this number are broadcast to the pages (about 100 bytes each)
+BROADCAST_ROWS = 1_000_000
+# payload_offset counts from the start of the record as written, before compression
 INDEX = ("path string, offset bigint, length bigint, payload_offset bigint, payload_length bigint, "
          "page_id bigint, url string, digest string, record_type string, refers_to bigint")
 
@@ -50,11 +61,20 @@ def _record_id(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), page_id.cast("string"), F.lit(">"))
 
 
-def records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+@F.pandas_udf(BinaryType())
+def _member(record: pd.Series) -> pd.Series:
+    """Each record as a gzip member."""
+    return record.map(lambda r: gzip.compress(r, LEVEL, mtime=0))
+
+
+def records(pages: DataFrame, min_bytes: int = 0, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """page_id, url, payload, digest, record_type and refers_to of every row of ``pages``
     (page_id, url, html). Among equal payloads of at least ``min_bytes``, the largest page_id is the
     response and the others revisit it. NULL html is an empty payload; rows that tie on the largest
-    page_id, and equal payloads without any page_id, are all responses."""
+    page_id, and equal payloads without any page_id, are all responses.
+
+    Digests that repeat are written once and counted: up to ``broadcast_rows`` of them are sent to the
+    pages, so that no payload moves; beyond, pages are joined to them by digest."""
     base = pages.select(F.col("page_id").cast("long").alias("page_id"),
                         F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html"), F.lit("")).alias("payload"))
@@ -62,6 +82,9 @@ def records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     first = (base.filter(F.octet_length("payload") >= min_bytes).groupBy("digest")
              .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("copies"))
              .filter("copies > 1 AND first IS NOT NULL").select("digest", "first"))
+    first = write_once(first, "repeated-digests")
+    few = first.count() <= broadcast_rows
+    first = F.broadcast(first) if few else first.hint("merge")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return base.join(first, "digest", "left").select(
         "page_id", "url", "payload", "digest",
@@ -70,8 +93,8 @@ def records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = DATE) -> None:
-    """Write a WARC/1.1 record per row of ``pages`` below ``path``, one archive per partition. A
-    revisit carries headers only. Control characters, spaces and ``%`` of a URL are percent-encoded
+    """Write a WARC/1.1 record per row of ``pages`` below ``path``, one archive per partition and one
+    gzip member per record. A revisit carries headers only. Control characters, spaces and ``%`` of a URL are percent-encoded
     in its header; a NULL URL or page_id leaves its header out."""
     r = records(pages, min_bytes)
     response = F.col("record_type") == "response"
@@ -92,8 +115,10 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), size.cast("string")))
     body = F.when(response, F.col("payload")).otherwise(F.lit(""))
-    (r.select(F.concat(head, F.lit(END), http, body).alias("value"))
-     .write.option("lineSep", END).text(path))
+    record = F.encode(F.concat(head, F.lit(END), http, body, F.lit(END)), "UTF-8")
+    (r.select(_member(record).cast("string").alias("value"))
+     .write.option("encoding", "ISO-8859-1").option("lineSep", SEPARATOR.decode("latin-1"))
+     .text(path))
 
 
 def _open(path: str):
@@ -113,38 +138,82 @@ def _page(value: str | None) -> int | None:
     return int(m[1]) if m else None
 
 
+def _entry(path: str, offset: int, length: int, head: bytes, payload: int, size: int) -> tuple:
+    """Index row of the record whose header is ``head`` and whose ``size`` bytes hold its payload from
+    ``payload`` on."""
+    lines = head.decode("utf-8").split("\r\n")
+    fields = dict(x.split(": ", 1) for x in lines[1:] if ": " in x)
+    url = fields.get("WARC-Target-URI")
+    return (path, offset, length, payload, size - payload, _page(fields.get("WARC-Record-ID")),
+            None if url is None else unquote(url),
+            fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"],
+            _page(fields.get("WARC-Refers-To")))
+
+
+def _content_length(head: bytes) -> int:
+    return int(re.search(rb"\r\nContent-Length: (\d+)", head)[1])
+
+
 def _walk(path: str, size: int):
-    """Index rows of one archive, in order. Headers are parsed from a sliding buffer; the walk
-    jumps over what ``Content-Length`` covers."""
+    """Index rows of one archive, in order."""
+    if size == 0:
+        return
     with _open(path) as f:
-        at, base, buf = 0, 0, b""
-
-        def need(start: int, mark: bytes) -> int:
-            """Position after ``mark`` at or after ``start``; reads on until it is there."""
-            nonlocal base, buf
-            more = HEAD_READ
-            while True:
-                if start >= base:
-                    k = buf.find(mark, start - base)
-                    if k >= 0:
-                        return base + k + len(mark)
-                if base + len(buf) >= size and base <= start:
-                    raise ValueError(f"{path}: record at {at} has no header end")
-                base, buf = start, f.read_at(more, start)
-                more *= 2
-
-        while at < size:
-            body = need(at, b"\r\n\r\n")
-            lines = buf[at - base:body - base].decode("utf-8").split("\r\n")
-            head = dict(x.split(": ", 1) for x in lines[1:] if ": " in x)
-            length = body - at + int(head["Content-Length"])
-            payload = need(body, b"\r\n\r\n")
-            url = head.get("WARC-Target-URI")
-            yield (path, at, length, payload, at + length - payload,
-                   _page(head.get("WARC-Record-ID")), None if url is None else unquote(url),
-                   head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"],
-                   _page(head.get("WARC-Refers-To")))
-            at += length + len(END)
+        packed = f.read_at(2, 0) == GZIP
+        yield from (_walk_members if packed else _walk_plain)(f, path, size)
+
+
+def _walk_plain(f, path: str, size: int):
+    """An archive that isn't compressed: headers are parsed from a sliding buffer; the walk jumps over
+    what ``Content-Length`` covers."""
+    at, base, buf = 0, 0, b""
+
+    def need(start: int, mark: bytes) -> int:
+        """Position after ``mark`` at or after ``start``; reads on until it is there."""
+        nonlocal base, buf
+        more = HEAD_READ
+        while True:
+            if start >= base:
+                k = buf.find(mark, start - base)
+                if k >= 0:
+                    return base + k + len(mark)
+            if base + len(buf) >= size and base <= start:
+                raise ValueError(f"{path}: record at {at} has no header end")
+            base, buf = start, f.read_at(more, start)
+            more *= 2
+
+    while at < size:
+        body = need(at, b"\r\n\r\n")
+        head = buf[at - base:body - base]
+        length = body - at + _content_length(head)
+        yield _entry(path, at, length, head, need(body, b"\r\n\r\n") - at, length)
+        at += length + len(END)
+
+
+def _walk_members(f, path: str, size: int):
+    """An archive of gzip members, inflated in pieces of ``PIECE`` bytes, of which only those up to the
+    end of both headers are kept. Members without a record are passed over."""
+    base, block = 0, b""
+    at = start = 0
+    while at < size:
+        start, inflate, head, marks = at, zlib.decompressobj(31), b"", []
+        while not inflate.eof:
+            if at >= base + len(block):
+                base, block = at, f.read_at(HEAD_READ, at)
+            data = block[at - base:at - base + PIECE]
+            piece = inflate.decompress(data, PIECE)
+            at += len(data) - len(inflate.unused_data if inflate.eof else inflate.unconsumed_tail)
+            if not (data or piece or inflate.eof):
+                raise ValueError(f"{path}: the member at {start} has no end")
+            if len(marks) < 2:
+                head += piece
+                while len(marks) < 2 and (k := head.find(END.encode(), marks[0] if marks else 0)) >= 0:
+                    marks.append(k + len(END))
+        if len(marks) == 2:
+            total = marks[0] + _content_length(head[:marks[0]])
+            yield _entry(path, start, at - start, head[:marks[0]], marks[1], total)
+        elif head.strip():
+            raise ValueError(f"{path}: the record at {start} has no header end")
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
@@ -173,31 +242,44 @@ def _frame(rows: list) -> pd.DataFrame:
 def read_records(selected: DataFrame, max_gap: int = MAX_GAP, max_read: int = MAX_READ) -> DataFrame:
     """The ``payload`` (binary) of each selected index row, next to page_id, url and digest.
     Records are sorted by file and offset; neighbours at most ``max_gap`` bytes apart are fetched by
-    one read of at most ``max_read`` bytes (or one record)."""
+    one read of at most ``max_read`` bytes (or one record) and handed on about ``max_read`` bytes of
+    payload (or one) at a time."""
     part = F.floor(F.col("offset") / SPLIT)
     rows = selected.repartition("path", part).sortWithinPartitions("path", "offset")
-    rows = rows.select("path", "offset", "payload_offset", "payload_length", "page_id", "url",
-                       "digest")
+    rows = rows.select("path", "offset", "length", "payload_offset", "payload_length", "page_id",
+                       "url", "digest")
+
+    def payload(record: bytes, at: int, n: int) -> bytes:
+        if record[:2] == GZIP:
+            record = zlib.decompress(record, 31)
+        return record[at:at + n]
 
     def run(batches):
         for b in batches:
             start = 0
-            first = b["payload_offset"].tolist()
-            last = (b["payload_offset"] + b["payload_length"]).tolist()
+            first = b["offset"].tolist()
+            last = (b["offset"] + b["length"]).tolist()
             paths = b["path"].tolist()
+            inside, sizes = b["payload_offset"].tolist(), b["payload_length"].tolist()
             for k in range(1, len(b) + 1):
                 if k < len(b) and paths[k] == paths[start] and (
                         first[k] - last[k - 1] <= max_gap and last[k] - first[start] <= max_read):
                     continue
                 with _open(paths[start]) as f:
-                    data = f.read_at(last[k - 1] - first[start], first[start])
-                got = b.iloc[start:k]
+                    data = memoryview(f.read_at(last[k - 1] - first[start], first[start]))
                 off = first[start]
-                yield pd.DataFrame({
-                    "page_id": got["page_id"].astype("Int64"), "url": got["url"],
-                    "digest": got["digest"],
-                    "payload": [data[first[i] - off:last[i] - off] for i in range(start, k)]})
-                start = k
+                while start < k:
+                    end, room = start, max_read
+                    while end < k and (end == start or sizes[end] <= room):
+                        room -= sizes[end]
+                        end += 1
+                    got = b.iloc[start:end]
+                    yield pd.DataFrame({
+                        "page_id": got["page_id"].astype("Int64"), "url": got["url"],
+                        "digest": got["digest"],
+                        "payload": [payload(bytes(data[first[i] - off:last[i] - off]), inside[i],
+                                            sizes[i]) for i in range(start, end)]})
+                    start = end
     return rows.mapInPandas(run, "page_id bigint, url string, digest string, payload binary")
 
 

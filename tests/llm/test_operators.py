@@ -2,6 +2,7 @@
 small tables and on rows with NULLs, empty and long texts, ties, repeats and clashing columns."""
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from macroseries.llm import (crossent, decontam, kdshard, langid, minhash, packing, quality, queries,
                              rules, template, warc)
 from macroseries.llm.common import number_rows, table
-from macroseries.session import scratch_path
+from macroseries.session import local_path, scratch_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = {i: i + 32 for i in range(65, 91)}
@@ -90,6 +91,34 @@ def test_warc_odd_rows_and_ranges(spark):
     empty = scratch_path(spark, "warc-test")
     warc.write_archives(pages.filter("false"), empty)
     assert warc.read_back(spark, empty).count() == 0
+    assert sorted(rows(warc.records(pages, broadcast_rows=0)), key=str) == sorted(
+        rows(warc.records(pages)), key=str)
+
+
+def test_warc_members_and_plain_archives(spark):
+    """Each member is a whole record, the stream of all members is a plain archive, and a plain
+    archive gives the same records."""
+    data = [(k, f"http://a/{k}", f"text {k} é\r\n\r\n" * (k * 700)) for k in range(9)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").coalesce(1)
+    path = scratch_path(spark, "warc-test")
+    warc.write_archives(pages, path)
+    idx = rows(warc.index(spark, path).orderBy("offset"))
+    packed = open(local_path(idx[0]["path"]), "rb").read()
+    plain = gzip.decompress(packed)
+    for r in idx:
+        record = gzip.decompress(packed[r["offset"]:r["offset"] + r["length"]])
+        assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+        assert record in plain
+    other = scratch_path(spark, "warc-plain")
+    spark.createDataFrame([(plain.decode(),)], "value string").coalesce(1).write.option(
+        "lineSep", "\r\n\r\n").text(other)
+    name = next(iter(spark.read.format("binaryFile").load(other).select("path").first()))
+    with open(local_path(name), "r+b") as f:
+        f.truncate(len(plain))
+    want = {d[0]: d[2].encode() for d in data}
+    for at in (path, other):
+        got = rows(warc.read_records(warc.index(spark, at), max_read=5000))
+        assert {r["page_id"]: bytes(r["payload"]) for r in got} == want and len(got) == len(data)
 
 
 # ---------------------------------------------------------------- 2 decontamination
