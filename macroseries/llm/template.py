@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 
 import pandas as pd
 import xxhash
@@ -67,6 +68,8 @@ TAG, TEXT, ARTICLE_TAG = range(3)
 PAGE = 0
 TOKENS = "host string, token bigint, seen bigint, page bigint, parent bigint, kind int"
 TEMPLATE = "host string, pages bigint, template array<bigint>, on array<bigint>"
+CANDIDATES = ("page_id bigint, url string, host string, article boolean, tokens array<bigint>, "
+              "body binary")
 RESULT = "page_id bigint, url string, text string, n_chars bigint, n_slots int"
 
 
@@ -187,7 +190,7 @@ class Page:
             self._pop(len(self._stack) - 1)
         role = _role(name, attrs, self._article > 0)
         up = self._stack[-1][2] if self._stack else ""
-        # inline elements, and what stands below five levels of them, don't lengthen the path
+        # inline elements, and what stands below 32 levels of them, don't lengthen the path
         path = f"{up}/{name}" if name in _BLOCK or name in _BOILER else up
         if path.count("/") > 32:
             path = up
@@ -225,17 +228,20 @@ class Page:
             out[k] = (out[k][0] + 1 if k in out else 1, _element(path), TEXT)
         return out
 
-    def main_text(self, template: dict[int, int], pages: int) -> tuple[str, int]:
-        """(text, number of slots): the blocks that are neither boilerplate nor template. ``template``
-        has the pages of each text of it, of the host's ``pages``; a page of nothing else keeps what
-        only a part of the pages has."""
+    def candidates(self) -> tuple[bool, list[tuple[str, str]]]:
+        """Whether the page has an article, and the blocks (path, text) that are not boilerplate: of
+        the article where there is one."""
         article = any(a and not b for _, _, a, b in self.blocks)
-        least = MIN_ARTICLE_PAGES if article else MIN_PAGES
-        blocks = [(text, template.get(_hash(path, text), 0) if template else 0)
-                  for path, text, a, b in self.blocks if not b and (a or not article)]
-        out = [text for text, on in blocks if on < least] or [
-            text for text, on in blocks if on < max(least, pages)]
-        return "\n".join(out), len(out)
+        return article, [(path, text) for path, text, a, b in self.blocks
+                         if not b and (a or not article)]
+
+
+def _pick(texts: list[str], on: list[int], article: bool, pages: int) -> list[str]:
+    """The texts that are no template, of which ``on`` has the pages of the host's ``pages``; a page
+    of nothing else keeps what only a part of the pages has."""
+    least = MIN_ARTICLE_PAGES if article else MIN_PAGES
+    return [t for t, n in zip(texts, on) if n < least] or [
+        t for t, n in zip(texts, on) if n < max(least, pages)]
 
 
 def _pages(pages: DataFrame) -> DataFrame:
@@ -302,27 +308,45 @@ def templates(pages: DataFrame) -> DataFrame:
     return valid.groupBy("host").applyInPandas(nest, TEMPLATE)
 
 
+def candidates(pages: DataFrame) -> DataFrame:
+    """Per page: page_id, url, host, whether it has an article, the tokens of its candidate blocks, and
+    their texts, one a line, packed by zlib: html isn't moved, nor text unpacked."""
+    def run(batches):
+        for b in batches:
+            out = []
+            for page_id, url, source, host in zip(b["page_id"], b["url"], b["html"], b["host"]):
+                article, blocks = Page(source).candidates()
+                body = "\n".join(text for _, text in blocks).encode("utf-8", "surrogatepass")
+                out.append((page_id, url, host, article, [_hash(*x) for x in blocks],
+                            zlib.compress(body)))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in CANDIDATES.split(", ")]).astype(
+                {"page_id": "Int64"})
+    return pages.select("page_id", "url", "html", "host").mapInPandas(run, CANDIDATES)
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars (code points) and n_slots of every row of ``pages`` (page_id, url,
     html). NULL and empty html give an empty text; a page without a URL, or on a host of few
     pages, is read by its own structure alone; rows that repeat a page are each extracted and count
-    once for the template; an empty table gives an empty result."""
+    once for the template; an empty table gives an empty result.
+
+    Candidate blocks meet their host's template in the join, where each block gets the number of
+    pages that have it as template; the template itself goes no further."""
     p = _pages(pages)
-    found = p.join(templates(p), "host", "left")
+    found = candidates(p).join(templates(p), "host", "left")
+    at = F.expr("transform(tokens, t -> coalesce(element_at(on, "
+                "cast(nullif(array_position(template, t), 0) as int)), 0L))")
 
     def run(batches):
         for b in batches:
-            known: dict = {}
             out = []
-            for page_id, url, source, host, n, tpl, on in zip(
-                    b["page_id"], b["url"], b["html"], b["host"], b["pages"], b["template"],
-                    b["on"]):
-                if host not in known:
-                    known[host] = ({}, 0) if tpl is None else (
-                        dict(zip(map(int, tpl), map(int, on))), int(n))
-                text, slots = Page(source).main_text(*known[host])
-                out.append((page_id, url, text, len(text), slots))
+            for page_id, url, article, on, n, body in zip(
+                    b["page_id"], b["url"], b["article"], b["on"], b["pages"], b["body"]):
+                texts = zlib.decompress(body).decode("utf-8", "surrogatepass").split("\n")
+                kept = _pick(texts, on, article, int(n))
+                text = "\n".join(kept)
+                out.append((page_id, url, text, len(text), len(kept)))
             yield pd.DataFrame(out, columns=["page_id", "url", "text", "n_chars", "n_slots"]).astype(
                 {"page_id": "Int64"})
-    return found.select("page_id", "url", "html", "host", "pages", "template", "on").mapInPandas(
-        run, RESULT)
+    return found.select("page_id", "url", "article", at.alias("on"),
+                        F.coalesce("pages", F.lit(0)).alias("pages"), "body").mapInPandas(run, RESULT)

@@ -506,8 +506,9 @@ def test_template_of_layouts_and_optional_boxes(spark):
 def test_wrappers_do_not_hide_the_article(html):
     inner = ("<article class='post has-comments'>One<div class='related'>More</div><form>Name</form>"
              "<p class='no-share'>Two</p></article>")
-    assert template.Page(html.format(inner)).main_text({}, 0)[0] == "One\nTwo"
-    assert template.Page("<div class='x comments'>Hi</div>Text").main_text({}, 0)[0] == "Text"
+    assert [t for _, t in template.Page(html.format(inner)).candidates()[1]] == ["One", "Two"]
+    assert template.Page("<div class='x comments'>Hi</div>Text").candidates() == (
+        False, [("", "Text")])
 
 
 def test_main_text_is_the_article(spark, sf_dir):
