@@ -103,6 +103,30 @@ class Series:
         return self(name, 0)
 
 
+def sliced_grid(extents: DataFrame, measures: DataFrame, start, end, keys: Sequence[str] = KEYS,
+                period: str = PERIOD, first: str = "first", last: str = "last") -> DataFrame:
+    """``loc[start:end]`` of the dense quarter grid (P5 of P7) without reading the other quarters.
+
+    ``extents`` has each key's ``first`` and ``last`` quarter, one row a key; ``measures`` the key's rows
+    by quarter, which the caller filters before aggregating, so that the range reaches the scan. The
+    result is that of ``slice_periods(densify(whole panel), start, end)``: every quarter of the range
+    within the key's extent, series NULL where ``measures`` has no row. NULL keys are a key; keys whose
+    extent is NULL or misses the range give no rows; measures outside range or extent are left out;
+    rows of ``measures`` that repeat a quarter are each kept.
+    """
+    keys = list(keys)
+    lo = F.greatest(F.col(first), as_col(start, literal=True))
+    hi = F.least(F.col(last), as_col(end, literal=True))
+    grid = extents.filter(F.col(first).isNotNull() & F.col(last).isNotNull() & (lo <= hi)).select(
+        *[F.col(k).alias(f"__{k}") for k in keys], F.explode(period_sequence(lo, hi)).alias("__at"))
+    match = F.col("__at") == F.col(period)
+    for k in keys:
+        match = match & F.col(f"__{k}").eqNullSafe(F.col(k))
+    values = [c for c in measures.columns if c not in keys and c != period]
+    return grid.join(measures, match, "left").select(
+        *[F.col(f"__{k}").alias(k) for k in keys], F.col("__at").alias(period), *values)
+
+
 def define(df: DataFrame, name: str, expr: Column) -> DataFrame:
     """New or replaced series from a non-recursive expression."""
     return df.withColumn(name, expr)

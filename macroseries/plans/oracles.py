@@ -544,6 +544,12 @@ SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) A
 
 oracle("materialize_table", ORACLES["indicator_table"])
 
+oracle("publish_swap", """
+WITH c AS (SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) AS nation, c_acctbal FROM customer)
+SELECT id, nation, CAST(NULL AS DOUBLE) AS balance, 'after_failure' AS seen FROM c
+UNION ALL SELECT id, nation, CAST(c_acctbal AS DOUBLE), 'current' FROM c
+UNION ALL SELECT id, nation, CAST(NULL AS DOUBLE), 'before' FROM c""")
+
 oracle("view_chain", """
 WITH my_first_model AS (
   SELECT c_nationkey AS id FROM customer UNION ALL SELECT CAST(NULL AS INTEGER) AS id FROM nation)

@@ -21,7 +21,7 @@ from ..operators import autoregression as AR
 from ..operators import recurrence as R
 from ..session import materialize
 from .standins import (EVENT_SERIES, FFILL_SERIES, GROWTH_SERIES, RAW_SERIES,
-                       observations, supplier_panel, table)
+                       observations, supplier_panel, supplier_panel_slice, table)
 
 QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -76,7 +76,7 @@ def indicator_table(spark, d):
 
 @query
 def period_slice(spark, d):
-    return P.slice_periods(supplier_panel(spark, d), "1996Q1", "1997Q4")
+    return supplier_panel_slice(spark, d, "1996Q1", "1997Q4")
 
 
 @query
@@ -561,6 +561,7 @@ from ..operators import checks as CK  # noqa: E402
 from ..operators import graph as G  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 from ..sources import files as SRC  # noqa: E402
+from ..sources import publish as PUB  # noqa: E402
 from .standins import catalog_frame  # noqa: E402
 
 
@@ -623,6 +624,34 @@ def materialize_table(spark, d):
     return SRC.materialize_table(t, "stg_indicators", scratch_path(spark, "tables"))
 
 
+@query
+def publish_swap(spark, d):
+    """A customer table that others read meanwhile: published, replaced in vain by one whose ids repeat
+    (its check fails), then replaced by one with balances; what readers see after either, and what a
+    reader of the version before still sees."""
+    path = scratch_path(spark, "published")
+    c = table(spark, d, "customer")
+    plain = c.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("long").alias("nation"),
+                     F.lit(None).cast("double").alias("balance"))
+
+    def unique(t):
+        if CK.check_unique(t, "id").limit(1).count():
+            raise ValueError("ids repeat")
+
+    PUB.publish(plain, path, unique)
+    try:
+        PUB.publish(plain.unionByName(plain), path, unique)
+        raise AssertionError("a table with repeated ids was published")
+    except ValueError:
+        kept = materialize(PUB.read_published(spark, path))
+    PUB.publish(kept.drop("balance").join(c.select(F.col("c_custkey").alias("id"),
+                                                   F.col("c_acctbal").alias("balance")), "id"),
+                path, unique)
+    seen = {"after_failure": kept, "current": PUB.read_published(spark, path),
+            "before": PUB.read_published(spark, path, back=1)}
+    return SRC.union_by_name(t.withColumn("seen", F.lit(k)) for k, t in seen.items())
+
+
 @query
 def view_chain(spark, d):
     first = table(spark, d, "customer").select(F.col("c_nationkey").alias("id")).unionByName(

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.periods import quarter_start, truncate
-from ..operators.panel import densify
+from ..functions.columns import as_col
+from ..functions.periods import add_quarters, quarter_start, truncate
+from ..operators.panel import densify, sliced_grid
 from ..session import materialize
 
 # Fixed values of the stand-in indicator model: the five event types play the
@@ -34,20 +35,34 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("value").alias("observation_value"))
 
 
-def supplier_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Panel Q: ``(entity, period, qty, rev, disc)`` per supplier and quarter.
-
-    One partial+final aggregation on ``(l_suppkey, quarter)``, then the
-    per-supplier quarter grid (quarters without shipments are NULL).
-    """
-    li = table(spark, sf_dir, "lineitem")
-    agg = li.groupBy(F.col("l_suppkey").alias("entity"),
-                     quarter_start("l_shipdate").alias("period")).agg(
+def _supplier_measures(lineitem: DataFrame) -> DataFrame:
+    """Panel Q's rows: one partial+final aggregation on ``(l_suppkey, quarter)``."""
+    return lineitem.groupBy(F.col("l_suppkey").alias("entity"),
+                            quarter_start("l_shipdate").alias("period")).agg(
         F.sum("l_quantity").alias("qty"),
         F.round(F.sum("l_extendedprice"), 2).alias("rev"),
         # average discount from whole percentage points: exact in any engine
         (F.sum(F.round(F.col("l_discount") * 100)) / F.count("l_discount") / 100).alias("disc"))
-    return densify(agg, keys=["entity"], period="period")
+
+
+def supplier_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panel Q: ``(entity, period, qty, rev, disc)`` per supplier and quarter, on the per-supplier
+    quarter grid (quarters without shipments are NULL)."""
+    return densify(_supplier_measures(table(spark, sf_dir, "lineitem")), keys=["entity"],
+                   period="period")
+
+
+def supplier_panel_slice(spark: SparkSession, sf_dir: str, start: str, end: str) -> DataFrame:
+    """The quarters ``start`` to ``end`` of panel Q: every row is read for its supplier and date alone,
+    measures only where the ship date lies in the range."""
+    li = table(spark, sf_dir, "lineitem")
+    extents = li.groupBy(F.col("l_suppkey").alias("entity")).agg(
+        quarter_start(F.min("l_shipdate")).alias("first"),
+        quarter_start(F.max("l_shipdate")).alias("last"))
+    after = add_quarters(as_col(end, literal=True), 1)
+    rows = li.filter((F.col("l_shipdate") >= as_col(start, literal=True))
+                     & (F.col("l_shipdate") < after))
+    return sliced_grid(extents, _supplier_measures(rows), start, end, ["entity"])
 
 
 def catalog_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
