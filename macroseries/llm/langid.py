@@ -10,12 +10,12 @@ that run averaged sub-gradient steps on the hinge loss, and averages the weights
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +39,7 @@ FAMILIES = {
     "celtic": "ga gd cy br",
 }
 _FAMILY_OF = {code: fam for fam, codes in FAMILIES.items() for code in codes.split()}
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_NOT_LETTERS = regex.compile(r"\P{L}+")
 _MUL = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
 
 
