@@ -2,7 +2,8 @@
 dimension until each holds its share of the bytes.
 
 A row's place along a dimension is a 64-bit key: the dimension's value, then a hash of the text, then
-a hash of the id, so equal texts are neighbours and a hot value can still be cut. The weighted
+a hash of the id and of the row's position in the table, so equal texts are neighbours and a hot value
+can still be cut, even one of rows that repeat a document. The weighted
 median of all nodes of a level is found by radix selection: four aggregations of at most 65,536 bins
 a node, whatever the number of rows. A cut moves to the border of its group of equal texts when that
 costs at most ``SNAP`` of the node's bytes.
@@ -32,7 +33,7 @@ class Node:
 
 
 def _key(dim: str) -> Column:
-    """Dimension value (0 .. 2**31 - 1), 16 bits of the text's hash, 16 bits of the id's."""
+    """Dimension value (0 .. 2**31 - 1), 16 bits of the text's hash, 16 bits of the row's."""
     return (F.shiftleft(F.col(dim), 32) + F.shiftleft(F.col("tie_text"), 16) + F.col("tie_id"))
 
 
@@ -136,7 +137,8 @@ def shard(docs: DataFrame, target_bytes: int | None = None, shards: int = 16) ->
 
     Dimensions are the size (on a log scale) and the text's checksum. With ``target_bytes`` the
     number of shards is the total by it. A NULL id hashes like a value of its own; rows that repeat a
-    document are placed each; an empty table gives an empty result; extra columns are ignored."""
+    document are placed each, in several shards where one can't hold them; which of them goes where
+    depends on the order of the table; an empty table gives an empty result; extra columns are ignored."""
     raw = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        (F.octet_length(raw) + 1).cast("long").alias("size"),
@@ -144,7 +146,9 @@ def shard(docs: DataFrame, target_bytes: int | None = None, shards: int = 16) ->
     rows = rows.withColumn("dim_size", (F.log2("size") * (1 << 25)).cast("long"))
     rows = rows.withColumn("dim_text", F.shiftright(F.col("text_crc32"), 1))
     rows = rows.withColumn("tie_text", F.col("text_crc32").bitwiseAND(F.lit(0xFFFF)))
-    rows = rows.withColumn("tie_id", F.xxhash64("doc_id").bitwiseAND(F.lit(0xFFFF)))
+    # the position is fixed once the sizes are written
+    rows = rows.withColumn("tie_id", F.xxhash64("doc_id", F.monotonically_increasing_id())
+                           .bitwiseAND(F.lit(0xFFFF)))
     rows = write_once(rows, "sizes")
     if target_bytes:
         total = rows.agg(F.sum("size")).first()[0] or 0

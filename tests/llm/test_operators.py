@@ -361,6 +361,15 @@ def test_sharding(spark, sf_dir, odd, none):
         sum(load) / 10_000)
 
 
+def test_rows_that_repeat_a_document_are_parted(spark):
+    """A sixth of the rows, nearly nine tenths of the bytes, are one document (or have no id)."""
+    for hot in (7, None):
+        data = [(k, f"text {k} " + "x" * (k % 29)) for k in range(1998)] + [(hot, "y" * 1000)] * 400
+        docs = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+        load = check_shards(rows(kdshard.shard(docs, shards=16)), data, 16)
+        assert max(load) <= 1.1 * min(load)
+
+
 def test_number_rows_is_gapless(spark):
     d = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id"))
     got = defaultdict(list)
@@ -532,6 +541,9 @@ def test_language(spark, sf_dir, odd, none):
     model = langid.fit(docs)
     out = rows(odd.select("doc_id", langid.predict(odd, model).alias("p")))
     assert {r["doc_id"] for r in out if r["p"]["lang_pred"] == "und"} == {1, 2, 3, 8}
+    for text in ("² ½ ①", "Ⅷ 12 ٣", "_-_"):
+        assert langid.features(text) is None
+    assert langid.features("² a") is not None
     assert langid.fit(none).langs == []
     assert rows(odd.select(langid.predict(odd, langid.Model()).alias("p")))[0]["p"][0] == "und"
 
