@@ -100,7 +100,9 @@ def edges(tok: DataFrame, endo: DataFrame) -> DataFrame:
     offset 0 on the right of ``dst``'s equation, if it is endogenous; the
     equation's own variable is excluded (no self-loops, Q12)."""
     t = tok.filter((F.col("offset") == 0) & ~F.col("is_coef") & (F.col("variable") != F.col("name")))
-    t = t.join(endo.select(F.col("name").alias("variable")), on="variable", how="left_semi")
+    # never a broadcast: the names of a large model would pass through the driver
+    t = t.join(endo.select(F.col("name").alias("variable")).hint("merge"), on="variable",
+               how="left_semi")
     return t.select(F.col("variable").alias("src"), F.col("name").alias("dst")).distinct()
 
 
@@ -131,7 +133,9 @@ def missing_coefficients(tok: DataFrame, coefs: DataFrame) -> DataFrame:
 
 def used_inputs(exo: DataFrame, tok: DataFrame) -> DataFrame:
     """Exogenous series that some equation mentions (P14, exact token match)."""
-    return exo.join(tok.select(F.col("variable").alias("name")).distinct(), on="name", how="left_semi")
+    used = tok.select(F.col("variable").alias("name")).distinct()
+    # never a broadcast: the mentions are several times the catalogue's rows
+    return exo.join(used.hint("merge"), on="name", how="left_semi")
 
 
 def new_inputs(eqs: DataFrame, known: DataFrame) -> DataFrame:

@@ -3,7 +3,9 @@
 A graph is ``nodes(node)`` and ``edges(src, dst)``.  The iterative algorithms run a driver loop of
 joins.  Every round is written to the shared ``spark.checkpoint.dir`` (never a local checkpoint: an
 executor may be lost), and components delete the rounds they are done with; each round's stop test
-is one tiny action.  Neither one task nor the driver ever holds a graph.
+is one tiny action.  Neither one task nor the driver ever holds a graph: joins are merge joins at
+every size (:func:`_join`), since a broadcast passes through the driver, and rounds times joins of
+them add up to several times the graph.
 """
 
 from __future__ import annotations
@@ -21,10 +23,15 @@ def _cp(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join that is never turned into a broadcast, however small a side looks."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def in_degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(node, in_degree)``, zero for nodes without incoming edges (A4)."""
     cnt = edges.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("in_degree"))
-    return nodes.select("node").join(cnt, on="node", how="left") \
+    return _join(nodes.select("node"), cnt, "node", "left") \
         .select("node", F.coalesce("in_degree", F.lit(0)).cast("long").alias("in_degree"))
 
 
@@ -48,17 +55,17 @@ def topo_levels(nodes: DataFrame, edges: DataFrame,
     for k in count():
         cur_n, cur_e = rn, re
         for z in pending:
-            cur_n = cur_n.join(z.select("node"), "node", "left_anti")
-            cur_e = cur_e.join(z.select(F.col("node").alias("src")), "src", "left_anti")
-        zero = _cp(cur_n.join(cur_e.select(F.col("dst").alias("node")).distinct(), on="node", how="left_anti")
-                   .withColumn("level", F.lit(k)))
+            cur_n = _join(cur_n, z.select("node"), "node", "left_anti")
+            cur_e = _join(cur_e, z.select(F.col("node").alias("src")), "src", "left_anti")
+        fed = cur_e.select(F.col("dst").alias("node")).distinct()
+        zero = _cp(_join(cur_n, fed, "node", "left_anti").withColumn("level", F.lit(k)))
         if zero.isEmpty():
             break
         layers.append(zero)
         pending.append(zero)
         if len(pending) >= compact_every:
-            rn, re = _cp(cur_n.join(zero.select("node"), "node", "left_anti")), _cp(
-                cur_e.join(zero.select(F.col("node").alias("src")), "src", "left_anti"))
+            rn, re = _cp(_join(cur_n, zero.select("node"), "node", "left_anti")), _cp(
+                _join(cur_e, zero.select(F.col("node").alias("src")), "src", "left_anti"))
             pending = []
     out = nodes.select("node").distinct()
     if not layers:
@@ -66,7 +73,7 @@ def topo_levels(nodes: DataFrame, edges: DataFrame,
     lv = layers[0]
     for z in layers[1:]:
         lv = lv.unionByName(z)
-    return out.join(lv, on="node", how="left")
+    return _join(out, lv, "node", "left")
 
 
 def _smallest_labels(r: Rounds, e: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
@@ -84,11 +91,11 @@ def _smallest_labels(r: Rounds, e: DataFrame, nodes: DataFrame, name: str) -> Da
                   .select("way", "node", "label", F.lit(True).alias("changed")))
     for k in count(1):
         changed = state.filter("changed").select("way", "node", "label")
-        sent = both.join(changed.withColumnRenamed("node", "src"), ["way", "src"]).select(
+        sent = _join(both, changed.withColumnRenamed("node", "src"), ["way", "src"]).select(
             "way", F.col("dst").alias("node"), "label")
         ahead = state.select("way", F.col("node").alias("at"), "label", F.col("changed").alias("news"))
-        jumped = state.select("way", "node", F.col("label.node").alias("at"), "changed").join(
-            ahead, ["way", "at"]).filter("changed OR news")
+        jumped = _join(state.select("way", "node", F.col("label.node").alias("at"), "changed"),
+                       ahead, ["way", "at"]).filter("changed OR news")
         every = state.select("way", "node", "label", F.col("label").alias("own"))
         for more in (sent, jumped):
             every = every.unionByName(more.select("way", "node", "label"), allowMissingColumns=True)
@@ -117,16 +124,16 @@ def _shorten(r: Rounds, e: DataFrame, name: str) -> DataFrame:
     while steps and (1 << k) < 2 * steps:
         ahead = chain.select(F.col("node").alias("up"), F.col("up").alias("next"))
         k += 1
-        chain = r.put(f"{name}-chain-{k}", chain.join(ahead, "up", "left").select(
+        chain = r.put(f"{name}-chain-{k}", _join(chain, ahead, "up", "left").select(
             "node", F.coalesce("next", "up").alias("up"), F.col("next").isNotNull().alias("more")))
         more = chain.filter("more")
         if more.isEmpty():
             break
         out = out.unionByName(more.select(F.col("up").alias("src"), F.col("node").alias("dst")))
     # a pointer that can't move on has come to the top of its chain
-    tops = chain.join(e.select(F.col("dst").alias("up")).distinct(), "up", "left_anti").select("node")
+    tops = _join(chain, e.select(F.col("dst").alias("up")).distinct(), "up", "left_anti").select("node")
     for c in ("src", "dst"):
-        out = out.join(tops.withColumnRenamed("node", c), c, "left_anti")
+        out = _join(out, tops.withColumnRenamed("node", c), c, "left_anti")
     out = r.put(f"{name}-short", out.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct())
     r.drop(*[f"{name}-chain-{j}" for j in range(k + 1)])
     return out
@@ -155,8 +162,8 @@ def scc(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     r.drop("down-0", "up")
     settled = None
     for k in count(1):
-        ends = e.join(e.select(F.col("dst").alias("src")).distinct(), "src", "left_semi")
-        ends = ends.join(e.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
+        ends = _join(e, e.select(F.col("dst").alias("src")).distinct(), "src", "left_semi")
+        ends = _join(ends, e.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
         live = r.put(f"live-{k}", ends.select("src", "dst"))
         if live.isEmpty():
             break
@@ -172,7 +179,7 @@ def scc(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         left = pair.filter(F.col("first") != F.col("last"))
         at_src, at_dst = (left.select(F.col("node").alias(c), F.col("first").alias(f"first_{c}"),
                                       F.col("last").alias(f"last_{c}")) for c in ("src", "dst"))
-        e2 = r.put(f"edges-{k}", live.join(at_src, "src").join(at_dst, "dst").filter(
+        e2 = r.put(f"edges-{k}", _join(_join(live, at_src, "src"), at_dst, "dst").filter(
             (F.col("first_src") == F.col("first_dst")) & (F.col("last_src") == F.col("last_dst")))
             .select("src", "dst"))
         r.drop(f"edges-{k - 1}", f"live-{k}", f"pair-{k}")
@@ -180,8 +187,8 @@ def scc(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     if settled is None:
         return every.select("node", F.col("node").alias("comp"), F.lit(1).cast("long").alias("size"))
     comps = settled.groupBy("root").agg(F.min("node").alias("comp"), F.count(F.lit(1)).alias("size"))
-    comps = settled.join(comps, "root").select("node", "comp", "size")
-    return every.join(comps, "node", "left").select(
+    comps = _join(settled, comps, "root").select("node", "comp", "size")
+    return _join(every, comps, "node", "left").select(
         "node", F.coalesce("comp", "node").alias("comp"),
         F.coalesce("size", F.lit(1).cast("long")).alias("size"))
 
@@ -192,14 +199,15 @@ def smallest_source_component(nodes: DataFrame, edges: DataFrame, comps: DataFra
     in the graph left after peeling (nodes without a level); ties go to the
     smallest component id.  ``(node, comp, size)`` of that block."""
     rest = levels.filter(F.col("level").isNull()).select("node")
-    big = comps.filter(F.col("size") > 1).join(rest, "node", "left_semi")
-    e = edges.join(rest.select(F.col("node").alias("src")), "src", "left_semi")
-    ce = e.join(comps.select(F.col("node").alias("src"), F.col("comp").alias("cs")), "src") \
-        .join(comps.select(F.col("node").alias("dst"), F.col("comp").alias("cd")), "dst")
+    big = _join(comps.filter(F.col("size") > 1), rest, "node", "left_semi")
+    e = _join(edges, rest.select(F.col("node").alias("src")), "src", "left_semi")
+    ce = _join(e, comps.select(F.col("node").alias("src"), F.col("comp").alias("cs")), "src")
+    ce = _join(ce, comps.select(F.col("node").alias("dst"), F.col("comp").alias("cd")), "dst")
     fed = ce.filter(F.col("cs") != F.col("cd")).select(F.col("cd").alias("comp")).distinct()
-    src_blocks = big.select("comp", "size").distinct().join(fed, "comp", "left_anti")
+    src_blocks = _join(big.select("comp", "size").distinct(), fed, "comp", "left_anti")
     best = src_blocks.agg(F.min_by("comp", F.struct("size", "comp")).alias("comp"))
-    return big.join(best, on="comp", how="left_semi").select("node", "comp", "size")
+    # one row, the smallest block's: the only broadcast
+    return big.join(F.broadcast(best), on="comp", how="left_semi").select("node", "comp", "size")
 
 
 def block_order(nodes: DataFrame, edges: DataFrame, comps: DataFrame | None = None) -> DataFrame:
@@ -212,13 +220,13 @@ def block_order(nodes: DataFrame, edges: DataFrame, comps: DataFrame | None = No
     """
     comps = comps if comps is not None else scc(nodes, edges)
     c = comps.select("node", "comp", "size")
-    ce = edges.join(c.select(F.col("node").alias("src"), F.col("comp").alias("s")), "src") \
-        .join(c.select(F.col("node").alias("dst"), F.col("comp").alias("d")), "dst") \
+    ce = _join(edges, c.select(F.col("node").alias("src"), F.col("comp").alias("s")), "src")
+    ce = _join(ce, c.select(F.col("node").alias("dst"), F.col("comp").alias("d")), "dst") \
         .filter(F.col("s") != F.col("d")) \
         .select(F.col("s").alias("src"), F.col("d").alias("dst")).distinct()
     lv = topo_levels(c.select(F.col("comp").alias("node")).distinct(), ce)
-    return c.join(lv.select(F.col("node").alias("comp"), F.col("level").alias("block_level")),
-                  on="comp").select("node", F.col("comp").alias("block"), "block_level",
+    return _join(c, lv.select(F.col("node").alias("comp"), F.col("level").alias("block_level")),
+                 "comp").select("node", F.col("comp").alias("block"), "block_level",
                                     (F.col("size") > 1).alias("simultaneous"))
 
 

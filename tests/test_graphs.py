@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from macroseries.operators import graph
+from macroseries.operators import catalog, graph
 
 
 def frames(spark, nodes, edges):
@@ -66,3 +66,36 @@ def test_text_nodes(spark):
     edges = spark.createDataFrame([tuple(e) for e in ("ab", "bc", "ca", "cd", "dd")], "src string, dst string")
     got = {r["node"]: (r["comp"], r["size"]) for r in graph.scc(nodes, edges).collect()}
     assert got == {"a": ("a", 3), "b": ("a", 3), "c": ("a", 3), "d": ("d", 1), "x": ("x", 1)}
+
+
+def test_no_round_broadcasts_a_table(spark, monkeypatch):
+    """Joins of every round are merge joins: a broadcast would pass the graph through the driver."""
+    plans = []
+    put, cp = graph.Rounds.put, graph._cp
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+    monkeypatch.setattr(graph.Rounds, "put", lambda r, name, df: put(r, name, seen(df)))
+    monkeypatch.setattr(graph, "_cp", lambda df: cp(seen(df)))
+    rng = random.Random(3)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(80)]
+    tables = frames(spark, range(60), edges)
+    comps = graph.scc(*tables)
+    seen(graph.block_order(*tables, comps))
+    seen(graph.in_degree(*tables))
+    assert {r["node"]: (r["comp"], r["size"]) for r in comps.collect()} == components(range(60), edges)
+    assert any("SortMergeJoin" in p for p in plans)
+    assert not [p for p in plans if "BroadcastHashJoin" in p]
+
+
+def test_edges_and_used_inputs_broadcast_nothing(spark):
+    eqs = spark.createDataFrame([("va", "va=0.5*vb+xc"), ("vb", "vb=va(-1)+xd")],
+                                "name string, equation string")
+    tok = catalog.tokens(eqs)
+    edges = catalog.edges(tok, eqs.select("name"))
+    used = catalog.used_inputs(spark.createDataFrame([("xc",), ("xe",), (None,)], "name string"), tok)
+    assert [tuple(r) for r in edges.collect()] == [("vb", "va")]
+    assert [tuple(r) for r in used.collect()] == [("xc",)]
+    for df in (edges, used):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
