@@ -23,6 +23,10 @@ GROWTH_SERIES = {"purchase_mom": "purchase"}
 FFILL_SERIES = ["click", "view"]
 
 
+# Catalogue rows per partition: a row gives about a kilobyte of XML and ten tokens.
+CATALOG_ROWS = 20_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -104,8 +108,10 @@ def catalog_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.concat(name, F.lit(" = "), name, F.lit("(1) + "), w1).alias("python_equation"),
                    F.array(F.struct(F.concat(F.lit("y_"), name, F.lit("(3)")).alias("cf_name"),
                                     (s.cast("double") / 100.0).alias("cf_value"))).alias("coeff"))
-    # the catalogue is small (one row per variable) and every catalogue query
-    # reads it in several branches: written once to the shared folder
+    # every catalogue query reads the catalogue in several branches: written once to the shared
+    # folder, in partitions by the number of rows and not by how the table's file happens to be cut
+    # (a file of a few megabytes holds a million variables)
+    p = p.repartition(max(1, -(-p.count() // CATALOG_ROWS)))
     return materialize(p.select(
         name.alias("name"),
         F.when(has_eq, F.lit("Behavioral")).otherwise(F.lit("Exogenous")).alias("equation_type"),

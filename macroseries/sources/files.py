@@ -124,6 +124,10 @@ CATALOG_SCHEMA = T.StructType([
 ])
 
 
+# Most variables in one file of a written catalogue, about a kilobyte each.
+CATALOG_FILE_ROWS = 20_000
+
+
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """XML model catalogue, one row per ``variable`` element.
 
@@ -134,8 +138,9 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
             .schema(CATALOG_SCHEMA).load(path))
 
 
-def write_catalog(df: DataFrame, path: str) -> str:
-    """Write a catalogue in the same XML shape (root ``model``)."""
+def write_catalog(df: DataFrame, path: str, file_rows: int = CATALOG_FILE_ROWS) -> str:
+    """Write a catalogue in the same XML shape (root ``model``), ``file_rows`` variables a file at
+    most: a reader can't split an XML file, so one task reads a file whole."""
     (df.write.mode("overwrite").format("xml").option("rootTag", "model")
-     .option("rowTag", "variable").save(path))
+     .option("rowTag", "variable").option("maxRecordsPerFile", file_rows).save(path))
     return path
