@@ -10,11 +10,7 @@ length and look their place up.
 from __future__ import annotations
 
 import heapq
-import os
-import re
-import unicodedata
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,14 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macroseries.llm.common import number_rows, write_once
+from macroseries.llm.wordbpe import word_encoder
 
 MAX_TOKENS, END_ID = 4096, 2
-CACHE = 600_000
-# fixed values: the word pattern of the public vocabulary, for text up to U+024F; anything else
-# goes to the tokenizer whole
-_PLAIN = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e\xa0-ɏ‐-‧‰-⁞€]|<\|")
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|[\d\xb2\xb3\xb9\xbc-\xbe]"
-                    r"|(?:[^\s\w]|_)+")
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
@@ -39,40 +30,6 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class _Encoder:
-    """Ids of a text as little-endian 32-bit bytes. Ids of a word don't depend on its neighbours,
-    so they are kept for up to ``CACHE`` words."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
-
-    def __call__(self, text: str) -> bytes:
-        if _PLAIN.search(text):
-            return self._encode([text])[0]
-        words = _PIECE.findall(unicodedata.normalize("NFC", text).lower())
-        kept = self.kept
-        new = list({w for w in words if w not in kept})
-        if new:
-            if len(kept) > CACHE:
-                kept.clear()
-                new = list(set(words))
-            kept.update(zip(new, self._encode(new)))
-        return b"".join([kept[w] for w in words])
-
-
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> _Encoder:
-    """One encoder per Python worker: its words serve the tasks that follow."""
-    return _Encoder(path)
-
-
 def pieces(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID,
            with_ids: bool = False) -> DataFrame:
     """One row per piece of each row of ``docs`` (doc_id, text): ids then ``end_id``, cut every
@@ -82,11 +39,12 @@ def pieces(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int
 
     def run(batches):
         import zlib
-        encode = _encoder(path)
+        encode = word_encoder(path)
         for b in batches:
             cols: list[list] = [[] for _ in range(6)]
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                ids = encode(text or "") + end
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            for doc, ids in zip(b.column("doc_id").to_pylist(), encode(texts)):
+                ids += end
                 for at in range(0, len(ids), 4 * max_tokens):
                     part = ids[at:at + 4 * max_tokens]
                     for c, v in zip(cols, (doc, at // 4, len(part) // 4, zlib.crc32(part),

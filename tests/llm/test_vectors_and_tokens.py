@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import json
 import os
 import random
 import zlib
@@ -41,6 +42,23 @@ def test_word_encoder_equals_the_library(name, splits):
     assert [np.frombuffer(g, dtype="<u4").tolist() for g in got] == want
 
 
+def test_pieces_follow_the_vocabulary_file(spark, tmp_path):
+    """A file that asks for another normaliser is not split or lower-cased by fixed rules."""
+    from tokenizers import Tokenizer
+    with open(packing.vocabulary_path(), encoding="utf-8") as f:
+        conf = json.load(f)
+    conf["normalizer"]["normalizers"].append({"type": "Replace", "pattern": {"String": "cat"}, "content": "dog"})
+    path = tmp_path / "words.json"
+    path.write_text(json.dumps(conf), encoding="utf-8")
+    text = "The CAT sat, the cats don't sit"
+    docs = spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")
+    got = {r["doc_id"]: np.frombuffer(r["ids"], dtype="<u4").tolist()
+           for r in packing.pieces(docs, str(path), with_ids=True).collect()}
+    ids = Tokenizer.from_file(str(path)).encode(text, add_special_tokens=False).ids
+    assert ids != Tokenizer.from_file(packing.vocabulary_path()).encode(text, add_special_tokens=False).ids
+    assert got == {1: [*ids, 2], 2: [2]}
+
+
 # ---------------------------------------------------------------- 11 whitening
 
 @pytest.mark.parametrize("n, dim, low, high", [
