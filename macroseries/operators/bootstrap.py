@@ -94,22 +94,33 @@ def bootstrap_shocks(baseline: DataFrame, resid: DataFrame, draws: DataFrame,
     quarter) has too few values to spread a shuffle, so it is salted: the
     residual rows, one per entity and quarter, are copied into ``salt``
     buckets and the draws go to bucket ``repl mod salt``.
+
+    The replications that draw the same quarter for the same simulated quarter stay one row, with an
+    array, until the baseline has joined: only then they become rows, so that join moves no
+    replicated rows.
     """
     keys = list(keys)
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     dr = draws.select("repl", F.col(period).alias("__sim"), F.col("drawn_period").alias(period))
     rs = resid.select(*keys, period, *[F.col(c).alias(f"__d_{c}") for c in cols])
+    together = F.collect_list(F.struct("repl")).alias("__repls")
     if nrepl * horizon <= limit:
+        dr = dr.groupBy("__sim", period).agg(together)
         drawn = rs.join(F.broadcast(dr), on=period, how="inner")
     else:
         dr = dr.withColumn("__salt", F.pmod(F.col("repl"), F.lit(salt)))
+        dr = dr.groupBy("__sim", period, "__salt").agg(together)
         rs = rs.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         drawn = rs.join(dr, on=[period, "__salt"], how="inner")
-    drawn = drawn.select(*keys, "repl", F.col("__sim").alias(period), *[f"__d_{c}" for c in cols])
+    drawn = drawn.select(*keys, "__repls", F.col("__sim").alias(period), *[f"__d_{c}" for c in cols])
+    # a fixed number of partitions: adaptive execution would size them by rows not yet replicated
+    spark = baseline.sparkSession
+    drawn = drawn.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                  spark.sparkContext.defaultParallelism), *keys, period)
     base = baseline.filter(_in_range(period, sim_start, sim_end)).select(*keys, period, *cols)
     out = base.join(drawn, on=keys + [period], how="inner")
-    return out.select(*keys, "repl", period,
-                      *[(F.col(c) + F.col(f"__d_{c}")).alias(c) for c in cols])
+    return out.select(*keys, period, *[(F.col(c) + F.col(f"__d_{c}")).alias(c) for c in cols],
+                      F.inline("__repls")).select(*keys, "repl", period, *cols)
 
 
 def replicate(df: DataFrame, nrepl: int) -> DataFrame:
@@ -119,7 +130,7 @@ def replicate(df: DataFrame, nrepl: int) -> DataFrame:
 
 def keep_good_replications(status: DataFrame, nrepl: int, nextra: int,
                            repl: str = "repl", error: str = "error",
-                           keys: Sequence[str] = ()) -> DataFrame:
+                           keys: Sequence[str] = (), steps: str | None = None) -> DataFrame:
     """Which replications to return (W8, O2): walking in replication order,
     drop the first ``nextra`` failed ones, then keep the first ``nrepl`` of
     the rest (failures beyond ``nextra`` stay, with their error).
@@ -131,15 +142,22 @@ def keep_good_replications(status: DataFrame, nrepl: int, nextra: int,
     With ``keys`` every key (e.g. each entity, a model of its own) has its own status rows and is
     judged by itself, so that one key's failure costs no other key a replication: ``(keys..., repl,
     keep)``.  A key's rows are as few as above; NULL keys are keys like any other.
+    With ``keys`` and ``steps``, a column, ``status`` holds a replication's steps, one row each and
+    all with its error: they count once, and all columns are returned, with ``keep``.  One exchange
+    by the keys and one sort serve every window.
     """
     failed = F.col(error).isNotNull()
     if keys:
-        first = F.row_number().over(Window.partitionBy(*keys, failed).orderBy(F.col(repl)))
-        s = status.withColumn("__stays", ~(failed & (first <= nextra)))
-        run = Window.partitionBy(*keys).orderBy(F.col(repl)).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        rank = F.sum(F.col("__stays").cast("int")).over(run)
-        return s.select(*keys, repl, (F.col("__stays") & (rank <= nrepl)).alias("keep"))
+        run = Window.partitionBy(*keys).orderBy(F.col(repl))
+        run = run.rowsBetween(Window.unboundedPreceding, Window.currentRow) if steps is None else \
+            run.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        s = status.withColumn("__once", F.lit(True) if steps is None else F.row_number().over(
+            Window.partitionBy(*keys, repl).orderBy(F.col(steps))) == 1)
+        s = s.withColumn("__failed", F.sum((failed & F.col("__once")).cast("int")).over(run))
+        s = s.withColumn("__stays", ~(failed & (F.col("__failed") <= nextra)))
+        rank = F.sum((F.col("__stays") & F.col("__once")).cast("int")).over(run)
+        out = [*keys, repl] if steps is None else status.columns
+        return s.select(*out, (F.col("__stays") & (rank <= nrepl)).alias("keep"))
     w_f = Window.partitionBy(failed).orderBy(F.col(repl))
     s = status.withColumn("__dropped", failed & (F.row_number().over(w_f) <= nextra))
     rest = s.filter(~F.col("__dropped"))

@@ -159,7 +159,7 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
                        start=None, end=None, keys: Sequence[str] = KEYS,
                        period: str = PERIOD, error_col: str | None = None,
                        vector_keys: Sequence[str] = (), blocks: int | None = None,
-                       order: int = 1) -> DataFrame:
+                       order: int = 1, deal: Sequence[str] = ()) -> DataFrame:
     """``target[t] = fn(target[t-1], row_t)`` over ``[start, end]`` (T9 general, X3).
 
     ``fn(prev, row)`` gets the previous (already rewritten) values and the current rows as a mapping
@@ -183,7 +183,8 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
     With ``error_col`` an exception is caught and its text returned in that column on all of the
     key's rows, with NULL values inside the range, instead of failing the job (R8); the keys that
     raised are isolated by bisection.  Since earlier rows have left by then, this takes one more
-    exchange by key.
+    exchange by key, or by ``deal``, some of the keys, so that steps that follow and work by those
+    need no exchange of their own.
     """
     if target not in df.columns:
         raise KeyError(f"series not in panel: {target}")
@@ -191,23 +192,27 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
     inputs = [c for c in inputs if c != target]
     names = df.columns
     dated = F.col(period).isNotNull()
-    number = [F.col(c).cast("double").alias(f"__i{k}") for k, c in enumerate(inputs)]
+    # columns that are doubles already don't travel twice
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    own, *read = [c if c in doubles else f"__d{k}" for k, c in enumerate([target, *inputs])]
+    more = [F.col(c).cast("double").alias(a) for c, a in zip([target, *inputs], [own, *read]) if c != a]
     rows = df.select(*names, (dated & _in_range(period, start, end)).alias("__in"),
-                     dated.alias("__dated"), F.col(target).cast("double").alias("__own"), *number)
+                     dated.alias("__dated"), *more)
     if not keys:
         rows = rows.repartition(1)
     elif blocks:
         rows = rows.repartition(blocks, *keys)
     else:
         rows = rows.repartition(*keys)
-    rows = rows.sortWithinPartitions(period, *keys, "__own", *[f"__i{k}" for k in range(len(inputs))])
+    rows = rows.sortWithinPartitions(period, *keys, own, *read)
     schema = T.StructType([T.StructField(target, T.DoubleType()) if f.name == target else f
                            for f in df.schema.fields] + [T.StructField("__in", T.BooleanType()),
                                                          T.StructField("__error", T.StringType())])
 
     def run(batches):
-        number_of: dict = {}
+        number_of: list = []
         failed: dict[int, str] = {}
+        lost = np.zeros(1024, dtype=bool)
         state = np.full((order, 1024), np.nan)
 
         def step(at, path, y, ins):
@@ -220,6 +225,7 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
                     raise
                 if len(at) == 1:
                     failed[int(path[at[0]])] = f"{type(e).__name__}: {e}"
+                    lost[path[at[0]]] = True
                     y[at] = np.nan
                     return
                 step(at[:len(at) // 2], path, y, ins)
@@ -227,10 +233,11 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
 
         for b in batches:
             path = _paths(b, keys, number_of)
-            while len(number_of) > state.shape[1]:
+            while path.size and path.max() >= state.shape[1]:
                 state = np.concatenate([state, np.full_like(state, np.nan)], axis=1)
-            ins = {c: _doubles(b.column(f"__i{k}")) for k, c in enumerate(inputs)}
-            y = _doubles(b.column("__own"))
+                lost = np.concatenate([lost, np.zeros_like(lost)])
+            ins = {c: _doubles(b.column(a)) for c, a in zip(inputs, read)}
+            y = _doubles(b.column(own))
             inside = b.column("__in").to_numpy(zero_copy_only=False)
             live = np.flatnonzero(b.column("__dated").to_numpy(zero_copy_only=False))
             # the k-th rows of all paths in the batch make step k
@@ -239,9 +246,8 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
             for at in np.split(live, np.cumsum(np.bincount(nth))[:-1]) if len(live) else ():
                 hit = at[inside[at]]
                 if failed:
-                    lost = np.array([int(p) in failed for p in path[hit]], dtype=bool)
-                    y[hit[lost]] = np.nan
-                    hit = hit[~lost]
+                    y[hit[lost[path[hit]]]] = np.nan
+                    hit = hit[~lost[path[hit]]]
                 if len(hit):
                     step(hit, path, y, ins)
                 state[1:, path[at]] = state[:-1, path[at]]
@@ -249,7 +255,9 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
             out = {c: b.column(c) for c in names}
             # NaN from the Python side means missing
             out[target] = pa.array(y, mask=np.isnan(y))
-            error = [failed.get(p) for p in path.tolist()] if failed else [None] * b.num_rows
+            error = np.full(b.num_rows, None, dtype=object)
+            bad = np.flatnonzero(lost[path])
+            error[bad] = [failed[p] for p in path[bad].tolist()]
             yield pa.RecordBatch.from_arrays(
                 [*out.values(), b.column("__in"), pa.array(error, pa.string())],
                 names=[*names, "__in", "__error"])
@@ -257,6 +265,10 @@ def general_recurrence(df: DataFrame, target: str, fn: Callable, inputs: Sequenc
     solved = rows.mapInArrow(run, schema)
     if error_col is None:
         return solved.drop("__in", "__error")
+    if deal:
+        if not set(deal) <= set(keys):
+            raise ValueError(f"deal {list(deal)} must be keys")
+        solved = solved.repartition(*deal)
     whole = F.max("__error").over(Window.partitionBy(*keys))
     solved = solved.withColumn("__error", whole)
     lost = F.col("__in") & F.col("__error").isNotNull()
@@ -269,25 +281,53 @@ def _doubles(column: pa.Array) -> np.ndarray:
     return np.array(column.to_numpy(zero_copy_only=False), dtype=np.float64)
 
 
-def _paths(batch: pa.RecordBatch, keys: Sequence[str], number_of: dict) -> np.ndarray:
+def _paths(batch: pa.RecordBatch, keys: Sequence[str], number_of: list) -> np.ndarray:
     """A number per row, the same for rows with equal keys (NULL and NaN are values like any other);
-    ``number_of`` keeps the numbers from batch to batch."""
+    ``number_of`` keeps the numbers from batch to batch: for every key those of its values, and for
+    every key after the first those of pairs (number by the keys before, number of the value)."""
     if not keys:
-        number_of[()] = 0
         return np.zeros(batch.num_rows, dtype=np.int64)
-    code = np.zeros(batch.num_rows, dtype=np.int64)
-    values = []
-    for k in keys:
+    if not number_of:
+        number_of += [({}, _Numbers()) for _ in keys]
+    path = None
+    for k, (values, pairs) in zip(keys, number_of):
         seen = batch.column(k).dictionary_encode("encode")
-        values.append(["NaN" if isinstance(v, float) and v != v else v
-                       for v in seen.dictionary.to_pylist()])
-        code = code * len(seen.dictionary) + seen.indices.to_numpy(zero_copy_only=False)
-    code, back = np.unique(code, return_inverse=True)
-    number = np.empty(len(code), dtype=np.int64)
-    for n, c in enumerate(code.tolist()):
-        key = []
-        for v in reversed(values):
-            key.append(v[c % len(v)])
-            c //= len(v)
-        number[n] = number_of.setdefault(tuple(key), len(number_of))
-    return number[back]
+        number = np.array([values.setdefault("NaN" if isinstance(v, float) and v != v else v,
+                                             len(values)) for v in seen.dictionary.to_pylist()],
+                          dtype=np.int64)
+        number = number[seen.indices.to_numpy(zero_copy_only=False)]
+        path = number if path is None else pairs((path << 32) | number)
+    return path
+
+
+class _Numbers:
+    """Numbers codes in the order of their coming. Codes are found by bisection in sorted arrays, a
+    large one and a small one of the latest codes, so that new ones seldom move them all."""
+
+    def __init__(self):
+        self.parts = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)) for _ in range(2)]
+        self.n = 0
+
+    def __call__(self, code: np.ndarray) -> np.ndarray:
+        code, back = np.unique(code, return_inverse=True)
+        out = np.full(len(code), -1, dtype=np.int64)
+        for codes, numbers in self.parts:
+            if len(codes):
+                at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+                out = np.where(codes[at] == code, numbers[at], out)
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            out[new] = np.arange(self.n, self.n + len(new))
+            self.n += len(new)
+            large, small = self.parts
+            small = self._merged(small, (code[new], out[new]))
+            if len(small[0]) ** 2 > 10_000 * max(len(large[0]), 10_000):
+                large, small = self._merged(large, small), (code[:0], out[:0])
+            self.parts = [large, small]
+        return out[back]
+
+    @staticmethod
+    def _merged(a, b):
+        codes, numbers = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+        order = np.argsort(codes, kind="stable")
+        return codes[order], numbers[order]
\ No newline at end of file

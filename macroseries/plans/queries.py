@@ -479,8 +479,8 @@ def _failing_step(prev, row):
     return 0.5 * prev + row["qty_trac"]
 
 
-def _errors(spark, d, code="repl"):
-    """Paths with a step that fails where the expression ``code`` says so."""
+def _errors(spark, d, code="repl", deal=()):
+    """Paths with a step that fails where the expression ``code`` says so, dealt by ``deal``."""
     resid = _resid(spark, d)
     sh = _shocks(resid).withColumn("y", F.lit(None).cast("double"))
     an = _anchor(resid).withColumnRenamed("init", "__init")
@@ -495,7 +495,7 @@ def _errors(spark, d, code="repl"):
                                                               "qty_trac": r["qty_trac"]}),
                                ["repl_d", "qty_trac"], start=SIM_START,
                                keys=["entity", "repl"], vector_keys=["entity", "repl"],
-                               error_col="error")
+                               error_col="error", deal=deal)
     return out.filter(F.col("period") >= P.quarter_lit(SIM_START))
 
 
@@ -517,10 +517,11 @@ def keep_good_replications(spark, d):
 @query
 def keep_good_per_entity(spark, d):
     """Every entity fails in other replications and is judged by itself."""
-    paths = materialize(_errors(spark, d, "repl + entity"))
-    status = paths.groupBy("entity", "repl").agg(F.max("error").alias("error"))
-    keep = B.keep_good_replications(status, NREPL, NEXTRA, keys=["entity"]).filter("keep")
-    return paths.join(keep, ["entity", "repl"], "left_semi") \
+    # an entity's paths are in one task from the recursion on, and every quarter of a path has its
+    # error: nothing is written, exchanged or joined again to tell which paths stay
+    paths = _errors(spark, d, "repl + entity", deal=["entity"])
+    keep = B.keep_good_replications(paths, NREPL, NEXTRA, keys=["entity"], steps="period")
+    return keep.filter("keep") \
         .select("entity", "repl", "period", r6(F.col("y")).alias("y"), "error")
 
 

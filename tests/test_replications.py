@@ -3,10 +3,11 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from macroseries.operators import bootstrap, replications
+from macroseries.operators import bootstrap, recurrence, replications
 
 N, SEED = 30, 7
 
@@ -67,3 +68,62 @@ def test_one_entity_s_failures_cost_others_nothing(spark):
     assert len(got) == 18 and kept == {"a": [1, 3, 4, 5], "b": [0, 1, 2, 3], None: [0, 1, 2, 3]}
     alone = bootstrap.keep_good_replications(status.filter("entity = 'a'").drop("entity"), 4, 2)
     assert sorted(r["repl"] for r in alone.collect() if r["keep"]) == kept["a"]
+
+
+def test_steps_of_a_replication_count_once(spark):
+    """A row per step gives what a row per replication gives, in one exchange by the keys."""
+    rng = random.Random(4)
+    rows = [(e, r, "bad" if rng.random() < 0.4 else None) for e in ("a", "b", None) for r in range(9)]
+    status = spark.createDataFrame(rows, "entity string, repl int, error string")
+    steps = status.withColumn("step", F.explode(F.array(F.lit(1), F.lit(2), F.lit(2), F.lit(None))))
+    want = bootstrap.keep_good_replications(status, 5, 2, keys=["entity"])
+    got = bootstrap.keep_good_replications(steps, 5, 2, keys=["entity"], steps="step")
+    assert got.columns == ["entity", "repl", "error", "step", "keep"]
+    kept = {(r["entity"], r["repl"]): r["keep"] for r in want.collect()}
+    assert len(kept) == 27 and len(set(kept.values())) == 2
+    rows = got.collect()
+    assert len(rows) == 4 * 27 and all(kept[r["entity"], r["repl"]] == r["keep"] for r in rows)
+
+
+def test_shocks_become_rows_after_the_join(spark, panel):
+    """The join with the baseline moves a row per pair of quarters, not one per replication."""
+    hist, sim, many = (quarter(0), quarter(7)), (quarter(8), quarter(11)), 400
+    draws = bootstrap.bootstrap_draws(panel.select("period").filter(F.col("period") >= sim[0]), many,
+                                      *hist, SEED)
+    args = (panel, panel.filter(F.col("period") <= quarter(7)), draws, ["x", "z"], many, 4, *sim)
+    got = bootstrap.bootstrap_shocks(*args, keys=["entity"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")
+    salted = bootstrap.bootstrap_shocks(*args, keys=["entity"], broadcast_rows=0, salt=5)
+    assert sorted(map(str, got.collect())) == sorted(map(str, salted.collect()))
+
+
+def test_paths_are_dealt_by_some_of_their_keys(spark):
+    """With ``deal`` no later step by those keys needs an exchange, and rows are the same."""
+    rows = [(e, r, quarter(k), float(r + k), 1.0) for e in ("a", "b", None) for r in range(40)
+            for k in range(4)]
+    df = spark.createDataFrame(rows, "entity string, repl int, period date, x double, y double")
+
+    def step(prev, row):
+        if (row["x"] == 17).any():
+            raise ValueError("seventeen")
+        return prev + row["x"]
+    got, want = (recurrence.general_recurrence(df, "y", step, ["x"], quarter(1), keys=["entity", "repl"],
+                                               error_col="error", deal=deal) for deal in (["entity"], []))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.filter("error IS NOT NULL").count() == 3 * 4 * 3
+    kept = bootstrap.keep_good_replications(got, 30, 2, keys=["entity"], steps="period")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    with pytest.raises(ValueError):
+        recurrence.general_recurrence(df, "y", step, ["x"], keys=["entity"], error_col="e", deal=["x"])
+
+
+def test_numbers_of_keys_hold_across_batches():
+    numbers, seen, rng = recurrence._Numbers(), {}, random.Random(2)
+    for _ in range(60):
+        code = [rng.randrange(-1 << 40, 1 << 40) for _ in range(500)] + rng.sample(sorted(seen), min(len(seen), 500))
+        got = numbers(np.array(code, dtype=np.int64)).tolist()
+        for c, n in zip(code, got):
+            assert seen.setdefault(c, n) == n
+    assert sorted(seen.values()) == list(range(len(seen)))
