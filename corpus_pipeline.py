@@ -15,6 +15,9 @@ from macroseries.llm.common import free_name, table, write_once
 from macroseries.llm.queries import learnable
 
 MIN_LANGUAGE_SCORE = 0.3
+# runs and pieces whose ids a packing worker keeps: fewer than for packing alone, since workers and
+# executors still hold memory of the four stages before
+PACKING_KEPT = (400_000, 150_000)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +61,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents, placed in sequences of at most 4096 tokens."""
-    return packing.pack(docs, packing.vocabulary_path())
+    return packing.pack(docs, packing.vocabulary_path(), kept=PACKING_KEPT)
 
 
 STAGES = [

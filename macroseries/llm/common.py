@@ -26,6 +26,19 @@ def write_once(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_held: dict = {}
+
+
+def held_by_worker(make, *args):
+    """``make(*args)``, kept in a Python worker for the tasks that follow. A worker outlives a job's
+    stages, so it keeps one such object: what an earlier stage's operator left goes first."""
+    key = (make, args)
+    if key not in _held:
+        _held.clear()
+        _held[key] = make(*args)
+    return _held[key]
+
+
 def crc_mod3(doc_id: str) -> Column:
     """crc32 of the id as text, mod 3 (NULL for a NULL id)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3

@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -34,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macroseries.llm.common import U64, mix, write_once
+from macroseries.llm.common import U64, held_by_worker, mix, write_once
 
 WINDOW, LITERALS = 8, 4
 MIN_COVERAGE, TOKEN_COVERAGE, PASSAGE, RUN = 0.5, 0.75, 13, 3
@@ -105,10 +104,9 @@ class _Tokens:
         return np.array([seen[t] for t in toks], dtype=np.int64)
 
 
-@lru_cache(maxsize=1)
 def _tokens() -> _Tokens:
     """One table per Python worker: its tokens serve the tasks that follow."""
-    return _Tokens()
+    return held_by_worker(_Tokens)
 
 
 class Sequence(NamedTuple):

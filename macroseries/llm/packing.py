@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macroseries.llm.common import number_rows, write_once
-from macroseries.llm.wordbpe import word_encoder
+from macroseries.llm.wordbpe import PIECES, RUNS, word_encoder
 
 MAX_TOKENS, END_ID = 4096, 2
+#: Documents that a task holds at a time besides the batch it was sent.
+ROWS = 1000
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
@@ -31,16 +33,18 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def pieces(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID,
-           with_ids: bool = False) -> DataFrame:
+           with_ids: bool = False, kept: tuple[int, int] = (RUNS, PIECES)) -> DataFrame:
     """One row per piece of each row of ``docs`` (doc_id, text): ids then ``end_id``, cut every
-    ``max_tokens``. A NULL text is empty: one piece, the end id. ``with_ids`` adds ``ids``."""
+    ``max_tokens``. A NULL text is empty: one piece, the end id. ``with_ids`` adds ``ids``.
+    ``kept``: most runs and pieces of runs whose ids a worker keeps; fewer take less memory and more
+    time, and the rows are the same."""
     schema = SCHEMA + (", ids binary" if with_ids else "")
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
         import zlib
-        encode = word_encoder(path)
-        for b in batches:
+        encode = word_encoder(path, *kept)
+        for b in (x.slice(at, ROWS) for x in batches for at in range(0, x.num_rows, ROWS)):
             cols: list[list] = [[] for _ in range(6)]
             texts = [t or "" for t in b.column("text").to_pylist()]
             for doc, ids in zip(b.column("doc_id").to_pylist(), encode(texts)):
@@ -48,8 +52,10 @@ def pieces(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int
                 for at in range(0, len(ids), 4 * max_tokens):
                     part = ids[at:at + 4 * max_tokens]
                     for c, v in zip(cols, (doc, at // 4, len(part) // 4, zlib.crc32(part),
-                                           len(ids) // 4, part)):
+                                           len(ids) // 4)):
                         c.append(v)
+                    if with_ids:
+                        cols[5].append(part)
             arrays = [pa.array(c, pa.int64()) for c in cols[:5]]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             if with_ids:
@@ -113,13 +119,13 @@ def shortest_pack_first(histogram: dict[int, int], max_tokens: int) -> list[Plac
 
 
 def pack(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID,
-         with_ids: bool = False) -> DataFrame:
+         with_ids: bool = False, kept: tuple[int, int] = (RUNS, PIECES)) -> DataFrame:
     """Pack the documents (doc_id, text) into sequences of at most ``max_tokens``: one row per piece
     with doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
     Rows that repeat a document are packed each; NULL ids are values like any other; an empty table
-    gives an empty result. Extra columns are ignored."""
-    cut = write_once(pieces(docs, path, max_tokens, end_id, with_ids), "pieces")
+    gives an empty result. Extra columns are ignored. ``kept`` as in ``pieces``."""
+    cut = write_once(pieces(docs, path, max_tokens, end_id, with_ids, kept), "pieces")
     hist = {r["length"]: r["c"] for r in
             cut.groupBy("length").agg(F.count(F.lit(1)).alias("c")).collect()}
     places = shortest_pack_first(hist, max_tokens)

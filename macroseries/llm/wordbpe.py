@@ -13,14 +13,15 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import islice
 
 import numpy as np
 
+from macroseries.llm.common import held_by_worker
+
 #: Most runs, and most pieces of runs, kept by one Python worker (about 200 bytes each).
 RUNS, PIECES = 1_000_000, 300_000
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 # fixed values: what a vocabulary file must ask for to be split at white space here
 SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZER = {"type": "Sequence", "normalizers": [
@@ -59,9 +60,8 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
         self.split = splits_at_space(path)
-        # the same model for pieces, which are normalised and split here
-        self.model = Tokenizer.from_file(path)
-        self.model.normalizer = None
+        # the same model (not a copy) for pieces, which are normalised and split here
+        self.model = Tokenizer(self.tok.model)
         self.model.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -135,7 +135,6 @@ class WordEncoder:
         yield from self._split(batch)
 
 
-@lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, runs: int = RUNS, pieces: int = PIECES) -> WordEncoder:
     """One encoder per Python worker: what it keeps serves the tasks that follow."""
-    return WordEncoder(path)
+    return held_by_worker(WordEncoder, path, runs, pieces)

@@ -1,10 +1,12 @@
 """Whitening, cross-tokenizer alignment and token files against brute force and exact round trips."""
 
+import gc
 import hashlib
 import io
 import json
 import os
 import random
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from macroseries.llm import align, packing, queries, tokenstore, whitening, wordbpe
+from macroseries.llm import align, decontam, packing, queries, tokenstore, whitening, wordbpe
 from macroseries.llm.common import table
 from macroseries.session import scratch_path
 
@@ -30,6 +32,29 @@ def random_texts(n, seed):
 
 # ---------------------------------------------------------------- words of a vocabulary
 
+def test_a_worker_keeps_the_tables_of_one_operator():
+    """A worker that goes on to packing drops the tokens that decontamination left there."""
+    tokens = decontam._tokens()
+    tokens.ids(["some", "words"])
+    assert decontam._tokens() is tokens
+    left = weakref.ref(tokens)
+    del tokens
+    enc = wordbpe.word_encoder(packing.vocabulary_path())
+    gc.collect()
+    assert left() is None
+    assert wordbpe.word_encoder(packing.vocabulary_path()) is enc
+    assert wordbpe.word_encoder(packing.vocabulary_path(), 10, 5).max_runs == 10
+
+
+def test_few_kept_runs_give_the_same_pieces(spark):
+    texts = [*random_texts(2500, 6), None, "", "word " * 9000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    few = packing.pieces(docs, packing.vocabulary_path(), kept=(50, 20)).collect()
+    many = packing.pieces(docs, packing.vocabulary_path(), with_ids=True).collect()
+    assert sorted(map(tuple, few)) == sorted(tuple(r)[:5] for r in many)
+    assert all(zlib.crc32(r["ids"]) == r["ids_crc32"] for r in many)
+
+
 @pytest.mark.parametrize("name, splits", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
 def test_word_encoder_equals_the_library(name, splits):
     from tokenizers import Tokenizer
